@@ -90,7 +90,7 @@ def main() -> int:
     parser.add_argument("--dir", default="/root/testdata/sf0.01")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
-    spark = get_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false")
+    spark = get_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(args.dir)
     bad = 0
