@@ -182,7 +182,7 @@ def _part_of(name: str) -> Column:
 
 def retention_plan(files: DataFrame, today: str, keep_days: int = 14, execute: bool = False) -> DataFrame:
     """Per date partition: files, MB, and whether it is older than the days to keep."""
-    day = F.try_to_date(_part_of("date"), F.lit("yyyy-MM-dd")) if hasattr(F, "try_to_date") else _part_of("date").try_cast("date")
+    day = _part_of("date").try_cast("date")
     cutoff = F.date_sub(F.lit(today).cast("date"), keep_days)
     return (
         files.withColumns({"partition": F.regexp_extract("path", r"^(.*/date=[^/]*)/", 1), "date": day})
@@ -201,8 +201,10 @@ def retention_plan(files: DataFrame, today: str, keep_days: int = 14, execute: b
 def prune(spark: SparkSession, path: str, today: str, keep_days: int = 14, execute: bool = False) -> DataFrame:
     """The retention plan; with ``execute`` the listed partitions are dropped.  The plan
     has one row per date partition, so it is small enough to walk on the driver."""
-    plan = retention_plan(files_of(spark, path), today, keep_days, execute).checkpoint() if execute else retention_plan(files_of(spark, path), today, keep_days)
+    plan = retention_plan(files_of(spark, path), today, keep_days, execute)
     if execute:
+        shared_dir(spark)
+        plan = plan.checkpoint()  # the listing must not change under the deletion
         for row in plan.filter(F.col("action") == "DELETE").select("partition").toLocalIterator():
             fs, p = _hadoop_path(spark, row["partition"])
             fs.delete(p, True)
@@ -227,11 +229,11 @@ def source_inventory(files: DataFrame) -> DataFrame:
     )
 
 
-def unreadable_files(spark: SparkSession, path: str) -> DataFrame:
-    """Files whose footer cannot be read, as error rows.
+def footers(spark: SparkSession, path: str) -> DataFrame:
+    """Rows per file, or the error that kept its footer from being read.
 
-    Each task reads the footers of its own share of the listing; an open failure becomes
-    a row instead of failing the job.
+    Each task opens the files of its own share of the listing and reads footers only; a
+    failure becomes a row instead of failing the job.
     """
 
     def check(batches):
@@ -246,8 +248,21 @@ def unreadable_files(spark: SparkSession, path: str) -> DataFrame:
                     where, name = fs.FileSystem.from_uri(file)
                     out.append((file, pq.ParquetFile(name, filesystem=where).metadata.num_rows, None))
                 except Exception as exc:  # noqa: BLE001 - the failure is the result
-                    out.append((file, 0, f"{type(exc).__name__}"))
+                    out.append((file, 0, type(exc).__name__))
             yield pd.DataFrame(out, columns=["path", "rows", "error"])
 
-    footers = files_of(spark, path).select("path").mapInPandas(check, "path string, rows long, error string")
-    return footers.filter(F.col("error").isNotNull())
+    return files_of(spark, path).select("path").mapInPandas(check, "path string, rows long, error string")
+
+
+def file_checks(spark: SparkSession, path: str) -> DataFrame:
+    """Footers with what the status ladder needs: warnings for empty, errors for unreadable
+    files and for files in an epoch-zero partition."""
+    epoch_zero = F.contains("path", F.lit("/date=1970-01-01/"))
+    return footers(spark, path).withColumns(
+        {
+            "date": _part_of("date"),
+            **{c: _part_of(c) for c in ("exchange", "data_type", "symbol")},
+            "warnings": F.lit(0).cast("long"),
+            "errors": F.col("error").isNotNull().cast("long") + epoch_zero.cast("long"),
+        }
+    )
