@@ -5,7 +5,7 @@ Plan, for any number of sources at once:
 1. targets and sources are reduced to one row per (keys, block, timestamp) in a single
    aggregation, which combines on the map side, so any number of rows that share a
    timestamp costs one row of shuffle per task;
-2. inside (keys, block) a running ``last``/``first`` finds the match;
+2. inside (keys, block) a running ``last`` finds the match, walking forth or back;
 3. a source row is also sent to the neighbouring blocks its tolerance reaches, so no
    match crosses an edge; without a tolerance one summary row per block carries it;
 4. the matches go back to the target rows by an equi-join on (keys, timestamp), where
@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import HOUR_MS, across, after, before, block_of, inside, onward, upto
+from .blocks import HOUR_MS, across, before, block_of, inside, upto
 
 DEFAULT_TOLERANCE_MS = 60_000
 DIRECTIONS = ("backward", "forward", "nearest")
@@ -111,13 +111,13 @@ def align(
             F.col(f"_{side}{i}").isNotNull(), F.struct(F.col("_ts").alias("ts"), F.col(f"_{side}{i}").alias("row"))
         )
 
-    local = inside(keys, "_ts")
+    forth, back = upto(inside(keys, "_ts")), upto(inside(keys, "_ts", reverse=True))
     found = {}
     for i in range(len(sources)):
         if look_back:
-            found[f"_back{i}"] = F.last(stamped("last", i), ignorenulls=True).over(upto(local))
+            found[f"_back{i}"] = F.last(stamped("last", i), ignorenulls=True).over(forth)
         if look_ahead:
-            found[f"_ahead{i}"] = F.first(stamped("first", i), ignorenulls=True).over(onward(local))
+            found[f"_ahead{i}"] = F.last(stamped("first", i), ignorenulls=True).over(back)
     matched = instants.withColumns(found).filter("_wanted")
 
     unlimited = [i for i, s in enumerate(sources) if s.tolerance_ms is None]
@@ -133,7 +133,7 @@ def align(
                 edges.append(
                     F.min_by(stamped("first", i), F.when(F.col(f"_first{i}").isNotNull(), F.col("_ts"))).alias(f"_f{i}")
                 )
-                carried.append(F.first(f"_f{i}", ignorenulls=True).over(after(across(keys))).alias(f"_ca{i}"))
+                carried.append(F.last(f"_f{i}", ignorenulls=True).over(before(across(keys, reverse=True))).alias(f"_ca{i}"))
         carry = instants.groupBy(*keys, "_block").agg(*edges).select(*keys, "_block", *carried)
         matched = matched.join(carry, [*keys, "_block"], "left")
         filled = {}

@@ -28,33 +28,28 @@ def block_of(order: Column, width: int) -> Column:
     return F.call_function("div", order - F.pmod(order, F.lit(width)), F.lit(width))
 
 
-def inside(keys: list[str], order_by: str, block: str = "_block"):
-    return Window.partitionBy(*keys, block).orderBy(order_by)
+def inside(keys: list[str], order_by: str, block: str = "_block", reverse: bool = False):
+    """Window inside one block.  To look at later rows, walk the block in reverse with the
+    frame ``upto``: a frame that starts at the current row and runs to the end would be
+    evaluated from scratch for every row."""
+    return Window.partitionBy(*keys, block).orderBy(F.desc(order_by) if reverse else F.asc(order_by))
 
 
-def across(keys: list[str], block: str = "_block"):
+def across(keys: list[str], block: str = "_block", reverse: bool = False):
     """Window over a summary with one row per block; with no keys it has no partition,
     which is fine for a summary and only for a summary."""
     spec = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    return spec.orderBy(block)
+    return spec.orderBy(F.desc(block) if reverse else F.asc(block))
 
 
 def before(spec):
     return spec.rowsBetween(Window.unboundedPreceding, -1)
 
 
-def after(spec):
-    return spec.rowsBetween(1, Window.unboundedFollowing)
-
-
 def upto(spec):
     return spec.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def onward(spec):
-    return spec.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-
-
 def row_numbers(
     df: DataFrame, keys: list[str], order_by: str, width: int = BLOCK_ROWS, name: str = "_rn"
 ) -> DataFrame:

@@ -9,11 +9,9 @@ from .blocks import (
     BLOCK_ROWS,
     HOUR_MS,
     across,
-    after,
     before,
     block_of,
     inside,
-    onward,
     row_numbers,
     upto,
 )
@@ -149,13 +147,13 @@ def interpolate_linear(
         *keys,
         "_block",
         *[F.last(f"_tail_{c}", ignorenulls=True).over(before(across(keys))).alias(f"_cb_{c}") for c in columns],
-        *[F.first(f"_head_{c}", ignorenulls=True).over(after(across(keys))).alias(f"_ca_{c}") for c in columns],
+        *[F.last(f"_head_{c}", ignorenulls=True).over(before(across(keys, reverse=True))).alias(f"_ca_{c}") for c in columns],
     )
-    local = inside(keys, "_rn")
+    forth, back = upto(inside(keys, "_rn")), upto(inside(keys, "_rn", reverse=True))
     around = numbered.withColumns(
         {
-            **{f"_b_{c}": F.last(known(c), ignorenulls=True).over(upto(local)) for c in columns},
-            **{f"_a_{c}": F.first(known(c), ignorenulls=True).over(onward(local)) for c in columns},
+            **{f"_b_{c}": F.last(known(c), ignorenulls=True).over(forth) for c in columns},
+            **{f"_a_{c}": F.last(known(c), ignorenulls=True).over(back) for c in columns},
         }
     ).join(carry, [*keys, "_block"], "left")
     around = around.withColumns(

@@ -203,17 +203,21 @@ def iv_rank(
 ) -> DataFrame:
     """Percent of past values at or below the current one; 50 without history.
 
-    ``current`` has one row per key.  History rows meet exactly that row, are reduced to
-    two counts on the map side, and never gather in one place.
+    ``current`` has one row per key.  History is first counted per value on the map side
+    (quoted volatilities repeat a lot), then meets exactly that row and becomes two sums.
     """
-    meet = history.select(*keys, F.col(past).alias("_past"), *([F.col(on).alias("_when")] if lookback_days else []))
     now = current.select(*keys, F.col(value).alias("_now"), *([F.col(on).alias("_at")] if lookback_days else []))
-    pairs = meet.join(now, keys)
     if lookback_days:
         span = lookback_days * 86_400_000
-        pairs = pairs.filter((F.col("_when") <= F.col("_at")) & (F.col("_when") > F.col("_at") - span))
+        past_rows = history.select(*keys, F.col(past).alias("_past"), F.col(on).alias("_when"), F.lit(1).alias("_n"))
+        pairs = past_rows.join(now, keys).filter(
+            (F.col("_when") <= F.col("_at")) & (F.col("_when") > F.col("_at") - span)
+        )
+    else:
+        pairs = history.groupBy(*keys, F.col(past).alias("_past")).agg(F.count(F.lit(1)).alias("_n")).join(now, keys)
+    below = F.sum(F.when(F.col("_past") <= F.col("_now"), F.col("_n")).otherwise(0))
     counted = pairs.filter(F.col("_past").isNotNull()).groupBy(*keys).agg(
-        (F.count_if(F.col("_past") <= F.col("_now")) * 100.0 / F.count(F.lit(1))).alias("_rank")
+        (below * 100.0 / F.sum("_n")).alias("_rank")
     )
     return (
         current.join(counted, keys, "left")

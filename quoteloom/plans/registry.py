@@ -113,10 +113,10 @@ def run_counts(planned: DataFrame, landed: DataFrame, now_ms: int, days: int) ->
 
 def run_rows(planned: DataFrame, landed: DataFrame) -> DataFrame:
     """The landed rows a plan selects, each once, ready for the table sink.  The planned
-    cells are as many as the registry lists, so they are the small side."""
+    cells come from the registry, a list written in code, so they can be broadcast."""
     wanted = planned.groupBy(*CELL).agg(F.min("start_ms").alias("_lo"), F.max("end_ms").alias("_hi"))
     return (
-        landed.join(wanted, CELL)
+        landed.join(F.broadcast(wanted), CELL)
         .filter((F.col("timestamp") >= F.col("_lo")) & (F.col("timestamp") < F.col("_hi")))
         .select(*landed.columns)
     )

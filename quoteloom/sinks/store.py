@@ -37,21 +37,16 @@ def narrow(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("float") for c in columns if c in df.columns})
 
 
-def _spread(df: DataFrame, parts: list[str], order: list[str], salt: int) -> DataFrame:
-    """Bring a partition's rows together, a hot one on ``salt`` tasks, sorted for
-    statistics that let readers skip row groups."""
-    if salt > 1:
-        lane = F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(salt))
-        placed = df.repartition(*parts, lane)
-    else:
-        placed = df.repartition(*parts)
-    return placed.sortWithinPartitions(*parts, *order)
-
+def overwrite_partitions(df: DataFrame, path: str, parts: list[str], order: list[str]) -> None:
+    """Replace exactly the partitions that occur in ``df``.
 
-def overwrite_partitions(df: DataFrame, path: str, parts: list[str], order: list[str], salt: int = 8) -> None:
-    """Replace exactly the partitions that occur in ``df``."""
+    The rebalance hint brings the rows of a partition together at run time, merges small
+    partitions into one task and splits a hot one over several; sorting inside the files
+    gives readers statistics to skip by.
+    """
     (
-        _spread(df, parts, order, salt)
+        df.hint("rebalance", *parts)
+        .sortWithinPartitions(*parts, *order)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", COMPRESSION)
@@ -67,7 +62,6 @@ def upsert(
     parts: list[str] | None = None,
     order_by: list[str] | None = None,
     keep: str = "last",
-    salt: int = 8,
 ) -> None:
     """Merge rows into the table: one row per key, the incoming one (``last``) or the
     stored one (``first``) winning.
@@ -92,7 +86,7 @@ def upsert(
     staged = f"{shared_dir(spark)}/staged-{uuid.uuid4().hex}"
     merged.write.option("compression", COMPRESSION).parquet(staged)
     try:
-        overwrite_partitions(spark.read.parquet(staged), path, parts, [c for c in order if c not in parts], salt)
+        overwrite_partitions(spark.read.parquet(staged), path, parts, [c for c in order if c not in parts])
     finally:
         fs, p = _hadoop_path(spark, staged)
         fs.delete(p, True)
