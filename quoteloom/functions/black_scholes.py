@@ -44,8 +44,8 @@ def with_greeks(
     staged = staged.withColumns(
         {
             "_pdf": norm_pdf(F.col("_d1")),
-            "_tail1": upper_tail(F.col("_d1")),
-            "_tail2": upper_tail(F.col("_d2")),
+            "_tail1": upper_tail("_d1"),
+            "_tail2": upper_tail("_d2"),
             "_pv": k * F.exp(-F.col("_r") * F.col("_t")),
         }
     )

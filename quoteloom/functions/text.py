@@ -9,24 +9,24 @@ from pyspark.sql import functions as F
 OPTION_NAME = r"^([A-Z]+)-(\d{1,2}[A-Z]{3}\d{2})-(\d+)-([CP])$"
 
 
-def _part(name: Column, group: int) -> Column:
-    return F.nullif(F.regexp_extract(name, OPTION_NAME, group), F.lit(""))
-
-
-def option_currency(name: Column) -> Column:
-    return _part(name, 1)
-
-
-def option_expiry(name: Column) -> Column:
-    return _part(name, 2)
-
-
-def option_strike(name: Column) -> Column:
-    return _part(name, 3).cast("double")
-
-
-def option_side(name: Column) -> Column:
-    return _part(name, 4)
+def option_parts(name: Column) -> Column:
+    """[currency, expiry, strike, side] of an option name, a single element otherwise.
+
+    One pass of the pattern: the groups are joined by a character no name contains.
+    """
+    return F.split(F.regexp_replace(name, OPTION_NAME, "$1\u0001$2\u0001$3\u0001$4"), "\u0001")
+
+
+def option_fields(parts: Column) -> Column:
+    """Named fields of ``option_parts``; all null for other names."""
+    expiry = F.get(parts, F.lit(1))
+    return F.struct(
+        F.when(expiry.isNotNull(), F.get(parts, F.lit(0))).alias("currency"),
+        expiry.alias("expiry"),
+        F.get(parts, F.lit(2)).cast("double").alias("strike"),
+        F.get(parts, F.lit(3)).alias("option_type"),
+        expiry_ms(expiry).alias("expiry_timestamp"),
+    )
 
 
 def expiry_ms(expiry: Column) -> Column:

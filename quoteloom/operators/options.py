@@ -32,16 +32,15 @@ def number(name: str) -> Column:
 
 
 def parse_instruments(df: DataFrame, name: str = "instrument_name") -> DataFrame:
-    """Add currency, expiry, strike, side and expiry ms; all null for other names."""
-    col = F.col(name)
-    return df.withColumns(
-        {
-            "currency": text.option_currency(col),
-            "expiry": text.option_expiry(col),
-            "strike": text.option_strike(col),
-            "option_type": text.option_side(col),
-        }
-    ).withColumn("expiry_timestamp", text.expiry_ms(F.col("expiry")))
+    """Add currency, expiry, strike, side and expiry ms; all null for other names.
+
+    The fields come out of a generator, so a later filter on them stays above it and the
+    name is parsed once per row instead of once per use.
+    """
+    fields = ("currency", "expiry", "strike", "option_type", "expiry_timestamp")
+    kept = [c for c in df.columns if c not in fields]
+    staged = df.select(*kept, text.option_parts(F.col(name)).alias("_parts"))
+    return staged.select(*kept, F.inline(F.array(text.option_fields(F.col("_parts")))))
 
 
 def time_to_expiry(df: DataFrame, now_ms: int | Column, expiry: str = "expiry_timestamp") -> DataFrame:
@@ -236,26 +235,44 @@ def vol_surface(
     """One surface point per group: at-the-money volatility of the tightest usable band,
     skew and butterfly over all rows, volatility per expiry, rank, quality.
 
-    The metrics are one aggregation; only per-expiry results are grouped again.
+    The rows are aggregated once, per expiry; the point is put together from those few
+    results.
     """
     if history is not None and "timestamp" in keys:
         raise ValueError("a rank against history needs one point per key: leave time out of keys")
-    point = greeks.groupBy(*keys).agg(
-        F.max("timestamp").alias("_latest"),
-        *[
-            _closest(F.col("iv"), _distance(spot), seq, _in_band(b, spot)).alias(f"_atm{i}")
-            for i, b in enumerate(ATM_BANDS)
-        ],
-        _closest(F.col("iv"), _distance(spot), seq).alias("_atm_all"),
-        (_wing(WING_DELTA, seq) - _wing(-WING_DELTA, seq)).alias("skew_25d"),
-        _butterfly(seq, spot).alias("butterfly_25d"),
+    rows = greeks.select(
+        *keys, "expiry", F.col("timestamp").alias("_latest"), "iv", F.col(seq).alias("_s"),
+        _distance(spot).alias("_d"),
+        F.abs(F.col("delta") - WING_DELTA).alias("_call"),
+        F.abs(F.col("delta") + WING_DELTA).alias("_put"),
+        *[_in_band(b, spot).alias(f"_in{i}") for i, b in enumerate(ATM_BANDS)],
     )
-    point = point.withColumn(
-        "atm_iv", F.coalesce(*[f"_atm{i}" for i in range(len(ATM_BANDS))], "_atm_all")
+
+    def best(distance: str, where: str | None = None) -> Column:
+        usable = F.col(distance).isNotNull() if where is None else F.col(distance).isNotNull() & F.col(where)
+        return F.min(F.when(usable, F.struct(F.col(distance).alias("d"), F.col("_s").alias("s"), F.col("iv").alias("iv"))))
+
+    picks = {"_all": best("_d"), "_c": best("_call"), "_p": best("_put")}
+    picks.update({f"_atm{i}": best("_d", f"_in{i}") for i in range(len(ATM_BANDS))})
+    by_expiry = rows.groupBy(*keys, "expiry").agg(
+        F.max("_latest").alias("_latest"), *[c.alias(n) for n, c in picks.items()]
+    )
+    term = F.sort_array(F.collect_list(F.struct("expiry", F.col("_all.iv").alias("iv"))))
+    point = by_expiry.groupBy(*keys).agg(
+        F.max("_latest").alias("_latest"),
+        F.map_from_entries(term).alias("term_structure"),
+        *[F.min(n).alias(n) for n in picks],
+    )
+    wings = F.col("_c.iv"), F.col("_p.iv")
+    point = point.withColumns(
+        {
+            "atm_iv": F.coalesce(*[F.col(f"_atm{i}.iv") for i in range(len(ATM_BANDS))], F.col("_all.iv")),
+            "skew_25d": wings[0] - wings[1],
+            "butterfly_25d": (wings[0] + wings[1]) / 2 - F.col("_all.iv"),
+        }
     )
     flat = (F.col("atm_iv") == 0) & (F.col("skew_25d") == 0) & (F.col("butterfly_25d") == 0)
     point = point.withColumn("quality", F.when(flat, "estimated").otherwise("good"))
-    point = point.join(term_structure_map(greeks, keys, seq, spot), keys, "left")
     if history is None:
         point = point.withColumn("iv_rank", F.lit(NO_HISTORY_RANK))
     else:

@@ -19,6 +19,11 @@ RUNTIME_CONF = {
 }
 
 
+# Settings that only a new session can take.  Call-site capture costs several gateway
+# calls for every column expression that is built.
+STARTUP_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the run-time settings to an existing session."""
     for key, value in RUNTIME_CONF.items():
@@ -31,7 +36,7 @@ def get_session(app_name: str = "quoteloom", master: str | None = None, **conf:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
+    for key, value in {**RUNTIME_CONF, **STARTUP_CONF, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
 

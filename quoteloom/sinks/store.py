@@ -75,18 +75,19 @@ def upsert(
     keys = list(keys or natural_key(incoming))
     order = list(order_by or ["timestamp"])
     keyed = list(dict.fromkeys([*parts, *keys]))
-    if table_exists(spark, path):
-        schema = incoming.schema
-        stored = spark.read.option("mergeSchema", "true").parquet(path)
-        stored = stored.withColumns({c: F.col(c).cast(schema[c].dataType) for c in parts})
-        touched = stored.join(incoming.select(*parts).distinct(), parts, "left_semi")
-    else:
-        touched = incoming.limit(0)
+    columns = [c for c in order if c not in parts]
+    if not table_exists(spark, path):
+        overwrite_partitions(merge(incoming.limit(0), incoming, keyed, order, keep), path, parts, columns)
+        return
+    kinds = incoming.schema
+    stored = spark.read.option("mergeSchema", "true").parquet(path)
+    stored = stored.withColumns({c: F.col(c).cast(kinds[c].dataType) for c in parts})
+    touched = stored.join(incoming.select(*parts).distinct(), parts, "left_semi")
     merged = merge(touched, incoming, keyed, order, keep)
     staged = f"{shared_dir(spark)}/staged-{uuid.uuid4().hex}"
     merged.write.option("compression", COMPRESSION).parquet(staged)
     try:
-        overwrite_partitions(spark.read.parquet(staged), path, parts, [c for c in order if c not in parts])
+        overwrite_partitions(spark.read.parquet(staged), path, parts, columns)
     finally:
         fs, p = _hadoop_path(spark, staged)
         fs.delete(p, True)

@@ -105,13 +105,21 @@ def _levels(raw: Column) -> Column:
     """Levels as ``[price, amount, count?]`` or ``{price, amount}`` -> structs."""
 
     def level(text: Column) -> Column:
-        listed = F.from_json(text, "array<double>")
-        named = F.from_json(text, "price double, amount double")
+        # A list of numbers needs no JSON parser.
+        listed = F.split(F.translate(text, '[]" ', ""), ",")
         is_list = F.startswith(F.ltrim(text), F.lit("["))
+
+        def value(i: int, name: str) -> Column:
+            named = F.get_json_object(text, f"$.{name}")
+            return F.coalesce(
+                F.when(is_list, F.get(listed, F.lit(i))).otherwise(named).try_cast("double"), F.lit(0.0)
+            )
+
+        count = F.when(is_list, F.get(listed, F.lit(2)).try_cast("double").cast("int"))
         return F.struct(
-            F.coalesce(F.when(is_list, F.get(listed, F.lit(0))).otherwise(named["price"]), F.lit(0.0)).alias("price"),
-            F.coalesce(F.when(is_list, F.get(listed, F.lit(1))).otherwise(named["amount"]), F.lit(0.0)).alias("amount"),
-            F.coalesce(F.when(is_list, F.get(listed, F.lit(2))).cast("int"), F.lit(0)).alias("order_count"),
+            value(0, "price").alias("price"),
+            value(1, "amount").alias("amount"),
+            F.coalesce(count, F.lit(0)).alias("order_count"),
         )
 
     return F.transform(F.coalesce(raw, F.array().cast("array<string>")), level)
