@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quoteloom.functions import text
 from quoteloom.functions.normal import norm_cdf, norm_pdf
+from quoteloom.functions.spline import any_knots
 from quoteloom.operators import basis, options, rates
 from quoteloom.plans import market as plans
 from quoteloom.sources.prices import rate_observations
@@ -393,6 +394,21 @@ def rate_for_tenor(spark, d):
     return rounded(out.select(F.col("date").cast("string").alias("date"), "tenor_years", "rate_annual", "rate_continuous"), "rate_annual", "rate_continuous")
 
 
+@query(
+    "interpolate_curve",
+    f"""{oracle_with('fred')}, {_FILL}, {_weights_sql()}, y AS (SELECT date, w.tenor_years, sum(w.weight * coalesce(nullif(rate, 0), 0.05)) AS annual FROM filled JOIN w USING (series_id) GROUP BY 1, 2)
+SELECT cast(date AS varchar) AS date, tenor_years, {r('annual')} AS rate_annual FROM y""",
+)
+def interpolate_curve(spark, d):
+    """The same through the form that takes any knots from array columns."""
+    wide = rates.curve_columns(rates.yield_curve(_observations(spark, d)))
+    knots = F.array(*[F.lit(t) for t in rates.SERIES_TENORS.values()])
+    heights = F.array(*[F.col(s) for s in rates.SERIES_TENORS])
+    at = wide.select("date", knots.alias("xs"), heights.alias("ys"), F.explode(F.array(*[F.lit(t) for t in _TARGETS])).alias("tenor_years"))
+    out = at.select(F.col("date").cast("string").alias("date"), "tenor_years", any_knots(F.col("xs"), F.col("ys"), F.col("tenor_years")).alias("rate_annual"))
+    return rounded(out, "rate_annual")
+
+
 @query(
     "greeks_with_curve",
     f"""{oracle_with('chain', 'fred')}, {_FILL}, rate3 AS (SELECT date, ln(1 + coalesce(nullif(rate, 0), 0.05)) AS rr FROM filled WHERE series_id = 'DGS3MO'),

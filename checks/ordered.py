@@ -62,6 +62,7 @@ _asof_query("asof_forward", "forward", MIN5, False)
 _asof_query("asof_nearest", "nearest", None, False)
 _asof_query("asof_nearest_tolerance", "nearest", MIN10, False)
 _asof_query("asof_backward_by_key", "backward", 24 * HOUR, True)
+_asof_query("asof_forward_by_key", "forward", 24 * HOUR, True)
 
 
 @query(
@@ -200,6 +201,19 @@ def arrival_order(spark, d):
     return continuity.arrival_order(one, "arrival", keys=["symbol"])
 
 
+@query(
+    "strictly_increasing",
+    f"""{oracle_with('candles')}, one AS (SELECT symbol, seq * 8 + seq2 AS arrival, min(timestamp) AS timestamp FROM candles GROUP BY 1, 2),
+s AS (SELECT symbol, timestamp, lag(timestamp) OVER (PARTITION BY symbol ORDER BY arrival) AS prev FROM one)
+SELECT symbol, count(*) FILTER (timestamp <= prev) AS bad_steps, count(*) FILTER (timestamp <= prev) = 0 AS strictly_increasing FROM s GROUP BY 1""",
+)
+def strictly_increasing(spark, d):
+    one = view(spark, d, "candles").groupBy("symbol", (F.col("seq") * 8 + F.col("seq2")).alias("arrival")).agg(
+        F.min("timestamp").alias("timestamp")
+    )
+    return continuity.non_increasing_steps(one, "arrival", keys=["symbol"])
+
+
 _ORDER = """a AS (SELECT instrument, count(*) FILTER (timestamp < prev) = 0 AS monotonic FROM
   (SELECT instrument, timestamp, lag(timestamp) OVER (PARTITION BY instrument ORDER BY seq) AS prev FROM ticks) GROUP BY 1)"""
 

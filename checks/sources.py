@@ -60,6 +60,15 @@ def norm_klines(spark, d):
 FROM ticks, (VALUES (0), (1), (2)) n(i)""",
 )
 def norm_chart_arrays(spark, d):
+    return candles.chart_arrays(_raw_charts(spark, d), extra=["seq"]).drop("trades")
+
+
+@query("chart_lengths", f"{oracle_with('ticks')} SELECT seq, 'deribit' AS exchange, 3 AS ticks, false AS equal_lengths FROM ticks")
+def chart_lengths(spark, d):
+    return candles.chart_lengths(_raw_charts(spark, d), extra=["seq"])
+
+
+def _raw_charts(spark, d):
     ts, p = F.col("timestamp"), F.col("p")
     body = F.struct(
         F.array(ts, ts + 1000, ts + 2000).alias("ticks"),
@@ -69,8 +78,7 @@ def norm_chart_arrays(spark, d):
         F.array(p, p + 1, p + 2).alias("close"),
         F.array().cast("array<double>").alias("volume"),
     )
-    raw = _ticks(spark, d).select("seq", F.lit("deribit").alias("exchange"), _json(result=body).alias("payload"))
-    return candles.chart_arrays(raw, extra=["seq"]).drop("trades")
+    return _ticks(spark, d).select("seq", F.lit("deribit").alias("exchange"), _json(result=body).alias("payload"))
 
 
 @query(

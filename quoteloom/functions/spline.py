@@ -72,6 +72,7 @@ def any_knots(xs: Column, ys: Column, t: Column, extrapolate: str = "const") ->
     @F.pandas_udf("double")
     def evaluate(knots: pd.Series, heights: pd.Series, at: pd.Series) -> pd.Series:
         out = np.zeros(len(at))
+        weights: dict[bytes, np.ndarray] = {}  # curves of a batch mostly share their knots
         for k, (x, y, v) in enumerate(zip(knots, heights, at)):
             if x is None or len(x) == 0:
                 continue
@@ -81,7 +82,10 @@ def any_knots(xs: Column, ys: Column, t: Column, extrapolate: str = "const") ->
             elif extrapolate == "const" and v >= x[-1]:
                 out[k] = y[-1]
             else:
-                m = curvature_weights(x) @ y
+                mark = x.tobytes()
+                if mark not in weights:
+                    weights[mark] = curvature_weights(x)
+                m = weights[mark] @ y
                 i = int(np.clip(np.searchsorted(x, v) - 1, 0, len(x) - 2))
                 out[k] = _segment(x[i], x[i + 1], y[i], y[i + 1], m[i], m[i + 1], v)
         return pd.Series(out)

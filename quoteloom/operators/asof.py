@@ -7,7 +7,8 @@ Plan, for any number of sources at once:
    timestamp costs one row of shuffle per task;
 2. inside (keys, block) a running ``last`` finds the match, walking forth or back;
 3. a source row is also sent to the neighbouring blocks its tolerance reaches, so no
-   match crosses an edge; without a tolerance one summary row per block carries it;
+   match crosses an edge; without a tolerance, or with one wider than a block, one
+   summary row per block carries it instead;
 4. the matches go back to the target rows by an equi-join on (keys, timestamp), where
    the match side is unique and AQE can split a hot timestamp.
 """
@@ -69,14 +70,14 @@ def align(
     if direction not in DIRECTIONS:
         raise ValueError(f"direction must be one of {DIRECTIONS}")
     keys = list(keys or [])
-    wide = max([block_ms, *[s.tolerance_ms or 0 for s in sources]])
+    reach = [s.tolerance_ms if s.tolerance_ms is not None and s.tolerance_ms <= block_ms else None for s in sources]
     look_back = direction != "forward"
     look_ahead = direction != "backward"
 
     rows = target.select(
         *keys,
         F.col(on).cast("long").alias("_ts"),
-        block_of(F.col(on), wide).alias("_block"),
+        block_of(F.col(on), block_ms).alias("_block"),
         F.lit(-1).alias("_src"),
         F.lit(None).cast("long").alias("_seq"),
     )
@@ -88,7 +89,7 @@ def align(
         part = s.df.filter(F.col(on).isNotNull()).select(
             *keys,
             F.col(on).cast("long").alias("_ts"),
-            F.explode(_reach(F.col(on).cast("long"), wide, s.tolerance_ms, direction)).alias("_block"),
+            F.explode(_reach(F.col(on).cast("long"), block_ms, reach[i], direction)).alias("_block"),
             F.lit(i).alias("_src"),
             payload.alias(f"_p{i}"),
             order.alias(f"_o{i}"),
@@ -120,10 +121,10 @@ def align(
             found[f"_ahead{i}"] = F.last(stamped("first", i), ignorenulls=True).over(back)
     matched = instants.withColumns(found).filter("_wanted")
 
-    unlimited = [i for i, s in enumerate(sources) if s.tolerance_ms is None]
-    if unlimited:
+    far = [i for i, span in enumerate(reach) if span is None]
+    if far:
         edges, carried = [], []
-        for i in unlimited:
+        for i in far:
             if look_back:
                 edges.append(
                     F.max_by(stamped("last", i), F.when(F.col(f"_last{i}").isNotNull(), F.col("_ts"))).alias(f"_e{i}")
@@ -137,7 +138,7 @@ def align(
         carry = instants.groupBy(*keys, "_block").agg(*edges).select(*keys, "_block", *carried)
         matched = matched.join(carry, [*keys, "_block"], "left")
         filled = {}
-        for i in unlimited:
+        for i in far:
             if look_back:
                 filled[f"_back{i}"] = F.coalesce(f"_back{i}", f"_cb{i}")
             if look_ahead:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,21 +73,36 @@ def arrival_order(
 ) -> DataFrame:
     """Per key: number of rows earlier than the row that arrived just before, and
     ``monotonic`` = there is none.  ``arrival`` is an integer unique within the keys."""
-    keys = list(keys or [])
+    return _steps(df, arrival, on, list(keys or []), width, lambda a, b: a < b, "backward_steps", "monotonic")
+
+
+def _steps(
+    df: DataFrame, arrival: str, on: str, keys: list[str], width: int,
+    breaks: Callable[[Column, Column], Column], count: str, flag: str,
+) -> DataFrame:
+    """Number of neighbouring rows (in order of arrival) whose times break the order."""
     blocked = df.select(
         *keys, F.col(on).alias("_ts"), F.col(arrival).alias("_a"), block_of(F.col(arrival), width).alias("_block")
     )
     stepped = blocked.withColumn("_prev", F.lag("_ts").over(inside(keys, "_a")))
     blocks = stepped.groupBy(*keys, "_block").agg(
-        F.count_if(F.col("_ts") < F.col("_prev")).alias("_back"),
+        F.count_if(breaks(F.col("_ts"), F.col("_prev"))).alias("_bad"),
         F.min_by("_ts", "_a").alias("_first"),
         F.max_by("_ts", "_a").alias("_last"),
     )
     crossed = blocks.withColumn(
-        "_x", F.when(F.col("_first") < F.lag("_last").over(across(keys)), 1).otherwise(0)
+        "_x", F.when(breaks(F.col("_first"), F.lag("_last").over(across(keys))), 1).otherwise(0)
     )
-    back = F.sum(F.col("_back") + F.col("_x")).cast("long")
-    return crossed.groupBy(*keys).agg(back.alias("backward_steps"), (back == 0).alias("monotonic"))
+    bad = F.sum(F.col("_bad") + F.col("_x")).cast("long")
+    return crossed.groupBy(*keys).agg(bad.alias(count), (bad == 0).alias(flag))
+
+
+def non_increasing_steps(
+    df: DataFrame, arrival: str, on: str = "timestamp", keys: list[str] | None = None, width: int = BLOCK_ROWS
+) -> DataFrame:
+    """Per key: rows whose time is not after that of the row before, and whether the
+    series is strictly increasing.  ``arrival`` as in ``arrival_order``."""
+    return _steps(df, arrival, on, list(keys or []), width, lambda a, b: a <= b, "bad_steps", "strictly_increasing")
 
 
 def continuity_issues(stats: DataFrame, expected_ms: Column, tolerance: float = GAP_TOLERANCE) -> DataFrame:

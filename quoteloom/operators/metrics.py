@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .asof import asof_join
 from .blocks import BLOCK_ROWS, HOUR_MS, block_of
 from .gaps import detect_gaps, forward_fill
+from .tables import dedupe
 
 # Upper bounds of the flush-size and duration histograms.
 FLUSH_SIZE_BOUNDS = (1.0, 10.0, 50.0, 100.0, 500.0, 1000.0, 5000.0)
@@ -35,9 +36,15 @@ def histogram_le(df: DataFrame, value: str, bounds: Sequence[float], keys: list[
     return agg.select(*keys, F.inline(packed))
 
 
+def _one_per(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key; between differing copies their values decide, so that the result
+    does not depend on the order of arrival."""
+    return dedupe(df, keys, [c for c in df.columns if c not in keys], "first")
+
+
 def dataset_profile(tickers: DataFrame, books: DataFrame, trades: DataFrame) -> DataFrame:
     """One row over the three record types; each is deduplicated on its key first."""
-    t = tickers.dropDuplicates(["instrument_name", "timestamp"]).agg(
+    t = _one_per(tickers, ["instrument_name", "timestamp"]).agg(
         F.count(F.lit(1)).alias("ticker_records"),
         F.countDistinct("instrument_name").alias("ticker_instruments"),
         F.count_if(F.col("underlying_price") > 0).alias("valid_underlying"),
@@ -46,10 +53,10 @@ def dataset_profile(tickers: DataFrame, books: DataFrame, trades: DataFrame) ->
         F.avg("mark_iv").alias("mark_iv_mean"),
         F.sum("open_interest").alias("total_open_interest"),
     )
-    b = books.dropDuplicates(["instrument_name", "timestamp"]).agg(
+    b = _one_per(books, ["instrument_name", "timestamp"]).agg(
         F.count(F.lit(1)).alias("book_records"), F.avg("bid_levels").alias("avg_bid_levels")
     )
-    d = trades.dropDuplicates(["trade_id"]).agg(
+    d = _one_per(trades, ["trade_id"]).agg(
         F.count(F.lit(1)).alias("trade_records"),
         F.min("price").alias("price_min"),
         F.max("price").alias("price_max"),
@@ -136,6 +143,10 @@ def filled_snapshots(
     chunk = max(step_ms, (HOUR_MS // step_ms) * step_ms)
     first = block_of(F.col("_lo") - 1, step_ms) + 1  # first step at or after the first row
     hours = span.withColumn("_h", F.explode(F.sequence(block_of(F.col("_lo"), chunk), block_of(F.col("_hi"), chunk))))
+    # Spread the hours before they expand: a key with a long history must not expand in
+    # the one task that knows its span.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hours = hours.repartition(tasks, *keys, "_h")
     low = F.greatest(F.col("_h") * chunk, first * step_ms)
     high = F.least(F.col("_h") * chunk + chunk - 1, F.col("_hi"))
     spine = hours.filter(low <= high).select(

@@ -56,6 +56,18 @@ def chart_arrays(df: DataFrame, payload: str = "payload", extra: list[str] | Non
     )
 
 
+def chart_lengths(df: DataFrame, payload: str = "payload", extra: list[str] | None = None) -> DataFrame:
+    """Per payload: number of ticks and whether every other array is as long."""
+    parsed = df.select(*_names(df, extra), F.from_json(payload, f"result struct<{_CHART.replace(' array', ':array')}>")["result"].alias("_c"))
+    ticks = F.size("_c.ticks")
+    same = F.lit(True)
+    for name in (*PRICES, "volume"):
+        same = same & (F.coalesce(F.size(f"_c.{name}"), F.lit(-1)) == ticks)
+    return parsed.filter(F.col("_c").isNotNull()).select(
+        *_names(df, extra), ticks.alias("ticks"), same.alias("equal_lengths")
+    )
+
+
 _CANDLE = "array<struct<t:bigint,o:string,h:string,l:string,c:string,v:string,n:int>>"
 
 
