@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import HOUR_MS, across, before, block_of, inside, upto
+from .blocks import BLOCK_MS, across, before, block_of, inside, upto
 
 DEFAULT_TOLERANCE_MS = 60_000
 DIRECTIONS = ("backward", "forward", "nearest")
@@ -48,12 +48,12 @@ class Source:
 
 
 def _reach(ts: Column, width: int, tolerance: int | None, direction: str) -> Column:
-    """Blocks whose targets may match a source row at ``ts``."""
+    """Block of a source row, once for each block whose targets may match it."""
     if tolerance is None:
-        return F.array(block_of(ts, width))
+        return block_of(ts, width)
     low = ts if direction == "backward" else ts - tolerance
     high = ts if direction == "forward" else ts + tolerance
-    return F.sequence(block_of(low, width), block_of(high, width))
+    return F.explode(F.sequence(block_of(low, width), block_of(high, width)))
 
 
 def align(
@@ -62,7 +62,7 @@ def align(
     on: str = "timestamp",
     keys: list[str] | None = None,
     direction: str = "backward",
-    block_ms: int = HOUR_MS,
+    block_ms: int = BLOCK_MS,
     ages: bool = True,
 ) -> DataFrame:
     """Left as-of join of every source onto ``target``; each aligned column gets an
@@ -79,37 +79,38 @@ def align(
         F.col(on).cast("long").alias("_ts"),
         block_of(F.col(on), block_ms).alias("_block"),
         F.lit(-1).alias("_src"),
-        F.lit(None).cast("long").alias("_seq"),
     )
-    # One struct column per source; absent elsewhere.
+    # The value columns of each source stay flat and the order is a plain column where
+    # there is one: buffers of fixed width let the reduction run as a hash aggregate.
     for i, s in enumerate(sources):
         values = s.value_columns(on, keys)
-        payload = F.struct(*[F.col(c) for c in values]) if values else F.struct(F.lit(True).alias("hit"))
-        order = F.struct(F.col(s.seq)) if s.seq else payload
+        order = F.col(s.seq) if s.seq else F.struct(F.lit(0), *values)
         part = s.df.filter(F.col(on).isNotNull()).select(
             *keys,
             F.col(on).cast("long").alias("_ts"),
-            F.explode(_reach(F.col(on).cast("long"), block_ms, reach[i], direction)).alias("_block"),
+            _reach(F.col(on).cast("long"), block_ms, reach[i], direction).alias("_block"),
             F.lit(i).alias("_src"),
-            payload.alias(f"_p{i}"),
             order.alias(f"_o{i}"),
+            *[F.col(c).alias(f"_p{i}_{j}") for j, c in enumerate(values)],
         )
         rows = rows.unionByName(part, allowMissingColumns=True)
 
     reduced = []
-    for i in range(len(sources)):
-        if look_back:
-            reduced.append(F.max_by(f"_p{i}", f"_o{i}").alias(f"_last{i}"))
-        if look_ahead:
-            reduced.append(F.min_by(f"_p{i}", f"_o{i}").alias(f"_first{i}"))
-    instants = rows.groupBy(*keys, "_block", "_ts").agg(
-        F.max(F.col("_src") == -1).alias("_wanted"), *reduced
-    )
+    for i, s in enumerate(sources):
+        reduced.append(F.max(F.col("_src") == i).alias(f"_has{i}"))
+        for j, _ in enumerate(s.value_columns(on, keys)):
+            if look_back:
+                reduced.append(F.max_by(f"_p{i}_{j}", f"_o{i}").alias(f"_last{i}_{j}"))
+            if look_ahead:
+                reduced.append(F.min_by(f"_p{i}_{j}", f"_o{i}").alias(f"_first{i}_{j}"))
+    instants = rows.groupBy(*keys, "_block", "_ts").agg(F.max(F.col("_src") == -1).alias("_wanted"), *reduced)
 
     def stamped(side: str, i: int) -> Column:
-        """The payload with its time, null where this instant has no such source row."""
+        """The values with their time, null where this instant has no such source row."""
+        values = sources[i].value_columns(on, keys)
         return F.when(
-            F.col(f"_{side}{i}").isNotNull(), F.struct(F.col("_ts").alias("ts"), F.col(f"_{side}{i}").alias("row"))
+            F.col(f"_has{i}"),
+            F.struct(F.col("_ts").alias("ts"), *[F.col(f"_{side}{i}_{j}").alias(f"v{j}") for j, _ in enumerate(values)]),
         )
 
     forth, back = upto(inside(keys, "_ts")), upto(inside(keys, "_ts", reverse=True))
@@ -127,15 +128,18 @@ def align(
         for i in far:
             if look_back:
                 edges.append(
-                    F.max_by(stamped("last", i), F.when(F.col(f"_last{i}").isNotNull(), F.col("_ts"))).alias(f"_e{i}")
+                    F.max_by(stamped("last", i), F.when(F.col(f"_has{i}"), F.col("_ts"))).alias(f"_e{i}")
                 )
                 carried.append(F.last(f"_e{i}", ignorenulls=True).over(before(across(keys))).alias(f"_cb{i}"))
             if look_ahead:
                 edges.append(
-                    F.min_by(stamped("first", i), F.when(F.col(f"_first{i}").isNotNull(), F.col("_ts"))).alias(f"_f{i}")
+                    F.min_by(stamped("first", i), F.when(F.col(f"_has{i}"), F.col("_ts"))).alias(f"_f{i}")
                 )
                 carried.append(F.last(f"_f{i}", ignorenulls=True).over(before(across(keys, reverse=True))).alias(f"_ca{i}"))
-        carry = instants.groupBy(*keys, "_block").agg(*edges).select(*keys, "_block", *carried)
+        # Blocks without a target need no carry.  The test also makes this branch read all
+        # that the other one reads, so both share one reduction (a reused exchange).
+        ends = instants.groupBy(*keys, "_block").agg(F.max("_wanted").alias("_wanted"), *edges)
+        carry = ends.select(*keys, "_block", "_wanted", *carried).filter("_wanted").drop("_wanted")
         matched = matched.join(carry, [*keys, "_block"], "left")
         filled = {}
         for i in far:
@@ -168,12 +172,12 @@ def align(
     taken = set(target.columns)
     out = []
     for i, s in enumerate(sources):
-        for c in s.value_columns(on, keys):
+        for j, c in enumerate(s.value_columns(on, keys)):
             label = s.rename.get(c, c)
             if label in taken:
                 label = f"{s.name}_{label}"
             taken.add(label)
-            out.append(F.col(f"_m{i}.row.{c}").alias(label))
+            out.append(F.col(f"_m{i}.v{j}").alias(label))
             if ages:
                 out.append((F.col(on) - F.col(f"_m{i}.ts")).alias(f"{label}_age_ms"))
     return target.join(matches, [*keys, on], "left").select(*target.columns, *out)
@@ -190,7 +194,7 @@ def asof_join(
     seq: str | None = None,
     name: str = "source",
     rename: dict[str, str] | None = None,
-    block_ms: int = HOUR_MS,
+    block_ms: int = BLOCK_MS,
     ages: bool = True,
 ) -> DataFrame:
     """As-of join of one source."""
@@ -203,7 +207,7 @@ def strategy_slice(
     sources: list[Source],
     on: str = "timestamp",
     keys: list[str] | None = None,
-    block_ms: int = HOUR_MS,
+    block_ms: int = BLOCK_MS,
 ) -> DataFrame:
     """Base timeline with every source aligned backward, in one pass over all of them."""
     return align(base, sources, on, keys, "backward", block_ms)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .asof import asof_join
-from .blocks import HOUR_MS
+from .blocks import BLOCK_MS
 from .tables import latest_per_key
 
 DAYS_PER_YEAR = 365
@@ -41,7 +41,7 @@ def _paired(a: DataFrame, b: DataFrame, keys: list[str], seq: str | None, block_
 
 def spot_perp(
     spot: DataFrame, perp: DataFrame, symbol: str | Column, days_to_expiry: int = DAYS_PER_YEAR,
-    keys: list[str] | None = None, seq: str | None = None, carry: list[str] | None = None, block_ms: int = HOUR_MS,
+    keys: list[str] | None = None, seq: str | None = None, carry: list[str] | None = None, block_ms: int = BLOCK_MS,
 ) -> DataFrame:
     """One basis point per spot row, against the perp row nearest in time."""
     keys = list(keys or [])
@@ -54,7 +54,7 @@ def spot_perp(
 
 def cross_exchange(
     a: DataFrame, b: DataFrame, symbol: str | Column = "CROSS_EXCHANGE", days_to_expiry: int = DAYS_PER_YEAR,
-    keys: list[str] | None = None, seq: str | None = None, carry: list[str] | None = None, block_ms: int = HOUR_MS,
+    keys: list[str] | None = None, seq: str | None = None, carry: list[str] | None = None, block_ms: int = BLOCK_MS,
 ) -> DataFrame:
     """Price on venue a minus price on venue b, one point per a-row."""
     keys = list(keys or [])

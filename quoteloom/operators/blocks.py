@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 from ..session import shared_dir
 
 HOUR_MS = 3_600_000
+# Ten minutes: at most 600 000 distinct times per key and block, and about fifty thousand
+# summary rows per key and year.
+BLOCK_MS = 600_000
 BLOCK_ROWS = 1 << 18
 
 

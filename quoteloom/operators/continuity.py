@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import BLOCK_ROWS, HOUR_MS, across, block_of, inside
+from .blocks import BLOCK_MS, BLOCK_ROWS, HOUR_MS, across, block_of, inside
 
 GAP_TOLERANCE = 3.0
 COVERAGE_OK = 50.0
@@ -17,7 +17,7 @@ def continuity_stats(
     df: DataFrame,
     on: str = "timestamp",
     keys: list[str] | None = None,
-    block_ms: int = HOUR_MS,
+    block_ms: int = BLOCK_MS,
 ) -> DataFrame:
     """Per key: rows, first and last time, distinct times, repeats, largest gap and where
     it starts (the earliest of equal ones)."""

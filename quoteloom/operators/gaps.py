@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import (
+    BLOCK_MS,
     BLOCK_ROWS,
-    HOUR_MS,
     across,
     before,
     block_of,
@@ -28,7 +28,7 @@ def detect_gaps(
     keys: list[str] | None = None,
     instrument: str = "instrument",
     seq: str | None = None,
-    block_ms: int = HOUR_MS,
+    block_ms: int = BLOCK_MS,
 ) -> DataFrame:
     """Consecutive rows more than ``threshold_ms`` apart, with the distinct instruments
     of the two rows around the gap (empty when there is no such column)."""

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .asof import asof_join
-from .blocks import BLOCK_ROWS, HOUR_MS, block_of
+from .blocks import BLOCK_MS, BLOCK_ROWS, HOUR_MS, block_of
 from .gaps import detect_gaps, forward_fill
 from .tables import dedupe
 
@@ -68,7 +68,7 @@ def dataset_profile(tickers: DataFrame, books: DataFrame, trades: DataFrame) ->
 
 
 def feed_silence(
-    df: DataFrame, feed: str, threshold_ms: int, now_ms: int | None = None, on: str = "timestamp", block_ms: int = HOUR_MS
+    df: DataFrame, feed: str, threshold_ms: int, now_ms: int | None = None, on: str = "timestamp", block_ms: int = BLOCK_MS
 ) -> DataFrame:
     """Silences of a feed longer than the threshold: when each began, when the alert was
     due and when data came back (null for a silence that lasts until ``now_ms``)."""
@@ -131,7 +131,7 @@ def snapshots(df: DataFrame, keys: list[str], step_ms: int = 1000, on: str = "ti
 
 def filled_snapshots(
     df: DataFrame, keys: list[str], columns: list[str], step_ms: int = 1000, on: str = "timestamp",
-    seq: str | None = None, block_ms: int = HOUR_MS,
+    seq: str | None = None, block_ms: int = BLOCK_MS,
 ) -> DataFrame:
     """The state at every step from a key's first to its last row: an unchanged value is
     repeated, with its age.
