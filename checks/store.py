@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from quoteloom.operators import tables
+from quoteloom.plans import candles as candle_plan
 from quoteloom.session import shared_dir
 from quoteloom.sinks import store
 
@@ -81,8 +82,7 @@ kept AS (SELECT *, row_number() OVER (PARTITION BY exchange, data_type, symbol,
 
 
 def _read(spark, d):
-    t = spark.read.parquet(_stored(spark, d))
-    return t.withColumns({"date": F.col("date").cast("string")})
+    return store.read_table(spark, _stored(spark, d))
 
 
 @query("upsert_table", f"{oracle_with('landed')}, {_TABLE} SELECT * FROM tab")
@@ -92,9 +92,8 @@ def upsert_table(spark, d):
 
 @query("load_range", f"{oracle_with('landed')}, {_TABLE} SELECT seq, timestamp, symbol, date FROM tab WHERE date BETWEEN '2024-01-05' AND '2024-01-09' AND symbol = 'BTC'")
 def load_range(spark, d):
-    t = spark.read.parquet(_stored(spark, d))
-    out = store.load_range(t, "2024-01-05", "2024-01-09", "BTC", "symbol")
-    return out.select("seq", "timestamp", "symbol", F.col("date").cast("string").alias("date"))
+    out = store.load_range(_read(spark, d), "2024-01-05", "2024-01-09", "BTC", "symbol")
+    return out.select("seq", "timestamp", "symbol", "date")
 
 
 @query(
@@ -174,3 +173,29 @@ def file_checks(spark, d):
 def storage_audit(spark, d):
     path = _stored(spark, d)
     return store.storage_audit(store.files_of(spark, path), path.removeprefix("file:"))
+
+
+@query(
+    "candle_update",
+    f"""{oracle_with('ticks')}, k AS (SELECT 'binance_spot' AS exchange, CASE user_id % 3 WHEN 0 THEN 'BTC' WHEN 1 THEN 'ETH' ELSE 'NEW' END AS symbol, timestamp, price, seq FROM ticks),
+e AS (SELECT exchange, symbol, timestamp, arg_min(price, price) AS price FROM k WHERE seq % 2 = 0 GROUP BY 1, 2, 3), l AS (SELECT exchange, symbol, timestamp, arg_min(price + 1, price) AS price FROM k GROUP BY 1, 2, 3)
+SELECT exchange, symbol, '1m' AS timeframe, timestamp, coalesce(e.price, l.price) AS open FROM l LEFT JOIN e USING (exchange, symbol, timestamp)""",
+)
+def candle_update(spark, d):
+    """Two landings of kline payloads: candles of the first one stay as they are."""
+    path = f"{shared_dir(spark)}/candles-{uuid.uuid4().hex}"
+    ticks = view(spark, d, "ticks")
+    third = F.col("user_id") % 3
+    symbol = F.when(third == 0, "BTCUSDT").when(third == 1, "ETHUSDT").otherwise("NEW")
+
+    def landed(rows, price):
+        ts = F.col("timestamp").cast("string")
+        p = price.cast("string")
+        body = F.concat(F.lit("[["), ts, *[x for _ in range(4) for x in (F.lit(',"'), p, F.lit('"'))], F.lit(',"1"]]'))
+        return rows.select(
+            F.lit("klines").alias("form"), F.lit("binance_spot").alias("exchange"), symbol.alias("symbol"), F.lit("1m").alias("timeframe"), body.alias("payload")
+        )
+
+    candle_plan.update(landed(ticks.filter(F.col("seq") % 2 == 0), F.col("price")), path)
+    candle_plan.update(landed(ticks, F.col("price") + 1), path)
+    return store.read_table(spark, path, [*candle_plan.SERIES, "date"]).select("exchange", "symbol", "timeframe", "timestamp", "open")

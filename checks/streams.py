@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quoteloom.fixtures import VIEWS, spell
 from quoteloom.session import configure, shared_dir
+from quoteloom.sinks.store import read_table
 from quoteloom.sources import option_feed
 from quoteloom.streaming import live
 
@@ -110,7 +111,7 @@ def stream_table(spark, d):
         "timestamp", F.lit("binance").alias("exchange"), F.lit("spot_price").alias("data_type"), F.col("instrument_name").alias("symbol"), "price", "arrival"
     )
     live.write_table(rows, f"{folder}/out", f"{folder}/ckpt", order_by=["arrival"], **ALL).awaitTermination()
-    return spark.read.parquet(f"{folder}/out").withColumn("date", F.col("date").cast("string"))
+    return read_table(spark, f"{folder}/out")
 
 
 @query(

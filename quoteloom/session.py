@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Folder names are text: a timeframe "1d" must not come back as the number 1.0.
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 

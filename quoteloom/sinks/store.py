@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import utc_day_string
 from ..operators.tables import merge, natural_key
@@ -27,6 +28,15 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def read_table(spark: SparkSession, path: str, parts: list[str] | None = None) -> DataFrame:
+    """The table with its partition columns as text, whatever the folder names look like
+    (a timeframe ``1d`` would otherwise be read as the number 1.0)."""
+    found = spark.read.option("mergeSchema", "true").parquet(path).schema
+    text = set(parts or PARTITIONS)
+    fields = [T.StructField(f.name, T.StringType() if f.name in text else f.dataType) for f in found]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
 def with_date(df: DataFrame, on: str = "timestamp") -> DataFrame:
     """Add the UTC date of an epoch-ms column as the partition column."""
     return df.withColumn("date", utc_day_string(F.col(on)))
@@ -80,7 +90,7 @@ def upsert(
         overwrite_partitions(merge(incoming.limit(0), incoming, keyed, order, keep), path, parts, columns)
         return
     kinds = incoming.schema
-    stored = spark.read.option("mergeSchema", "true").parquet(path)
+    stored = read_table(spark, path, parts)
     stored = stored.withColumns({c: F.col(c).cast(kinds[c].dataType) for c in parts})
     touched = stored.join(incoming.select(*parts).distinct(), parts, "left_semi")
     merged = merge(touched, incoming, keyed, order, keep)

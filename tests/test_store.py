@@ -167,3 +167,27 @@ def test_names(spark):
     df = spark.createDataFrame([("deribit", "ETH-PERPETUAL", "6h"), ("binance", "X", "6h"), ("hyperliquid", "kPEPE", "6h")], "e string, s string, t string")
     got = df.select(naming.unified_symbol(F.col("e"), F.col("s")).alias("u"), naming.venue_timeframe(F.col("e"), F.col("t")).alias("r")).collect()
     assert [(r.u, r.r) for r in got] == [("ETH", "1D"), ("X", "6h"), ("PEPE", "1d")]
+
+
+def test_candle_update_and_next_ranges(spark, tmp_path):
+    from quoteloom.plans import candles as plan
+
+    path = str(tmp_path / "c")
+    day = store.DAY_MS
+    rows = [
+        ("klines", "binance_spot", "BTCUSDT", "1d", f'[[{T0},"1","2","0.5","1.5","10",0,"15"],[{T0 + day},"1","2","0.5","1.5","10"]]'),
+        ("chart", "deribit", "BTC-PERPETUAL", "1d", '{"result":{"ticks":[%d],"open":[1],"high":[2],"low":[1],"close":[2],"volume":[3]}}' % T0),
+        ("objects", "hyperliquid", "kPEPE", "1d", '[{"t":%d,"o":"1","h":"1","l":"1","c":"1","v":"4","n":0}]' % T0),
+    ]
+    landed = spark.createDataFrame(rows, "form string, exchange string, symbol string, timeframe string, payload string")
+    plan.update(landed, path)
+    changed = landed.withColumn("payload", F.replace("payload", F.lit('"1.5"'), F.lit('"9.5"'))).filter("form = 'klines'")
+    plan.update(changed, path)
+    stored = store.read_table(spark, path, [*plan.SERIES, "date"])
+    assert {r.timeframe for r in stored.collect()} == {"1d"}
+    assert stored.count() == 4 and stored.filter("close = 9.5").count() == 0
+    assert {(r.exchange, r.symbol) for r in stored.collect()} == {("binance_spot", "BTC"), ("deribit", "BTC"), ("hyperliquid", "PEPE")}
+    universe = stored.select(*plan.SERIES).union(spark.createDataFrame([("deribit", "ETH", "1d")], "e string, s string, t string"))
+    now = T0 + 2 * day
+    got = {(r.exchange, r.symbol): r.start_ms for r in plan.next_ranges(universe, stored, now).collect()}
+    assert got == {("deribit", "BTC"): T0 + day, ("hyperliquid", "PEPE"): T0 + day, ("deribit", "ETH"): now - day}
