@@ -13,29 +13,37 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def curvature_weights(xs: np.ndarray) -> np.ndarray:
-    """Matrix W with second derivatives = W @ ys, zero at both ends."""
-    n = len(xs)
-    w = np.zeros((n, n))
-    if n < 3:
+def _solver():
+    """The numeric helpers as local functions: those travel to the workers by value, so a
+    task can run them where this package is not installed."""
+
+    def curvature_weights(xs: np.ndarray) -> np.ndarray:
+        """Matrix W with second derivatives = W @ ys, zero at both ends."""
+        n = len(xs)
+        w = np.zeros((n, n))
+        if n < 3:
+            return w
+        h = np.diff(xs)
+        system = np.diag((h[:-1] + h[1:]) / 3.0)
+        system += np.diag(h[1:-1] / 6.0, 1) + np.diag(h[1:-1] / 6.0, -1)
+        slopes = np.zeros((n - 2, n))
+        for i in range(n - 2):
+            slopes[i, i] = 1.0 / h[i]
+            slopes[i, i + 2] = 1.0 / h[i + 1]
+            slopes[i, i + 1] = -slopes[i, i] - slopes[i, i + 2]
+        w[1:-1] = np.linalg.solve(system, slopes)
         return w
-    h = np.diff(xs)
-    system = np.diag((h[:-1] + h[1:]) / 3.0)
-    system += np.diag(h[1:-1] / 6.0, 1) + np.diag(h[1:-1] / 6.0, -1)
-    slopes = np.zeros((n - 2, n))
-    for i in range(n - 2):
-        slopes[i, i] = 1.0 / h[i]
-        slopes[i, i + 2] = 1.0 / h[i + 1]
-        slopes[i, i + 1] = -slopes[i, i] - slopes[i, i + 2]
-    w[1:-1] = np.linalg.solve(system, slopes)
-    return w
 
+    def segment(x0, x1, y0, y1, m0, m1, t):
+        h = x1 - x0
+        a = (x1 - t) / h
+        b = (t - x0) / h
+        return a * y0 + b * y1 + ((a * a * a - a) * m0 + (b * b * b - b) * m1) * (h * h / 6.0)
+
+    return curvature_weights, segment
 
-def _segment(x0, x1, y0, y1, m0, m1, t):
-    h = x1 - x0
-    a = (x1 - t) / h
-    b = (t - x0) / h
-    return a * y0 + b * y1 + ((a * a * a - a) * m0 + (b * b * b - b) * m1) * (h * h / 6.0)
+
+curvature_weights, _segment = _solver()
 
 
 def fixed_knots(xs: list[float], ys: list[Column], t: Column, extrapolate: str = "const") -> Column:
@@ -69,6 +77,8 @@ def fixed_knots(xs: list[float], ys: list[Column], t: Column, extrapolate: str =
 def any_knots(xs: Column, ys: Column, t: Column, extrapolate: str = "const") -> Column:
     """Spline through per-row array columns (sorted by x); no knots give 0."""
 
+    weights_of, segment = _solver()
+
     @F.pandas_udf("double")
     def evaluate(knots: pd.Series, heights: pd.Series, at: pd.Series) -> pd.Series:
         out = np.zeros(len(at))
@@ -84,10 +94,10 @@ def any_knots(xs: Column, ys: Column, t: Column, extrapolate: str = "const") ->
             else:
                 mark = x.tobytes()
                 if mark not in weights:
-                    weights[mark] = curvature_weights(x)
+                    weights[mark] = weights_of(x)
                 m = weights[mark] @ y
                 i = int(np.clip(np.searchsorted(x, v) - 1, 0, len(x) - 2))
-                out[k] = _segment(x[i], x[i + 1], y[i], y[i + 1], m[i], m[i + 1], v)
+                out[k] = segment(x[i], x[i + 1], y[i], y[i + 1], m[i], m[i + 1], v)
         return pd.Series(out)
 
     return evaluate(xs, ys, t)
