@@ -27,10 +27,14 @@ def _time(name: str = "d.timestamp") -> Column:
 
 
 def _parse(df: DataFrame, payload: str, fields: str, extra: list[str] | None, wrapped: bool) -> DataFrame:
-    """Columns ``extra`` and the parsed body ``d``; ``wrapped`` bodies sit under ``result``."""
+    """Columns ``extra`` and the parsed body ``d``; ``wrapped`` bodies sit under ``result``.
+
+    The body passes through a generator: a filter on it would otherwise be pushed below
+    and parse the text a second time.
+    """
     schema = f"struct<{fields}>"
     body = F.from_json(payload, f"struct<result:{schema}>")["result"] if wrapped else F.from_json(payload, schema)
-    return df.select(*(extra or []), body.alias("d")).filter(F.col("d").isNotNull())
+    return df.select(*(extra or []), F.explode(F.array(body)).alias("d")).filter(F.col("d").isNotNull())
 
 
 _INSTRUMENT = (
