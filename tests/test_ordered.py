@@ -131,7 +131,8 @@ def test_continuity(spark):
     assert (s.total_rows, s.unique_ts, s.dup_count, s.max_gap_ms, s.max_gap_at) == (5, 4, 1, 6000, 2000)
     a = continuity.arrival_order(rows, "arrival", width=2).first()
     assert (a.backward_steps, a.monotonic) == (1, False)
-    both = continuity.continuity_stats(rows).crossJoin(continuity.arrival_order(rows, "arrival"))
+    named = rows.withColumn("feed", F.lit("x"))
+    both = continuity.continuity_stats(named, keys=["feed"]).join(continuity.arrival_order(named, "arrival", keys=["feed"]), "feed")
     assert len(continuity.continuity_issues(both, F.lit(1000)).first().issues) == 3
 
 
