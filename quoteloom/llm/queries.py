@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attribution, packing, shards, tokens
+from . import attribution, decontaminate, packing, quality, shards, simhash, tokens
 from .common import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,31 @@ def concatenate_and_cut(spark, sf_dir):
     return packed(table(spark, sf_dir, "documents"))
 
 
+# Independent of the masks: 13 places with 2 substitutions always keep a run of four words.
+OVERLAPS_SQL = r"""
+WITH dw AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM documents),
+iw AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM benchmark),
+dp AS (SELECT doc_id, w, unnest(range(1, len(w) - 2)) AS p FROM dw),
+ip AS (SELECT item_id, w, unnest(range(1, len(w) - 2)) AS p FROM iw WHERE len(w) >= 5),
+dg AS (SELECT doc_id, p, w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] || ' ' || w[p + 3] AS g FROM dp),
+ig AS (SELECT item_id, p, w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] || ' ' || w[p + 3] AS g FROM ip),
+c AS (SELECT DISTINCT doc_id, item_id, dg.p - ig.p AS d FROM dg JOIN ig USING (g)),
+j AS (SELECT doc_id, item_id, d, dw.w AS x, iw.w AS y, unnest(range(1, len(iw.w) + 1)) AS j
+      FROM c JOIN dw USING (doc_id) JOIN iw USING (item_id)),
+m AS (SELECT doc_id, item_id, d, len(any_value(y)) AS n,
+      list(CASE WHEN j + d >= 1 AND x[j + d] = y[j] THEN 1 ELSE 0 END ORDER BY j) AS m FROM j GROUP BY doc_id, item_id, d),
+s AS (SELECT *, unnest(range(1, greatest(n - 13, 0) + 2)) AS s FROM m),
+q AS (SELECT doc_id, item_id, s + d - 1 AS at, CASE WHEN n < 13 THEN n ELSE 11 END AS needed,
+      list_sum(m[s:s + 12]) AS matched FROM s)
+SELECT doc_id, item_id, max(matched)::INTEGER AS matched, count(*) AS windows, min(at) AS first_word
+FROM q WHERE matched >= needed GROUP BY doc_id, item_id"""
+
+
+@query("op2_spaced_seeds", OVERLAPS_SQL)
+def spaced_seeds(spark, sf_dir):
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op5_offset_attribution")
 def offset_attribution(spark, sf_dir):
     """Tokens of source, language, first line and the other lines of every document."""
@@ -57,6 +82,19 @@ def offset_attribution(spark, sf_dir):
 ORDER_KEY = 20_240_229
 
 
+@query("op6_simhash_vantage_points")
+def simhash_vantage_points(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query("op7_factorisation_machine")
+def factorisation_machine(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", quality.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 @query("op9_training_order")
 def training_order(spark, sf_dir):
     """Every packed sequence at its slot in the files: what a read of the shards gives."""
