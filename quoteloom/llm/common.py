@@ -17,14 +17,15 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, level: int = 3) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
     It cuts the lineage: what follows reads the files again after a lost executor and
     sees the same rows, also where the rows carry numbers of the partition they came from.
+    ``level`` is that of the zstd codec.
     """
     path = shared_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(**{"compression": "zstd", "parquet.compression.codec.zstd.level": level}).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

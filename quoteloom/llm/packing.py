@@ -50,7 +50,7 @@ def encode(docs: DataFrame, path: str, end_id: int = 0, id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
     texts = keyed_texts(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
-    coded = staged(texts.mapInArrow(run, CODED), "tokens")
+    coded = staged(texts.mapInArrow(run, CODED), "tokens", level=9)
     totals = coded.groupBy("part").agg(F.sum("doc_tokens").alias("tokens"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return Stream(coded, totals.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0)).cast("long")))

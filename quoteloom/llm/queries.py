@@ -43,22 +43,20 @@ def concatenate_and_cut(spark, sf_dir):
 
 # Independent of the masks: 13 places with 2 substitutions always keep a run of four words.
 OVERLAPS_SQL = r"""
-WITH dw AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM documents),
-iw AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM benchmark),
-dp AS (SELECT doc_id, w, unnest(range(1, len(w) - 2)) AS p FROM dw),
-ip AS (SELECT item_id, w, unnest(range(1, len(w) - 2)) AS p FROM iw WHERE len(w) >= 5),
-dg AS (SELECT doc_id, p, w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] || ' ' || w[p + 3] AS g FROM dp),
-ig AS (SELECT item_id, p, w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] || ' ' || w[p + 3] AS g FROM ip),
+WITH dt AS (SELECT doc_id, unnest(w) AS t, generate_subscripts(w, 1) AS p FROM (SELECT doc_id,
+    list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM documents)),
+it AS (SELECT item_id, unnest(w) AS t, generate_subscripts(w, 1) AS p, len(w) AS n FROM (SELECT item_id,
+    list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM benchmark) WHERE len(w) >= 5),
+dg AS (SELECT doc_id, p, t || ' ' || lead(t, 1) OVER o || ' ' || lead(t, 2) OVER o || ' ' || lead(t, 3) OVER o AS g
+       FROM dt WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+ig AS (SELECT item_id, p, t || ' ' || lead(t, 1) OVER o || ' ' || lead(t, 2) OVER o || ' ' || lead(t, 3) OVER o AS g
+       FROM it WINDOW o AS (PARTITION BY item_id ORDER BY p)),
 c AS (SELECT DISTINCT doc_id, item_id, dg.p - ig.p AS d FROM dg JOIN ig USING (g)),
-j AS (SELECT doc_id, item_id, d, dw.w AS x, iw.w AS y, unnest(range(1, len(iw.w) + 1)) AS j
-      FROM c JOIN dw USING (doc_id) JOIN iw USING (item_id)),
-m AS (SELECT doc_id, item_id, d, len(any_value(y)) AS n,
-      list(CASE WHEN j + d >= 1 AND x[j + d] = y[j] THEN 1 ELSE 0 END ORDER BY j) AS m FROM j GROUP BY doc_id, item_id, d),
-s AS (SELECT *, unnest(range(1, greatest(n - 13, 0) + 2)) AS s FROM m),
-q AS (SELECT doc_id, item_id, s + d - 1 AS at, CASE WHEN n < 13 THEN n ELSE 11 END AS needed,
-      list_sum(m[s:s + 12]) AS matched FROM s)
-SELECT doc_id, item_id, max(matched)::INTEGER AS matched, count(*) AS windows, min(at) AS first_word
-FROM q WHERE matched >= needed GROUP BY doc_id, item_id"""
+m AS (SELECT c.doc_id, c.item_id, c.d, it.p, it.n, CASE WHEN dt.t IS NULL THEN 0 ELSE 1 END AS same
+      FROM c JOIN it USING (item_id) LEFT JOIN dt ON dt.doc_id = c.doc_id AND dt.p = it.p + c.d AND dt.t = it.t),
+s AS (SELECT *, sum(same) OVER (PARTITION BY doc_id, item_id, d ORDER BY p ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) AS k FROM m)
+SELECT doc_id, item_id, max(k)::INTEGER AS matched, count(*) AS windows, min(p + d - 1)::BIGINT AS first_word
+FROM s WHERE p <= greatest(n - 12, 1) AND k >= CASE WHEN n < 13 THEN n ELSE 11 END GROUP BY doc_id, item_id"""
 
 
 @query("op2_spaced_seeds", OVERLAPS_SQL)

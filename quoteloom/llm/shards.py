@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,7 +75,7 @@ def write_shards(
 
     Shard s holds slots s*per_shard up to the next shard's, one record of ``window`` ids of
     ``width`` bytes each (little-endian, padded with ``pad_id``), so slot and byte offset are
-    linear.  Pieces are shuffled once by shard, every shard has the same size whatever the
+    linear.  Pieces are shuffled once by shard, compressed, every shard has the same size whatever the
     documents are, and a task holds one record at a time.  A file appears under its name only
     when it is whole and has the same bytes whenever it is made, so a task that runs twice, or
     a second call over the same folder after a failure, leaves finished shards as they are.
@@ -84,14 +85,16 @@ def write_shards(
     stride, dtype = window * width, np.dtype(f"<u{width}")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shrink = zstandard.ZstdCompressor()
         for batch in batches:
             at = slots(batch.column("sequence_id").to_numpy(), n, key)
-            columns = [pa.array(at), pa.array(at // per_shard), batch.column("offset"), batch.column("ids")]
+            ids = [shrink.compress(np.frombuffer(b, "<u4").astype(dtype)) for b in batch.column("ids").to_pylist()]
+            columns = [pa.array(at), pa.array(at // per_shard), batch.column("offset"), pa.array(ids, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, schema=arrow_schema(PLACED))
 
     def records(batches):
         """(slot, whole record) in the order of the slots."""
-        slot, record = None, None
+        slot, record, unpack = None, None, zstandard.ZstdDecompressor()
         for batch in batches:
             columns = (batch.column(c).to_pylist() for c in ("slot", "offset", "ids"))
             for at, offset, ids in zip(*columns):
@@ -99,7 +102,7 @@ def write_shards(
                     if slot is not None:
                         yield slot, record
                     slot, record = at, np.full(window, pad_id, dtype)
-                ids = np.frombuffer(ids, "<u4")
+                ids = np.frombuffer(unpack.decompress(ids), dtype)
                 record[offset : offset + len(ids)] = ids
         if slot is not None:
             yield slot, record
