@@ -70,11 +70,13 @@ def overlaps(
     y = F.col("y")
     long_seeds = [F.when(F.size(y) >= WINDOW, _placements(y, m, t)) for m, t in masks]
     seeds = F.concat(*[F.coalesce(s, F.array().cast("array<struct<at:int,h:bigint>>")) for s in long_seeds], *[_placements(y, m, t, True) for m, t in short])
-    seeds = staged(items.select("item_id", F.inline(seeds)).withColumnRenamed("at", "item_at"), "seeds")
+    # inline() would add a filter on its argument, pushed below the projection that makes the
+    # words and so repeated for every place; the outer form has none, and joins drop its nulls.
+    seeds = staged(items.select("item_id", F.inline_outer(seeds)).withColumnRenamed("at", "item_at"), "seeds")
 
     hashed = texts.select("doc_id", word_hashes(F.col("text")).alias("x"))
     placed = hashed.select("doc_id", F.concat(*[_placements(F.col("x"), m, t) for m, t in masks + short]).alias("p"))
-    hits = placed.select("doc_id", F.inline("p")).join(small(seeds), "h")
+    hits = placed.select("doc_id", F.inline_outer("p")).join(small(seeds), "h")
     hits = hits.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("diagonal")).distinct()
     hits = staged(hits, "hits").withColumnRenamed("doc_id", "hit_id")
 
@@ -83,31 +85,32 @@ def overlaps(
     x, diagonal = F.col("x"), F.col("diagonal")
 
     def agree(j: Column) -> Column:
-        inside = (j + diagonal >= 0) & (F.get(x, F.greatest(j + diagonal, F.lit(0))) == F.get(y, j))
-        return F.when(inside, 1).otherwise(0)
+        inside = (j + diagonal >= 0) & (j + diagonal < F.size(x))
+        return F.when(inside & (F.get(x, F.greatest(j + diagonal, F.lit(0))) == F.get(y, j)), 1).otherwise(0)
 
     found = found.withColumns({
         "same": F.transform(F.sequence(F.lit(0), F.size(y) - 1), agree),
         "span": F.least(F.size(y), F.lit(WINDOW)),
     })
     counts = F.transform(
-        F.sequence(F.lit(0), F.size(y) - F.col("span")),
+        F.sequence(F.lit(0), F.size("same") - F.col("span")),
         lambda s: F.struct(
             F.aggregate(F.slice("same", s + 1, F.col("span")), F.lit(0), lambda a, v: a + v).alias("n"), s.alias("s")
         ),
     )
     needed = F.when(F.col("span") < WINDOW, F.col("span")).otherwise(NEEDED)
     found = found.select("doc_id", "item_id", "diagonal", F.filter(counts, lambda c: c["n"] >= needed).alias("good"))
-    found = found.where(F.size("good") > 0)
-    return found.groupBy("doc_id", "item_id").agg(
+    # Filtered after the aggregation: a filter on the array would be pushed down and repeat it.
+    rows = found.groupBy("doc_id", "item_id").agg(
         F.max(F.array_max("good")["n"]).alias("matched"),
         F.sum(F.size("good")).alias("windows"),
         F.min(F.get(F.col("good"), F.lit(0))["s"] + diagonal).cast("long").alias("first_word"),
     )
+    return rows.where("windows > 0")
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` (all their columns) whose document overlaps no benchmark item;
     rows without an id can't be named and stay."""
     bad = overlaps(docs, benchmark, id_col, **options).select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(bad, id_col, "left_anti")
+    return docs.join(staged(bad, "contaminated"), id_col, "left_anti")

@@ -79,6 +79,13 @@ class Machine:
         return self.bias + np.add.reduceat(self.linear[index] * value, starts) + 0.5 * ((total * total).sum(axis=1) - squares)
 
 
+    def scores(self, texts: list[str | None]) -> np.ndarray:
+        found = [features(t) for t in texts]
+        sizes = np.array([len(f[0]) for f in found])
+        index, value = (np.concatenate(x) for x in zip(*found))
+        return sigmoid(self.margins(index, value, np.cumsum(sizes) - sizes))
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
@@ -175,11 +182,23 @@ def score(docs: DataFrame, machine: Machine, threshold: float = THRESHOLD, id_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Machine(*model.value)
         for batch in slices(batches, 128):
-            found = [features(t) for t in batch.column("text").to_pylist()]
-            sizes = np.array([len(f[0]) for f in found])
-            margins = own.margins(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]), np.cumsum(sizes) - sizes)
-            p = sigmoid(margins)
+            p = own.scores(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(p), pa.array((p >= threshold).astype(np.int32))], schema=schema)
 
     texts = keyed_texts(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     return texts.mapInArrow(run, "doc_id long, score double, predicted int")
+
+
+def accepted(docs: DataFrame, machine: Machine, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose text scores ``threshold`` or more.
+
+    Rows are judged where they are read, so nothing is shuffled and ids play no part.
+    """
+    model = docs.sparkSession.sparkContext.broadcast((machine.bias, machine.linear, machine.factors))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Machine(*model.value)
+        for batch in slices(batches, 128):
+            yield batch.filter(pa.array(own.scores(batch.column(text_col).to_pylist()) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -213,3 +213,11 @@ def near_duplicates(
     rooted = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return marked.join(rooted.select("fp", "root").join(named, "root").drop("root"), "fp").select("doc_id", "fp", "component_id")
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``docs`` (all their columns) without those whose component has a smaller
+    id.  Rows that share an id stay or go together; rows without one stay."""
+    found = near_duplicates(docs, id_col=id_col, **options)
+    copies = staged(found.where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct(), "copies")
+    return docs.join(copies, id_col, "left_anti")
