@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attribution, decontaminate, packing, quality, shards, simhash, tokens
+from . import attribution, decontaminate, licenses, packing, quality, sharding, shards, simhash, tokens
 from .common import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,21 @@ def concatenate_and_cut(spark, sf_dir):
     return packed(table(spark, sf_dir, "documents"))
 
 
+SHARDS_SQL = f"""
+WITH h AS (SELECT doc_id, coalesce(strlen(text), 0) AS b, ('0x' || substr(md5(cast(doc_id AS VARCHAR)), 1, 8))::BIGINT AS h FROM documents),
+l AS (SELECT doc_id, b, d, h >> (32 - d) AS p FROM h, (SELECT unnest(range(0, 33)) AS d)),
+s AS (SELECT d, p, sum(b)::BIGINT AS shard_bytes, count(*) AS shard_docs FROM l GROUP BY d, p),
+f AS (SELECT l.*, shard_bytes, shard_docs, row_number() OVER (PARTITION BY doc_id ORDER BY d) AS r
+      FROM l JOIN s USING (d, p) WHERE shard_bytes <= {sharding.MAX_BYTES} OR shard_docs = 1)
+SELECT doc_id, b::BIGINT AS n_bytes, CASE WHEN d = 0 THEN '' ELSE lpad(bin(p), d::INTEGER, '0') END AS shard,
+    d::INTEGER AS depth, shard_bytes, shard_docs FROM f WHERE r = 1"""
+
+
+@query("op1_extendible_hashing", SHARDS_SQL)
+def extendible_hashing(spark, sf_dir):
+    return sharding.assign(table(spark, sf_dir, "documents"))
+
+
 # Independent of the masks: 13 places with 2 substitutions always keep a run of four words.
 OVERLAPS_SQL = r"""
 WITH dt AS (SELECT doc_id, unnest(w) AS t, generate_subscripts(w, 1) AS p FROM (SELECT doc_id,
@@ -93,6 +108,11 @@ def factorisation_machine(spark, sf_dir):
     return scored.select("doc_id", quality.held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
+@query("op8_signature_rules")
+def signature_rules(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 @query("op9_training_order")
 def training_order(spark, sf_dir):
     """Every packed sequence at its slot in the files: what a read of the shards gives."""
