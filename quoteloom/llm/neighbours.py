@@ -54,15 +54,19 @@ class Index:
         return (np.einsum("nd,tdp->tnp", full, self.planes) + self.shifts[:, None, :]) / self.width
 
     def bucket(self, slots: np.ndarray, table: int) -> np.ndarray:
-        """A 64-bit name for slot numbers (last axis); a clash of names only adds candidates."""
+        """A 64-bit name for slot numbers (last axis) that tells its table; a clash of names
+        only adds candidates."""
         code = np.full(slots.shape[:-1], table + 1, np.uint64)
         for j in range(slots.shape[-1]):
             code = (code ^ slots[..., j].astype(np.int64).view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
             code ^= code >> np.uint64(31)
-        return code.view(np.int64)
+        tables = np.uint64(len(self.planes))
+        return (code // tables * tables + np.uint64(table)).view(np.int64)
 
     def cell(self, buckets: np.ndarray) -> np.ndarray:
-        return ((buckets.view(np.uint64) >> np.uint64(17)) % np.uint64(self.cells)).astype(np.int64)
+        """``cells`` for each table, so a row stands once in a cell."""
+        names, tables = buckets.view(np.uint64), np.uint64(len(self.planes))
+        return ((names >> np.uint64(17)) % np.uint64(self.cells) * tables + names % tables).astype(np.int64)
 
 
 def _normal(z: np.ndarray) -> np.ndarray:
@@ -115,6 +119,7 @@ def _nearest(table: pa.Table, asked: Iterator[pa.RecordBatch], dims: int, k: int
     home = table.column("buckets").combine_chunks().values.to_numpy()
     order = np.lexsort((ids, home))
     vectors, ids, home = vectors[order], ids[order], home[order]
+    k *= int(np.unique(ids, return_counts=True)[1].max())  # an id may come with several vectors
     names, first, sizes = np.unique(home, return_index=True, return_counts=True)
     for batch in slices(asked, 256):
         queries, query_ids = _matrix(batch.column("vector"), dims), batch.column("id").to_numpy()
@@ -191,7 +196,7 @@ def build(rows: DataFrame, k: int, tables: int = TABLES, projections: int = PROJ
     rng = np.random.default_rng(seed)
     width = SLOT * distance
     planes = rng.normal(size=(tables, total["dims"] + 1, projections))
-    cells = -(-total["n"] * tables // chunk_rows)
+    cells = -(-total["n"] // chunk_rows)
     return Index(total["dims"], total["norm"], distance, width, planes, rng.uniform(0, width, (tables, projections)), cells)
 
 
@@ -252,7 +257,7 @@ def nearest(
     short = asked.join(met, asked["id"] == met["query_id"], "left").where(F.coalesce("met", F.lit(0)) < enough)
     short = staged(short.select("id", "v"), "short")
     if not short.isEmpty():
-        whole = short.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(index.cells - 1))).cast("long"))
+        whole = short.withColumn("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(index.cells * tables - 1).cast("long"))))
 
         def ask_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
