@@ -177,6 +177,33 @@ def vol_surface(spark, d):
     return rounded(flat, "atm_iv", "skew_25d", "butterfly_25d", "iv_rank")
 
 
+@query("surface_no_delta", f"""{oracle_with('chain')}, {greeks_ctes()}
+SELECT ccy, 0e0 AS skew_25d, 0e0 AS butterfly_25d, 'good' AS quality FROM g GROUP BY 1""")
+def surface_no_delta(spark, d):
+    greeks = options.greeks_batch(_chain(spark, d), NOW_MS, extra=["ccy", "seq"]).drop("delta")
+    return options.vol_surface(greeks, ["ccy"], "seq").select("ccy", "skew_25d", "butterfly_25d", "quality")
+
+
+_DAYS = 3
+
+
+@query(
+    "iv_rank_history",
+    f"""{oracle_with('ticks')}, now AS (SELECT instrument, timestamp // 3600000 * 3600000 AS timestamp, max(price) AS atm_iv FROM ticks GROUP BY 1, 2)
+SELECT now.instrument, now.timestamp, now.atm_iv, {r('100e0 * count(*) FILTER (t.price <= now.atm_iv) / nullif(count(t.price), 0)')} AS iv_rank
+FROM now LEFT JOIN ticks t ON t.instrument = now.instrument AND t.timestamp <= now.timestamp AND t.timestamp > now.timestamp - {_DAYS * 86_400_000}
+GROUP BY 1, 2, 3 HAVING count(t.price) > 0 UNION ALL SELECT instrument, timestamp, atm_iv, 50e0 FROM now n
+WHERE NOT EXISTS (SELECT 1 FROM ticks t WHERE t.instrument = n.instrument AND t.timestamp <= n.timestamp AND t.timestamp > n.timestamp - {_DAYS * 86_400_000} AND t.price IS NOT NULL)""",
+)
+def iv_rank_history(spark, d):
+    """Every hour's value among the three days before it."""
+    ticks = view(spark, d, "ticks")
+    hour = F.col("timestamp") - F.pmod("timestamp", F.lit(3_600_000))
+    current = ticks.groupBy("instrument", hour.alias("timestamp")).agg(F.max("price").alias("atm_iv"))
+    past = ticks.select("instrument", "timestamp", F.col("price").alias("iv"))
+    return rounded(options.iv_rank(current, past, ["instrument", "timestamp"], lookback_days=_DAYS), "iv_rank")
+
+
 def _instruments(spark, d):
     # Some expiries and open interests are missing, as in a real listing.
     return _chain(spark, d).select(
@@ -207,17 +234,16 @@ def main_contracts(spark, d):
 
 @query(
     "select_instruments",
-    f"""{oracle_with('chain')}, {_LISTING}, w AS (SELECT DISTINCT instrument_name FROM chain WHERE seq % 4 <> 1),
-e AS (SELECT *, row_number() OVER (PARTITION BY ccy ORDER BY seq) AS rn FROM inst WHERE NOT is_active)
+    f"""{oracle_with('chain')}, {_LISTING}, w AS (SELECT DISTINCT instrument_name FROM chain WHERE seq % 4 <> 1)
 SELECT seq, instrument_name, is_active FROM inst WHERE is_active AND instrument_name IN (FROM w)
-UNION ALL SELECT seq, instrument_name, is_active FROM e WHERE rn <= 50 AND expiry > '2026-03-28' AND expiry < '2026-12-25' AND instrument_name IN (FROM w)""",
+UNION ALL SELECT seq, instrument_name, is_active FROM inst WHERE NOT is_active AND expiry > '2026-03-28' AND expiry < '2026-12-25' AND instrument_name IN (FROM w)""",
 )
 def select_instruments(spark, d):
     from quoteloom.sources.option_feed import select_instruments as pick
 
     listing = _instruments(spark, d)
     allowed = _chain(spark, d).filter(F.col("seq") % 4 != 1).select("instrument_name")
-    out = pick(listing, 1774656000000, 1798156800000, "seq", ["ccy"], include_expired=True, whitelist=allowed)
+    out = pick(listing, 1774656000000, 1798156800000, include_expired=True, whitelist=allowed)
     return out.select("seq", "instrument_name", "is_active")
 
 

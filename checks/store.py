@@ -162,17 +162,27 @@ def source_inventory(spark, d):
 
 @query(
     "file_checks",
-    f"{oracle_with('landed')}, {_TABLE} SELECT exchange, data_type, symbol, date, count(*) AS rows, cast(0 AS bigint) AS errors FROM tab GROUP BY 1, 2, 3, 4",
+    f"""{oracle_with('landed')}, {_TABLE} SELECT exchange, data_type, symbol, date, count(*) AS rows, cast(0 AS bigint) AS errors FROM tab GROUP BY 1, 2, 3, 4
+UNION ALL SELECT 'binance', 'spot_price', 'BROKEN', '1970-01-01', 0, 2""",
 )
 def file_checks(spark, d):
-    checks = store.file_checks(spark, _stored(spark, d))
+    """The table as it is, and a folder of epoch zero with a file that is no Parquet."""
+    broken = f"{shared_dir(spark)}/broken-{uuid.uuid4().hex}"
+    cell = f"{broken}/exchange=binance/data_type=spot_price/symbol=BROKEN/date=1970-01-01"
+    spark.range(1).select(F.lit("not parquet")).write.text(cell)
+    store.rename_files(spark, cell, ".txt", ".parquet")
+    checks = store.file_checks(spark, _stored(spark, d)).unionByName(store.file_checks(spark, broken))
     return checks.groupBy(*CELL, "date").agg(F.sum("rows").alias("rows"), F.sum("errors").alias("errors"))
 
 
-@query("storage_audit")
+@query(
+    "storage_audit",
+    f"""{oracle_with('landed')}, {_TABLE} SELECT '/exchange=' || exchange || '/data_type=' || data_type || '/symbol=' || symbol || '/date=' || date AS folder,
+count(*)::BIGINT AS rows, true AS has_files FROM tab GROUP BY exchange, data_type, symbol, date""",
+)
 def storage_audit(spark, d):
-    path = _stored(spark, d)
-    return store.storage_audit(store.files_of(spark, path), path.removeprefix("file:"))
+    found = store.storage_audit(spark, _stored(spark, d))
+    return found.select("folder", "rows", ((F.col("files") > 0) & (F.col("bytes") > 0)).alias("has_files"))
 
 
 @query(

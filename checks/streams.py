@@ -94,12 +94,62 @@ def l1_latest(spark, d):
 
 @query("stream_l1_latest", _L1)
 def stream_l1_latest(spark, d):
+    """Over thirteen batches: the state must be that of the last one, not of batch 9."""
     folder = _folder(spark)
-    quotes = option_feed.l1_quotes(_messages(_ticks(spark, d).withColumnRenamed("arrival", "seq")), extra=["arrival"])
+    files = f"{folder}/in"
+    view(spark, d, "ticks").repartition(13, "seq").write.option("maxRecordsPerFile", 0).parquet(files)
+    ticks = live.file_stream(spark, spark.read.parquet(files).schema, files, max_bytes=1)
+    quotes = option_feed.l1_quotes(_messages(ticks), extra=["arrival"])
     live.write_changes(live.latest_quotes(quotes), f"{folder}/out", f"{folder}/ckpt", **ALL).awaitTermination()
     return live.read_latest(spark, f"{folder}/out", ["instrument_name"])
 
 
+@query("stream_l1_state", _L1)
+def stream_l1_state(spark, d):
+    """The same into a state table of one row per instrument."""
+    folder = _folder(spark)
+    quotes = option_feed.l1_quotes(_messages(_ticks(spark, d).withColumnRenamed("arrival", "seq")), extra=["arrival"])
+    live.write_state(live.latest_quotes(quotes), f"{folder}/out", f"{folder}/ckpt", ["instrument_name"], **ALL).awaitTermination()
+    return live.read_state(spark, f"{folder}/out")
+
+
+@query(
+    "perp_prices",
+    f"""{oracle_with('ticks')} SELECT upper(instrument) AS currency, timestamp, price FROM ticks WHERE seq % 2 = 0""",
+)
+def perp_prices(spark, d):
+    quotes = view(spark, d, "ticks").select(
+        F.concat(F.upper("instrument"), F.when(F.col("seq") % 2 == 0, "-PERPETUAL").otherwise("-28MAR26-1-C")).alias("instrument_name"),
+        "timestamp", F.col("price").alias("mid_price"),
+    )
+    return live.perp_prices(quotes)
+
+
+@query(
+    "stream_counters",
+    f"{oracle_with('ticks')} SELECT count(*)::BIGINT AS records, max(timestamp) AS newest, cast(0 AS bigint) AS waiting FROM ticks",
+)
+def stream_counters(spark, d):
+    """Counters of every batch, appended to a table."""
+    import time
+
+    folder = _folder(spark)
+    listener = live.CollectorMetrics()
+    spark.streams.addListener(listener)
+    try:
+        counted = live.with_counters(_ticks(spark, d))
+        query = live.write_changes(counted, f"{folder}/out", f"{folder}/ckpt", "append", **ALL)
+        query.awaitTermination()
+        for _ in range(100):  # progress reaches the listener on a thread of its own
+            if listener.batches:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    table = listener.flush(spark, f"{folder}/counters")
+    return table.agg(F.sum("flush_size").alias("records"), F.max("newest").alias("newest"), F.lit(len(listener.batches)).cast("long").alias("waiting"))
+
+
 @query(
     "stream_table",
     f"""{oracle_with('ticks')} SELECT timestamp, 'binance' AS exchange, 'spot_price' AS data_type, instrument AS symbol, price, seq AS arrival, strftime(make_timestamp(timestamp * 1000), '%Y-%m-%d') AS date

@@ -2,7 +2,8 @@
 
 With fixed knots the spline value is linear in the knot heights, so ``fixed_knots``
 turns the knots into constant weights once and evaluates in Column arithmetic.
-``any_knots`` takes knots from array columns and solves per row in an Arrow batch.
+``any_knots`` takes knots from array columns; rows of an Arrow batch that share their knots
+are solved and evaluated together.
 """
 
 from __future__ import annotations
@@ -81,23 +82,24 @@ def any_knots(xs: Column, ys: Column, t: Column, extrapolate: str = "const") ->
 
     @F.pandas_udf("double")
     def evaluate(knots: pd.Series, heights: pd.Series, at: pd.Series) -> pd.Series:
-        out = np.zeros(len(at))
-        weights: dict[bytes, np.ndarray] = {}  # curves of a batch mostly share their knots
-        for k, (x, y, v) in enumerate(zip(knots, heights, at)):
-            if x is None or len(x) == 0:
+        out, at = np.zeros(len(at)), at.to_numpy(dtype=float, na_value=np.nan)
+        alike: dict[bytes, list[int]] = {}  # curves of a batch mostly share their knots
+        for k, x in enumerate(knots):
+            if x is not None and len(x):
+                alike.setdefault(np.asarray(x, dtype=float).tobytes(), []).append(k)
+        for mark, rows in alike.items():
+            x, v = np.frombuffer(mark), at[rows]
+            y = np.stack([np.asarray(heights.iloc[k], dtype=float) for k in rows])
+            if len(x) == 1:
+                out[rows] = y[:, 0]
                 continue
-            x, y = np.asarray(x, dtype=float), np.asarray(y, dtype=float)
-            if len(x) == 1 or (extrapolate == "const" and v <= x[0]):
-                out[k] = y[0]
-            elif extrapolate == "const" and v >= x[-1]:
-                out[k] = y[-1]
-            else:
-                mark = x.tobytes()
-                if mark not in weights:
-                    weights[mark] = weights_of(x)
-                m = weights[mark] @ y
-                i = int(np.clip(np.searchsorted(x, v) - 1, 0, len(x) - 2))
-                out[k] = segment(x[i], x[i + 1], y[i], y[i + 1], m[i], m[i + 1], v)
+            m = y @ weights_of(x).T
+            i = np.clip(np.searchsorted(x, v) - 1, 0, len(x) - 2)
+            r = np.arange(len(rows))
+            value = segment(x[i], x[i + 1], y[r, i], y[r, i + 1], m[r, i], m[r, i + 1], v)
+            if extrapolate == "const":
+                value = np.where(v <= x[0], y[:, 0], np.where(v >= x[-1], y[:, -1], value))
+            out[rows] = value
         return pd.Series(out)
 
     return evaluate(xs, ys, t)

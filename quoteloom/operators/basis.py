@@ -109,11 +109,11 @@ def live_basis(
 ) -> DataFrame:
     """Latest spot against latest perp per currency.
 
-    ``mapping`` (spot symbol -> currency) is a fixed list of a few pairs, hence small.
+    ``mapping`` tells the currency of each spot symbol.
     """
     s = latest_per_key(spot, ["symbol"], on, seq).select("symbol", F.col("price").alias("_spot"))
     p = latest_per_key(perp, ["currency"], on, seq).select("currency", F.col("price").alias("_perp"))
-    both = s.join(F.broadcast(mapping), "symbol").join(p, "currency").filter(
+    both = s.join(mapping, "symbol").join(p, "currency").filter(
         (F.col("_spot") > 0) & (F.col("_perp") != 0)
     )
     return _points(

@@ -8,11 +8,18 @@ The size of a (keys, block) group is bounded by the block width wherever the ord
 column is a unique integer within its keys: a width of W holds at most W distinct
 integers.  Operators on event time first reduce to one row per (keys, timestamp), which
 gives the same bound; operators on row position take such an integer as ``order_by``,
-and ``with_position`` makes one where the data has none.  Key columns must not be null.
+and ``with_position`` makes one where the data has none.
+
+Where the order is sparse (epoch milliseconds of hourly rows), a block holds a row or two
+and the summary is as long as the table.  So the summary is cut into superblocks of blocks
+in the same way (``carried``), and only one row per superblock and key meets in one window:
+2**40 units of the order each, which is 35 years of milliseconds.  Null keys are a key.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +30,7 @@ HOUR_MS = 3_600_000
 # summary rows per key and year.
 BLOCK_MS = 600_000
 BLOCK_ROWS = 1 << 18
+SUPER_BLOCKS = 1 << 22
 
 
 def block_of(order: Column, width: int) -> Column:
@@ -53,20 +61,52 @@ def upto(spec):
     return spec.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
+def join_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Equi-join on ``keys`` in which null meets null; the left side's keys stay."""
+    named = right.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [left[k].eqNullSafe(named[f"_key_{k}"]) for k in keys])
+    return left.join(named, same, how).drop(*[f"_key_{k}" for k in keys])
+
+
+def carried(summary: DataFrame, keys: list[str], values: dict[str, tuple[str, str]], supers: int = SUPER_BLOCKS) -> DataFrame:
+    """Per (keys, _block): what the other blocks of the key hand over.
+
+    ``values`` maps a new column to (kind, column of the summary): ``sum`` adds up the earlier
+    blocks, ``last`` is the last non-null value before, ``next`` the first non-null after.
+    """
+    cut = summary.withColumn("_super", block_of(F.col("_block"), supers))
+
+    def over(kind: str, c: str, by: list[str], order: str) -> Column:
+        if kind == "sum":
+            return F.sum(c).over(before(inside(by[:-1], order, by[-1]) if by else across(keys, order)))
+        reverse = kind == "next"
+        spec = inside(by[:-1], order, by[-1], reverse) if by else across(keys, order, reverse)
+        return F.last(c, ignorenulls=True).over(before(spec))
+
+    whole = {"sum": lambda c: F.sum(c), "last": lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_block"))), "next": lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_block")))}
+    tops = cut.groupBy(*keys, "_super").agg(*[whole[kind](c).alias(f"_t_{n}") for n, (kind, c) in values.items()])
+    tops = tops.select(*keys, "_super", *[over(kind, f"_t_{n}", [], "_super").alias(f"_o_{n}") for n, (kind, _) in values.items()])
+    near = cut.select(*keys, "_block", "_super", *[over(kind, c, [*keys, "_super"], "_block").alias(n) for n, (kind, c) in values.items()])
+    both = join_keys(near, tops, [*keys, "_super"])
+
+    def merged(n: str, kind: str) -> Column:
+        if kind == "sum":
+            return (F.coalesce(n, F.lit(0)) + F.coalesce(f"_o_{n}", F.lit(0))).alias(n)
+        return F.coalesce(n, f"_o_{n}").alias(n)
+
+    return both.select(*keys, "_block", *[merged(n, kind) for n, (kind, _) in values.items()])
+
+
 def row_numbers(
     df: DataFrame, keys: list[str], order_by: str, width: int = BLOCK_ROWS, name: str = "_rn"
 ) -> DataFrame:
     """Add the dense 0-based row number per key: block-local number + rows before it."""
     blocked = df.withColumn("_block", block_of(F.col(order_by), width))
     sizes = blocked.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select(
-        *keys,
-        "_block",
-        F.coalesce(F.sum("_n").over(before(across(keys))), F.lit(0)).alias("_offset"),
-    )
+    offsets = carried(sizes, keys, {"_offset": ("sum", "_n")})
     local = blocked.withColumn(name, F.row_number().over(inside(keys, order_by)))
     return (
-        local.join(offsets, [*keys, "_block"], "left")
+        join_keys(local, offsets, [*keys, "_block"])
         .withColumn(name, (F.coalesce("_offset", F.lit(0)) + F.col(name) - 1).cast("long"))
         .drop("_block", "_offset")
     )

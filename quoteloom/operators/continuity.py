@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import BLOCK_MS, BLOCK_ROWS, HOUR_MS, across, block_of, inside
+from .blocks import BLOCK_MS, BLOCK_ROWS, HOUR_MS, across, block_of, carried, inside, join_keys
 
 GAP_TOLERANCE = 3.0
 COVERAGE_OK = 50.0
@@ -90,8 +90,11 @@ def _steps(
         F.min_by("_ts", "_a").alias("_first"),
         F.max_by("_ts", "_a").alias("_last"),
     )
-    crossed = blocks.withColumn(
-        "_x", F.when(breaks(F.col("_first"), F.lag("_last").over(across(keys))), 1).otherwise(0)
+    # The row before a block stands at the end of the block before, null or not.
+    ends = blocks.withColumn("_end", F.struct("_last"))
+    before_it = carried(ends, keys, {"_prior": ("last", "_end")})
+    crossed = join_keys(blocks, before_it, [*keys, "_block"]).withColumn(
+        "_x", F.when(breaks(F.col("_first"), F.col("_prior._last")), 1).otherwise(0)
     )
     bad = F.sum(F.col("_bad") + F.col("_x")).cast("long")
     return crossed.groupBy(*keys).agg(bad.alias(count), (bad == 0).alias(flag))

@@ -5,22 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import (
-    BLOCK_MS,
-    BLOCK_ROWS,
-    across,
-    before,
-    block_of,
-    inside,
-    row_numbers,
-    upto,
-)
+from .blocks import BLOCK_MS, BLOCK_ROWS, across, block_of, carried, inside, join_keys, row_numbers, upto
 
 # These columns are forward-filled, other numeric ones interpolated.
 FORWARD_FILLED = ("open", "high", "low", "close", "volume")
 _NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
+def present(df: DataFrame, columns: list[str]) -> DataFrame:
+    """NaN as null in the listed columns: to Spark a NaN is a value above all others."""
+    kinds = dict(df.dtypes)
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in columns if kinds[c] in ("float", "double")})
+
+
 def detect_gaps(
     df: DataFrame,
     threshold_ms: int = 60_000,
@@ -89,30 +86,24 @@ def forward_fill(
     keys: list[str] | None = None,
     width: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Replace nulls by the last earlier value; leading nulls stay.
+    """Replace nulls (and NaN, which is a missing value) by the last earlier value; leading
+    ones stay null.
 
     ``order_by`` is an integer that is unique within the keys.
     """
     keys = list(keys or [])
-    blocked = df.withColumn("_block", block_of(F.col(order_by), width))
+    blocked = present(df, columns).withColumn("_block", block_of(F.col(order_by), width))
     ends = blocked.groupBy(*keys, "_block").agg(
         *[
             F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order_by))).alias(f"_end_{c}")
             for c in columns
         ]
     )
-    carry = ends.select(
-        *keys,
-        "_block",
-        *[
-            F.last(f"_end_{c}", ignorenulls=True).over(before(across(keys))).alias(f"_carry_{c}")
-            for c in columns
-        ],
-    )
+    carry = carried(ends, keys, {f"_carry_{c}": ("last", f"_end_{c}") for c in columns})
     local = upto(inside(keys, order_by))
     filled = blocked.withColumns({c: F.last(c, ignorenulls=True).over(local) for c in columns})
     return (
-        filled.join(carry, [*keys, "_block"], "left")
+        join_keys(filled, carry, [*keys, "_block"])
         .withColumns({c: F.coalesce(c, f"_carry_{c}") for c in columns})
         .select(*df.columns)
     )
@@ -125,12 +116,13 @@ def interpolate_linear(
     keys: list[str] | None = None,
     width: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Fill nulls on the straight line between the neighbouring values, by row position.
+    """Fill nulls and NaN on the straight line between the neighbouring values, by row
+    position.
 
     Leading nulls stay, trailing ones take the last value.  The result is double.
     """
     keys = list(keys or [])
-    numbered = row_numbers(df, keys, order_by, width).withColumn(
+    numbered = row_numbers(present(df, columns), keys, order_by, width).withColumn(
         "_block", block_of(F.col("_rn"), width)
     )
 
@@ -143,11 +135,10 @@ def interpolate_linear(
         *[F.min(known(c)).alias(f"_head_{c}") for c in columns],
         *[F.max(known(c)).alias(f"_tail_{c}") for c in columns],
     )
-    carry = edges.select(
-        *keys,
-        "_block",
-        *[F.last(f"_tail_{c}", ignorenulls=True).over(before(across(keys))).alias(f"_cb_{c}") for c in columns],
-        *[F.last(f"_head_{c}", ignorenulls=True).over(before(across(keys, reverse=True))).alias(f"_ca_{c}") for c in columns],
+    carry = carried(
+        edges,
+        keys,
+        {f"_cb_{c}": ("last", f"_tail_{c}") for c in columns} | {f"_ca_{c}": ("next", f"_head_{c}") for c in columns},
     )
     forth, back = upto(inside(keys, "_rn")), upto(inside(keys, "_rn", reverse=True))
     around = numbered.withColumns(
@@ -155,7 +146,8 @@ def interpolate_linear(
             **{f"_b_{c}": F.last(known(c), ignorenulls=True).over(forth) for c in columns},
             **{f"_a_{c}": F.last(known(c), ignorenulls=True).over(back) for c in columns},
         }
-    ).join(carry, [*keys, "_block"], "left")
+    )
+    around = join_keys(around, carry, [*keys, "_block"])
     around = around.withColumns(
         {
             **{f"_b_{c}": F.coalesce(f"_b_{c}", f"_cb_{c}") for c in columns},

@@ -162,18 +162,24 @@ def _wing(delta: float, seq: str) -> Column:
     return _closest(F.col("iv"), F.abs(F.col("delta") - F.lit(delta)), seq)
 
 
+def _with_delta(df: DataFrame) -> DataFrame:
+    return df if "delta" in df.columns else df.withColumn("delta", F.lit(None).cast("double"))
+
+
 def skew_25d(df: DataFrame, keys: list[str], seq: str) -> DataFrame:
-    return df.groupBy(*keys).agg((_wing(WING_DELTA, seq) - _wing(-WING_DELTA, seq)).alias("skew_25d"))
+    """Volatility of the 25-delta call less that of the put; 0 without any delta."""
+    skew = F.coalesce(_wing(WING_DELTA, seq) - _wing(-WING_DELTA, seq), F.lit(0.0))
+    return _with_delta(df).groupBy(*keys).agg(skew.alias("skew_25d"))
 
 
 def _butterfly(seq: str, spot: str) -> Column:
-    return (_wing(WING_DELTA, seq) + _wing(-WING_DELTA, seq)) / 2 - _closest(
-        F.col("iv"), _distance(spot), seq
-    )
+    wings = (_wing(WING_DELTA, seq) + _wing(-WING_DELTA, seq)) / 2
+    return F.coalesce(wings - _closest(F.col("iv"), _distance(spot), seq), F.lit(0.0))
 
 
 def butterfly_25d(df: DataFrame, keys: list[str], seq: str, spot: str = "underlying_price") -> DataFrame:
-    return df.groupBy(*keys).agg(_butterfly(seq, spot).alias("butterfly_25d"))
+    """Mean of the 25-delta wings less the volatility at the money; 0 without any delta."""
+    return _with_delta(df).groupBy(*keys).agg(_butterfly(seq, spot).alias("butterfly_25d"))
 
 
 def term_structure(df: DataFrame, keys: list[str], seq: str, spot: str = "underlying_price") -> DataFrame:
@@ -202,27 +208,36 @@ def iv_rank(
 ) -> DataFrame:
     """Percent of past values at or below the current one; 50 without history.
 
-    ``current`` has one row per key.  History is first counted per value on the map side
-    (quoted volatilities repeat a lot), then meets exactly that row and becomes two sums.
+    ``current`` has one row per ``keys``; where ``on`` is one of them, the other keys name the
+    series whose history counts.  With ``lookback_days`` only the days up to each row's time
+    do.  Without, history is first counted per value on the map side (quoted volatilities
+    repeat a lot).  With, rows and history meet in buckets as long as the look-back, so a row
+    sees at most two of them.  ``current`` is read once: its columns travel through the join.
     """
-    now = current.select(*keys, F.col(value).alias("_now"), *([F.col(on).alias("_at")] if lookback_days else []))
+    series = [k for k in keys if k != on]
+    now = current.select(F.struct(*current.columns).alias("_row"), F.col(value).alias("_now"), *[F.col(k).alias(f"_k_{k}") for k in series])
     if lookback_days:
         span = lookback_days * 86_400_000
-        past_rows = history.select(*keys, F.col(past).alias("_past"), F.col(on).alias("_when"), F.lit(1).alias("_n"))
-        pairs = past_rows.join(now, keys).filter(
-            (F.col("_when") <= F.col("_at")) & (F.col("_when") > F.col("_at") - span)
-        )
+        at, when = F.col(f"_row.{on}"), F.col("_when")
+        now = now.withColumn("_cell", F.floor(at / span))
+        cell = F.floor(F.col(on) / span)
+        past_rows = history.select(
+            *series, F.col(past).alias("_past"), F.col(on).alias("_when"), F.lit(1).alias("_n"),
+            F.explode(F.array(cell, cell + 1)).alias("_near"),
+        )
+        same = (F.col("_cell") == F.col("_near")) & (when <= at) & (when > at - span)
     else:
-        pairs = history.groupBy(*keys, F.col(past).alias("_past")).agg(F.count(F.lit(1)).alias("_n")).join(now, keys)
+        past_rows = history.groupBy(*series, F.col(past).alias("_past")).agg(F.count(F.lit(1)).alias("_n"))
+        same = F.lit(True)
+    past_rows = past_rows.filter(F.col("_past").isNotNull())
+    for k in series:
+        same = same & F.col(f"_k_{k}").eqNullSafe(past_rows[k])
+    met = now.join(past_rows, same, "left")
     below = F.sum(F.when(F.col("_past") <= F.col("_now"), F.col("_n")).otherwise(0))
-    counted = pairs.filter(F.col("_past").isNotNull()).groupBy(*keys).agg(
-        (below * 100.0 / F.sum("_n")).alias("_rank")
-    )
-    return (
-        current.join(counted, keys, "left")
-        .withColumn("iv_rank", F.coalesce("_rank", F.lit(NO_HISTORY_RANK)))
-        .drop("_rank")
+    counted = met.groupBy(*[F.col(f"_row.{k}").alias(f"_g_{k}") for k in keys]).agg(
+        F.any_value("_row").alias("_row"), (below * 100.0 / F.sum("_n")).alias("_rank")
     )
+    return counted.select("_row.*", F.coalesce("_rank", F.lit(NO_HISTORY_RANK)).alias("iv_rank"))
 
 
 def vol_surface(
@@ -231,16 +246,19 @@ def vol_surface(
     seq: str,
     spot: str = "underlying_price",
     history: DataFrame | None = None,
+    lookback_days: int | None = None,
 ) -> DataFrame:
     """One surface point per group: at-the-money volatility of the tightest usable band,
     skew and butterfly over all rows, volatility per expiry, rank, quality.
 
+    With ``timestamp`` among the keys there is a point per time, each ranked in the history
+    (iv, timestamp) of its series.  Without deltas skew and butterfly are 0, and a point that
+    is 0 all over is "estimated".
+
     The rows are aggregated once, per expiry; the point is put together from those few
     results.
     """
-    if history is not None and "timestamp" in keys:
-        raise ValueError("a rank against history needs one point per key: leave time out of keys")
-    rows = greeks.select(
+    rows = _with_delta(greeks).select(
         *keys, "expiry", F.col("timestamp").alias("_latest"), "iv", F.col(seq).alias("_s"),
         _distance(spot).alias("_d"),
         F.abs(F.col("delta") - WING_DELTA).alias("_call"),
@@ -267,16 +285,16 @@ def vol_surface(
     point = point.withColumns(
         {
             "atm_iv": F.coalesce(*[F.col(f"_atm{i}.iv") for i in range(len(ATM_BANDS))], F.col("_all.iv")),
-            "skew_25d": wings[0] - wings[1],
-            "butterfly_25d": (wings[0] + wings[1]) / 2 - F.col("_all.iv"),
+            "skew_25d": F.coalesce(wings[0] - wings[1], F.lit(0.0)),
+            "butterfly_25d": F.coalesce((wings[0] + wings[1]) / 2 - F.col("_all.iv"), F.lit(0.0)),
         }
     )
-    flat = (F.col("atm_iv") == 0) & (F.col("skew_25d") == 0) & (F.col("butterfly_25d") == 0)
+    flat = (F.coalesce("atm_iv", F.lit(0.0)) == 0) & (F.col("skew_25d") == 0) & (F.col("butterfly_25d") == 0)
     point = point.withColumn("quality", F.when(flat, "estimated").otherwise("good"))
     if history is None:
         point = point.withColumn("iv_rank", F.lit(NO_HISTORY_RANK))
     else:
-        point = iv_rank(point, history, keys)
+        point = iv_rank(point, history, keys, lookback_days=lookback_days)
     stamp = [] if "timestamp" in keys else [F.col("_latest").alias("timestamp")]
     return point.select(
         *keys, *stamp, "atm_iv", "skew_25d", "butterfly_25d", "iv_rank", "term_structure", "quality"

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .blocks import BLOCK_ROWS, block_of, inside, row_numbers, upto
+from .gaps import present
 
 
 def _moments(c: str, frame) -> Column:
@@ -30,7 +31,7 @@ def flag_outliers(
     """Add ``is_outlier``: |z| above ``threshold`` in any of ``columns``, where z uses the
     mean and sample deviation of the last ``window`` rows including the current one.
 
-    Absent columns are skipped.  Rows are numbered per key; each block of numbers also
+    Absent columns are skipped, null and NaN values count in no window.  Rows are numbered per key; each block of numbers also
     receives the ``window - 1`` rows before it, so no window crosses a block edge.
 
     A sliding frame would visit ``window`` rows for every row.  Instead the numbers are
@@ -44,7 +45,9 @@ def flag_outliers(
     if not used:
         return df.withColumn("is_outlier", F.lit(False))
     width = -(-max(width, window) // window) * window  # runs must not straddle blocks
-    numbered = row_numbers(df, keys, order_by, width)
+    # NaN is a missing value here: to Spark it is above every threshold.
+    clean = present(df.withColumns({f"_v_{c}": F.col(c) for c in used}), [f"_v_{c}" for c in used])
+    numbered = row_numbers(clean, keys, order_by, width)
     home = block_of(F.col("_rn"), width)
     lent = F.pmod(F.col("_rn"), F.lit(width)) >= width - (window - 1)
     spread = (
@@ -57,8 +60,8 @@ def flag_outliers(
     run = Window.partitionBy(*keys, "_block", "_run")
     tail = upto(run.orderBy(F.desc("_rn")))
     head = upto(run.orderBy("_rn"))
-    staged = spread.withColumns({f"_tail_{c}": _moments(c, tail) for c in used})
-    staged = staged.withColumns({f"_head_{c}": _moments(c, head) for c in used})
+    staged = spread.withColumns({f"_tail_{c}": _moments(f"_v_{c}", tail) for c in used})
+    staged = staged.withColumns({f"_head_{c}": _moments(f"_v_{c}", head) for c in used})
     staged = staged.withColumns(
         {f"_tail_{c}": F.lag(f"_tail_{c}", window - 1).over(inside(keys, "_rn")) for c in used}
     )
@@ -77,7 +80,7 @@ def flag_outliers(
         mean = F.when(part("n") == 0, h["mean"]).when(h["n"] == 0, part("mean")).otherwise(mean)
         dev = F.when(part("n") == 0, h["dev"]).when(h["n"] == 0, part("dev")).otherwise(dev)
         deviation = F.when(n > 1, F.nullif(F.sqrt(dev / F.nullif(n - 1, F.lit(0.0))), F.lit(0.0)))
-        return F.coalesce(F.abs((F.col(c) - mean) / deviation) > threshold, F.lit(False))
+        return F.coalesce(F.abs((F.col(f"_v_{c}") - mean) / deviation) > threshold, F.lit(False))
 
     flag = extreme(used[0])
     for c in used[1:]:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .gaps import present
+
 DAY_MS = 86_400_000
 
 # Columns watched for nulls, and fields a ticker must have.
@@ -54,10 +56,10 @@ def _long(df: DataFrame, keys: list[str], entries: list[tuple[str, list[Column]]
 def null_ratio(
     df: DataFrame, keys: list[str] | None = None, columns: Sequence[str] = NULL_CHECKED, limit: float = 0.5
 ) -> DataFrame:
-    """Share of nulls per watched column, and whether it is above the limit."""
+    """Share of nulls (and NaN) per watched column, and whether it is above the limit."""
     keys = list(keys or [])
     used = [c for c in columns if c in df.columns]
-    agg = df.groupBy(*keys).agg(
+    agg = present(df, used).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(f"_c_{c}") for c in used]
     )
     ratio = {c: F.try_divide(F.col("_n") - F.col(f"_c_{c}"), F.col("_n")) for c in used}
@@ -75,6 +77,20 @@ def epoch_zero(df: DataFrame, keys: list[str] | None = None, on: str = "timestam
     return df.groupBy(*keys).agg(zero.alias("epoch_zero_rows"), (zero > 0).alias("is_error"))
 
 
+def source_flags(
+    df: DataFrame, keys: list[str], on: str = "timestamp", columns: Sequence[str] = NULL_CHECKED, limit: float = 0.5
+) -> DataFrame:
+    """Rows, columns with too many nulls (warnings) and whether epoch-zero rows exist
+    (errors) per key: ``null_ratio`` and ``epoch_zero`` in one aggregation."""
+    used = [c for c in columns if c in df.columns]
+    n = F.count(F.lit(1))
+    over = [F.coalesce(F.try_divide(n - F.count(c), n) > limit, F.lit(False)).cast("long") for c in used]
+    zero = F.count_if((F.col(on) >= 0) & (F.col(on) < DAY_MS)) > 0
+    return present(df, used).groupBy(*keys).agg(
+        n.alias("rows"), sum(over, F.lit(0).cast("long")).alias("warnings"), zero.cast("long").alias("errors")
+    )
+
+
 def file_status(errors: Column, rows: Column, warnings: Column) -> Column:
     return (
         F.when(errors > 0, "ERROR").when(rows == 0, "WARNING").when(warnings > 0, "WARNING").otherwise("OK")

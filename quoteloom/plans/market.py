@@ -26,5 +26,9 @@ def surface_from_chain(
 ) -> DataFrame:
     """What the volatility surface looks like per currency, from raw chain rows."""
     priced = options.greeks_batch(chain, now_ms, rate, extra=[*keys, seq], as_float=as_float)
-    level = options.first_underlying(priced, keys, seq)
-    return options.vol_surface(level, keys, seq, history=history)
+    return surface_from_greeks(priced, keys, seq, history)
+
+
+def surface_from_greeks(priced: DataFrame, keys: list[str], seq: str, history: DataFrame | None = None) -> DataFrame:
+    """The surface over priced contracts, all at the underlying of their group's first row."""
+    return options.vol_surface(options.first_underlying(priced, keys, seq), keys, seq, history=history)

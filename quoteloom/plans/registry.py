@@ -5,44 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sinks import store
+
 DAY_MS = 86_400_000
 
-# Strategy, title, priority, then (data type, exchanges, symbols, frequency, rank).
-_OPTIONS = ("options_greeks", "deribit", "BTC ETH", "5s", 0)
-_THREE_VENUES = ("funding_rate", "binance deribit hyperliquid", "BTCUSDT BTC-PERPETUAL BTC", "8h")
-STRATEGIES = (
-    ("short_strangle", "Short Strangle + Perp Hedge", "P0", (
-        _OPTIONS,
-        ("mark_price", "deribit", "BTC-PERPETUAL ETH-PERPETUAL", "1s", 0),
-        ("funding_rate", "binance deribit", "BTCUSDT BTC-PERPETUAL", "8h", 2),
-        ("margin_params", "deribit", "BTC ETH", "1d", 2),
-    )),
-    ("synthetic_covered_call", "Synthetic Covered Call", "P0", (
-        _OPTIONS,
-        ("mark_price", "deribit", "BTC-PERPETUAL ETH-PERPETUAL", "1m", 1),
-        (*_THREE_VENUES, 2),
-    )),
-    ("collar", "Collar Strategy", "P0", (
-        _OPTIONS,
-        ("mark_price", "deribit", "BTC-PERPETUAL", "1m", 1),
-    )),
-    ("funding_arb", "Funding Rate Arbitrage + Option Protection", "P1", (
-        (*_THREE_VENUES, 0),
-        ("mark_price", "binance deribit", "BTCUSDT BTC-PERPETUAL", "1m", 1),
-        ("options_greeks", "deribit", "BTC", "5s", 2),
-        ("basis", "binance deribit", "BTCUSDT BTC-PERPETUAL", "1m", 1),
-    )),
-    ("gamma_scalping", "Gamma Scalping", "P1", (
-        _OPTIONS,
-        ("mark_price", "deribit", "BTC-PERPETUAL", "1s", 0),
-        ("margin_params", "deribit", "BTC", "1d", 2),
-    )),
-    ("vol_term_structure", "Volatility Term Structure Arb", "P2", (
-        _OPTIONS,
-        ("vol_surface", "deribit", "BTC ETH", "10s", 1),
-        ("risk_free_rate", "fred", "USD", "1d", 2),
-    )),
-)
+# Strategy, title, its priority, number of the requirement, data type, exchanges,
+# symbols, frequency, rank.
+REQUIREMENTS = (
+    ("short_strangle", "Short Strangle + Perp Hedge", "P0", 0, "options_greeks", ["deribit"], ["BTC", "ETH"], "5s", 0),
+    ("short_strangle", "Short Strangle + Perp Hedge", "P0", 1, "mark_price", ["deribit"], ["BTC-PERPETUAL", "ETH-PERPETUAL"], "1s", 0),
+    ("short_strangle", "Short Strangle + Perp Hedge", "P0", 2, "funding_rate", ["binance", "deribit"], ["BTCUSDT", "BTC-PERPETUAL"], "8h", 2),
+    ("short_strangle", "Short Strangle + Perp Hedge", "P0", 3, "margin_params", ["deribit"], ["BTC", "ETH"], "1d", 2),
+    ("synthetic_covered_call", "Synthetic Covered Call", "P0", 0, "options_greeks", ["deribit"], ["BTC", "ETH"], "5s", 0),
+    ("synthetic_covered_call", "Synthetic Covered Call", "P0", 1, "mark_price", ["deribit"], ["BTC-PERPETUAL", "ETH-PERPETUAL"], "1m", 1),
+    ("synthetic_covered_call", "Synthetic Covered Call", "P0", 2, "funding_rate", ["binance", "deribit", "hyperliquid"], ["BTCUSDT", "BTC-PERPETUAL", "BTC"], "8h", 2),
+    ("collar", "Collar Strategy", "P0", 0, "options_greeks", ["deribit"], ["BTC", "ETH"], "5s", 0),
+    ("collar", "Collar Strategy", "P0", 1, "mark_price", ["deribit"], ["BTC-PERPETUAL"], "1m", 1),
+    ("funding_arb", "Funding Rate Arbitrage + Option Protection", "P1", 0, "funding_rate", ["binance", "deribit", "hyperliquid"], ["BTCUSDT", "BTC-PERPETUAL", "BTC"], "8h", 0),
+    ("funding_arb", "Funding Rate Arbitrage + Option Protection", "P1", 1, "mark_price", ["binance", "deribit"], ["BTCUSDT", "BTC-PERPETUAL"], "1m", 1),
+    ("funding_arb", "Funding Rate Arbitrage + Option Protection", "P1", 2, "options_greeks", ["deribit"], ["BTC"], "5s", 2),
+    ("funding_arb", "Funding Rate Arbitrage + Option Protection", "P1", 3, "basis", ["binance", "deribit"], ["BTCUSDT", "BTC-PERPETUAL"], "1m", 1),
+    ("gamma_scalping", "Gamma Scalping", "P1", 0, "options_greeks", ["deribit"], ["BTC", "ETH"], "5s", 0),
+    ("gamma_scalping", "Gamma Scalping", "P1", 1, "mark_price", ["deribit"], ["BTC-PERPETUAL"], "1s", 0),
+    ("gamma_scalping", "Gamma Scalping", "P1", 2, "margin_params", ["deribit"], ["BTC"], "1d", 2),
+    ("vol_term_structure", "Volatility Term Structure Arb", "P2", 0, "options_greeks", ["deribit"], ["BTC", "ETH"], "5s", 0),
+    ("vol_term_structure", "Volatility Term Structure Arb", "P2", 1, "vol_surface", ["deribit"], ["BTC", "ETH"], "10s", 1),
+    ("vol_term_structure", "Volatility Term Structure Arb", "P2", 2, "risk_free_rate", ["fred"], ["USD"], "1d", 2),
+)
 
 SCHEMA = (
     "strategy string, display_name string, strategy_priority string, requirement int, data_type string, "
@@ -51,14 +40,9 @@ SCHEMA = (
 CELL = ["exchange", "data_type", "symbol"]
 
 
-def registry(spark: SparkSession, strategies: tuple = STRATEGIES) -> DataFrame:
+def registry(spark: SparkSession, requirements: tuple = REQUIREMENTS) -> DataFrame:
     """One row per requirement.  Pass a longer tuple to register further strategies."""
-    rows = [
-        (name, title, level, i, kind, exchanges.split(), symbols.split(), frequency, rank)
-        for name, title, level, needs in strategies
-        for i, (kind, exchanges, symbols, frequency, rank) in enumerate(needs)
-    ]
-    return spark.createDataFrame(rows, SCHEMA)
+    return spark.createDataFrame(requirements, SCHEMA)
 
 
 def with_priority(reg: DataFrame, priority: str | list[str]) -> DataFrame:
@@ -112,16 +96,23 @@ def run_counts(planned: DataFrame, landed: DataFrame, now_ms: int, days: int) ->
 
 
 def run_rows(planned: DataFrame, landed: DataFrame) -> DataFrame:
-    """The landed rows a plan selects, each once, ready for the table sink.  The planned
-    cells come from the registry, a list written in code, so they can be broadcast."""
+    """The landed rows a plan selects, each once, ready for the table sink."""
     wanted = planned.groupBy(*CELL).agg(F.min("start_ms").alias("_lo"), F.max("end_ms").alias("_hi"))
     return (
-        landed.join(F.broadcast(wanted), CELL)
+        landed.join(wanted, CELL)
         .filter((F.col("timestamp") >= F.col("_lo")) & (F.col("timestamp") < F.col("_hi")))
         .select(*landed.columns)
     )
 
 
+def run_into_store(planned: DataFrame, landed: DataFrame, path: str, now_ms: int, days: int, order_by: list[str]) -> DataFrame:
+    """A whole run: select the planned rows, merge them into the dated table, report the
+    rows of each strategy and data type.  Running it again changes nothing."""
+    rows = store.with_date(run_rows(planned, landed))
+    store.upsert(rows, path, keys=["timestamp", *CELL], order_by=order_by)
+    return run_counts(planned, landed, now_ms, days)
+
+
 def completeness(reg: DataFrame, landed: DataFrame) -> DataFrame:
     """Requirement matrix: every cell with its rows, MISSING where nothing landed."""
     return (

@@ -6,75 +6,213 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_TYPES = {
-    "L": T.LongType(),
-    "I": T.IntegerType(),
-    "D": T.DoubleType(),
-    "S": T.StringType(),
-    "B": T.BooleanType(),
-    "T": T.TimestampType(),
-    "SS": T.ArrayType(T.StringType()),
-    "MAP": T.MapType(T.StringType(), T.DoubleType()),
-}
-
-
-def record(spec: str) -> T.StructType:
-    """``"timestamp:L price:D? ..."`` -> StructType; ``?`` marks an optional field."""
-    fields = []
-    for item in spec.split():
-        name, kind = item.split(":")
-        fields.append(T.StructField(name, _TYPES[kind.rstrip("?")], kind.endswith("?")))
-    return T.StructType(fields)
-
-
-OHLCV = record(
-    "timestamp:L open:D high:D low:D close:D volume:D quote_volume:D "
-    "exchange:S symbol:S timeframe:S trades:I?"
-)
-FUNDING_RATE = record(
-    "timestamp:L exchange:S symbol:S funding_rate:D mark_price:D? index_price:D?"
-)
-MARK_PRICE = record("timestamp:L exchange:S symbol:S mark_price:D index_price:D? basis:D?")
-SPOT_PRICE = record("timestamp:L exchange:S symbol:S price:D bid_price:D ask_price:D")
-L1_QUOTE = record(
-    "timestamp:L instrument_name:S bid_price:D ask_price:D bid_size:D ask_size:D last_price:D"
-)
-QUOTE_SNAPSHOT = record(
-    "timestamp:L instrument_name:S exchange:S source:S bid_price:D ask_price:D bid_size:D "
-    "ask_size:D mid_price:D spread:D spread_bps:D bid_iv:D? ask_iv:D?"
-)
-MARGIN_PARAMS = record(
-    "timestamp:L instrument_name:S exchange:S instrument_type:S initial_margin_rate:D "
-    "maintenance_margin_rate:D max_leverage:D contract_size:D tick_size:D min_order_size:D"
-)
-RISK_FREE_RATE = record(
-    "date:S tenor_years:D rate_annual:D rate_continuous:D is_trading_day:B"
-)
-BASIS_POINT = record(
-    "timestamp:L symbol:S basis_type:S spot_price:D perp_price:D basis:D basis_pct:D "
-    "annualized_basis:D days_to_expiry:I"
-)
-VOL_SURFACE_POINT = record(
-    "timestamp:L symbol:S atm_iv:D skew_25d:D butterfly_25d:D iv_rank:D term_structure:MAP quality:S"
-)
-GREEKS_SNAPSHOT = record(
-    "timestamp:L instrument_name:S exchange:S underlying_price:D strike:D expiry:S "
-    "time_to_expiry_years:D option_type:S iv:D iv_source:S delta:D gamma:D vega:D theta:D "
-    "rho:D mid_price:D bid_price:D ask_price:D"
-)
-GAP = record("gap_start:L gap_end:L gap_duration_ms:L affected_instruments:SS")
-CONTRACT_MAPPING = record("expiry:S calls:SS puts:SS atm_strike:D total_oi:D")
-OPTION_INSTRUMENT = record(
-    "instrument_name:S currency:S kind:S base_currency:S quote_currency:S contract_size:D "
-    "option_type:S strike:D expiration_timestamp:L expiration_date:T settlement_period:S "
-    "is_active:B min_trade_amount:D tick_size:D maker_commission:D taker_commission:D"
-)
-OPTION_TICKER = record(
-    "instrument_name:S timestamp:T underlying_price:D mark_price:D bid_price:D ask_price:D "
-    "bid_iv:D ask_iv:D mark_iv:D open_interest:D volume_24h:D settlement_period:S last:D? "
-    "high:D? low:D? total_volume:D?"
-)
-BOOK_LEVEL = record("price:D amount:D order_count:I")
+OHLCV = T.StructType(
+    [
+        T.StructField("timestamp", T.LongType(), False),
+        T.StructField("open", T.DoubleType(), False),
+        T.StructField("high", T.DoubleType(), False),
+        T.StructField("low", T.DoubleType(), False),
+        T.StructField("close", T.DoubleType(), False),
+        T.StructField("volume", T.DoubleType(), False),
+        T.StructField("quote_volume", T.DoubleType(), False),
+        T.StructField("exchange", T.StringType(), False),
+        T.StructField("symbol", T.StringType(), False),
+        T.StructField("timeframe", T.StringType(), False),
+        T.StructField("trades", T.IntegerType(), True),
+    ]
+)
+FUNDING_RATE = T.StructType(
+    [
+        T.StructField("timestamp", T.LongType(), False),
+        T.StructField("exchange", T.StringType(), False),
+        T.StructField("symbol", T.StringType(), False),
+        T.StructField("funding_rate", T.DoubleType(), False),
+        T.StructField("mark_price", T.DoubleType(), True),
+        T.StructField("index_price", T.DoubleType(), True),
+    ]
+)
+MARK_PRICE = T.StructType(
+    [
+        T.StructField("timestamp", T.LongType(), False),
+        T.StructField("exchange", T.StringType(), False),
+        T.StructField("symbol", T.StringType(), False),
+        T.StructField("mark_price", T.DoubleType(), False),
+        T.StructField("index_price", T.DoubleType(), True),
+        T.StructField("basis", T.DoubleType(), True),
+    ]
+)
+SPOT_PRICE = T.StructType(
+    [
+        T.StructField("timestamp", T.LongType(), False),
+        T.StructField("exchange", T.StringType(), False),
+        T.StructField("symbol", T.StringType(), False),
+        T.StructField("price", T.DoubleType(), False),
+        T.StructField("bid_price", T.DoubleType(), False),
+        T.StructField("ask_price", T.DoubleType(), False),
+    ]
+)
+L1_QUOTE = T.StructType(
+    [
+        T.StructField("timestamp", T.LongType(), False),
+        T.StructField("instrument_name", T.StringType(), False),
+        T.StructField("bid_price", T.DoubleType(), False),
+        T.StructField("ask_price", T.DoubleType(), False),
+        T.StructField("bid_size", T.DoubleType(), False),
+        T.StructField("ask_size", T.DoubleType(), False),
+        T.StructField("last_price", T.DoubleType(), False),
+    ]
+)
+QUOTE_SNAPSHOT = T.StructType(
+    [
+        T.StructField("timestamp", T.LongType(), False),
+        T.StructField("instrument_name", T.StringType(), False),
+        T.StructField("exchange", T.StringType(), False),
+        T.StructField("source", T.StringType(), False),
+        T.StructField("bid_price", T.DoubleType(), False),
+        T.StructField("ask_price", T.DoubleType(), False),
+        T.StructField("bid_size", T.DoubleType(), False),
+        T.StructField("ask_size", T.DoubleType(), False),
+        T.StructField("mid_price", T.DoubleType(), False),
+        T.StructField("spread", T.DoubleType(), False),
+        T.StructField("spread_bps", T.DoubleType(), False),
+        T.StructField("bid_iv", T.DoubleType(), True),
+        T.StructField("ask_iv", T.DoubleType(), True),
+    ]
+)
+MARGIN_PARAMS = T.StructType(
+    [
+        T.StructField("timestamp", T.LongType(), False),
+        T.StructField("instrument_name", T.StringType(), False),
+        T.StructField("exchange", T.StringType(), False),
+        T.StructField("instrument_type", T.StringType(), False),
+        T.StructField("initial_margin_rate", T.DoubleType(), False),
+        T.StructField("maintenance_margin_rate", T.DoubleType(), False),
+        T.StructField("max_leverage", T.DoubleType(), False),
+        T.StructField("contract_size", T.DoubleType(), False),
+        T.StructField("tick_size", T.DoubleType(), False),
+        T.StructField("min_order_size", T.DoubleType(), False),
+    ]
+)
+RISK_FREE_RATE = T.StructType(
+    [
+        T.StructField("date", T.StringType(), False),
+        T.StructField("tenor_years", T.DoubleType(), False),
+        T.StructField("rate_annual", T.DoubleType(), False),
+        T.StructField("rate_continuous", T.DoubleType(), False),
+        T.StructField("is_trading_day", T.BooleanType(), False),
+    ]
+)
+BASIS_POINT = T.StructType(
+    [
+        T.StructField("timestamp", T.LongType(), False),
+        T.StructField("symbol", T.StringType(), False),
+        T.StructField("basis_type", T.StringType(), False),
+        T.StructField("spot_price", T.DoubleType(), False),
+        T.StructField("perp_price", T.DoubleType(), False),
+        T.StructField("basis", T.DoubleType(), False),
+        T.StructField("basis_pct", T.DoubleType(), False),
+        T.StructField("annualized_basis", T.DoubleType(), False),
+        T.StructField("days_to_expiry", T.IntegerType(), False),
+    ]
+)
+VOL_SURFACE_POINT = T.StructType(
+    [
+        T.StructField("timestamp", T.LongType(), False),
+        T.StructField("symbol", T.StringType(), False),
+        T.StructField("atm_iv", T.DoubleType(), False),
+        T.StructField("skew_25d", T.DoubleType(), False),
+        T.StructField("butterfly_25d", T.DoubleType(), False),
+        T.StructField("iv_rank", T.DoubleType(), False),
+        T.StructField("term_structure", T.MapType(T.StringType(), T.DoubleType()), False),
+        T.StructField("quality", T.StringType(), False),
+    ]
+)
+GREEKS_SNAPSHOT = T.StructType(
+    [
+        T.StructField("timestamp", T.LongType(), False),
+        T.StructField("instrument_name", T.StringType(), False),
+        T.StructField("exchange", T.StringType(), False),
+        T.StructField("underlying_price", T.DoubleType(), False),
+        T.StructField("strike", T.DoubleType(), False),
+        T.StructField("expiry", T.StringType(), False),
+        T.StructField("time_to_expiry_years", T.DoubleType(), False),
+        T.StructField("option_type", T.StringType(), False),
+        T.StructField("iv", T.DoubleType(), False),
+        T.StructField("iv_source", T.StringType(), False),
+        T.StructField("delta", T.DoubleType(), False),
+        T.StructField("gamma", T.DoubleType(), False),
+        T.StructField("vega", T.DoubleType(), False),
+        T.StructField("theta", T.DoubleType(), False),
+        T.StructField("rho", T.DoubleType(), False),
+        T.StructField("mid_price", T.DoubleType(), False),
+        T.StructField("bid_price", T.DoubleType(), False),
+        T.StructField("ask_price", T.DoubleType(), False),
+    ]
+)
+GAP = T.StructType(
+    [
+        T.StructField("gap_start", T.LongType(), False),
+        T.StructField("gap_end", T.LongType(), False),
+        T.StructField("gap_duration_ms", T.LongType(), False),
+        T.StructField("affected_instruments", T.ArrayType(T.StringType()), False),
+    ]
+)
+CONTRACT_MAPPING = T.StructType(
+    [
+        T.StructField("expiry", T.StringType(), False),
+        T.StructField("calls", T.ArrayType(T.StringType()), False),
+        T.StructField("puts", T.ArrayType(T.StringType()), False),
+        T.StructField("atm_strike", T.DoubleType(), False),
+        T.StructField("total_oi", T.DoubleType(), False),
+    ]
+)
+OPTION_INSTRUMENT = T.StructType(
+    [
+        T.StructField("instrument_name", T.StringType(), False),
+        T.StructField("currency", T.StringType(), False),
+        T.StructField("kind", T.StringType(), False),
+        T.StructField("base_currency", T.StringType(), False),
+        T.StructField("quote_currency", T.StringType(), False),
+        T.StructField("contract_size", T.DoubleType(), False),
+        T.StructField("option_type", T.StringType(), False),
+        T.StructField("strike", T.DoubleType(), False),
+        T.StructField("expiration_timestamp", T.LongType(), False),
+        T.StructField("expiration_date", T.TimestampType(), False),
+        T.StructField("settlement_period", T.StringType(), False),
+        T.StructField("is_active", T.BooleanType(), False),
+        T.StructField("min_trade_amount", T.DoubleType(), False),
+        T.StructField("tick_size", T.DoubleType(), False),
+        T.StructField("maker_commission", T.DoubleType(), False),
+        T.StructField("taker_commission", T.DoubleType(), False),
+    ]
+)
+OPTION_TICKER = T.StructType(
+    [
+        T.StructField("instrument_name", T.StringType(), False),
+        T.StructField("timestamp", T.TimestampType(), False),
+        T.StructField("underlying_price", T.DoubleType(), False),
+        T.StructField("mark_price", T.DoubleType(), False),
+        T.StructField("bid_price", T.DoubleType(), False),
+        T.StructField("ask_price", T.DoubleType(), False),
+        T.StructField("bid_iv", T.DoubleType(), False),
+        T.StructField("ask_iv", T.DoubleType(), False),
+        T.StructField("mark_iv", T.DoubleType(), False),
+        T.StructField("open_interest", T.DoubleType(), False),
+        T.StructField("volume_24h", T.DoubleType(), False),
+        T.StructField("settlement_period", T.StringType(), False),
+        T.StructField("last", T.DoubleType(), True),
+        T.StructField("high", T.DoubleType(), True),
+        T.StructField("low", T.DoubleType(), True),
+        T.StructField("total_volume", T.DoubleType(), True),
+    ]
+)
+BOOK_LEVEL = T.StructType(
+    [
+        T.StructField("price", T.DoubleType(), False),
+        T.StructField("amount", T.DoubleType(), False),
+        T.StructField("order_count", T.IntegerType(), False),
+    ]
+)
 OPTION_BOOK = T.StructType(
     [
         T.StructField("instrument_name", T.StringType(), False),
@@ -89,22 +227,66 @@ OPTION_BOOK = T.StructType(
         T.StructField("state", T.StringType()),
     ]
 )
-TRADE = record(
-    "trade_seq:L trade_id:S timestamp:T instrument_name:S direction:S price:D amount:D "
-    "trade_volume_usd:D trade_index_price:D inventory_index:D volatility:D? interest_rate:D? "
-    "mark_price:D? index_price:D?"
+TRADE = T.StructType(
+    [
+        T.StructField("trade_seq", T.LongType(), False),
+        T.StructField("trade_id", T.StringType(), False),
+        T.StructField("timestamp", T.TimestampType(), False),
+        T.StructField("instrument_name", T.StringType(), False),
+        T.StructField("direction", T.StringType(), False),
+        T.StructField("price", T.DoubleType(), False),
+        T.StructField("amount", T.DoubleType(), False),
+        T.StructField("trade_volume_usd", T.DoubleType(), False),
+        T.StructField("trade_index_price", T.DoubleType(), False),
+        T.StructField("inventory_index", T.DoubleType(), False),
+        T.StructField("volatility", T.DoubleType(), True),
+        T.StructField("interest_rate", T.DoubleType(), True),
+        T.StructField("mark_price", T.DoubleType(), True),
+        T.StructField("index_price", T.DoubleType(), True),
+    ]
+)
+GREEKS_DATA = T.StructType(
+    [
+        T.StructField("timestamp", T.TimestampType(), False),
+        T.StructField("instrument_name", T.StringType(), False),
+        T.StructField("underlying_price", T.DoubleType(), False),
+        T.StructField("mark_price", T.DoubleType(), False),
+        T.StructField("open_interest", T.DoubleType(), False),
+        T.StructField("delta", T.DoubleType(), False),
+        T.StructField("gamma", T.DoubleType(), False),
+        T.StructField("rho", T.DoubleType(), False),
+        T.StructField("theta", T.DoubleType(), False),
+        T.StructField("vega", T.DoubleType(), False),
+    ]
 )
-GREEKS_DATA = record(
-    "timestamp:T instrument_name:S underlying_price:D mark_price:D open_interest:D delta:D "
-    "gamma:D rho:D theta:D vega:D"
+MARK_PRICE_DATA = T.StructType(
+    [
+        T.StructField("timestamp", T.TimestampType(), False),
+        T.StructField("instrument_name", T.StringType(), False),
+        T.StructField("mark_price", T.DoubleType(), False),
+        T.StructField("index_price", T.DoubleType(), False),
+        T.StructField("settlement_price", T.DoubleType(), False),
+        T.StructField("underlying_price", T.DoubleType(), False),
+    ]
 )
-MARK_PRICE_DATA = record(
-    "timestamp:T instrument_name:S mark_price:D index_price:D settlement_price:D underlying_price:D"
+SETTLEMENT_PRICE_DATA = T.StructType(
+    [
+        T.StructField("timestamp", T.TimestampType(), False),
+        T.StructField("instrument_name", T.StringType(), False),
+        T.StructField("settlement_price", T.DoubleType(), False),
+        T.StructField("delivery_price", T.DoubleType(), False),
+        T.StructField("settlement_type", T.StringType(), False),
+    ]
 )
-SETTLEMENT_PRICE_DATA = record(
-    "timestamp:T instrument_name:S settlement_price:D delivery_price:D settlement_type:S"
+DATA_REQUIREMENT = T.StructType(
+    [
+        T.StructField("data_type", T.StringType(), False),
+        T.StructField("exchanges", T.ArrayType(T.StringType()), False),
+        T.StructField("symbols", T.ArrayType(T.StringType()), False),
+        T.StructField("frequency", T.StringType(), False),
+        T.StructField("priority", T.IntegerType(), False),
+    ]
 )
-DATA_REQUIREMENT = record("data_type:S exchanges:SS symbols:SS frequency:S priority:I")
 
 # Allowed values of the enumerated string fields.
 OPTION_TYPES = ("call", "put")

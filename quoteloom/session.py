@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -46,12 +47,15 @@ def get_session(app_name: str = "quoteloom", master: str | None = None, **conf:
 def shared_dir(spark: SparkSession) -> str:
     """Folder for checkpoints and staged tables, as named by ``spark.checkpoint.dir``.
 
-    Only where that is unset (local runs, tests) a new temporary folder is chosen and
-    set as the checkpoint folder.
+    Where that is unset, a local session (tests, a laptop) gets a new temporary folder; on a
+    cluster, where every machine would write to a disk of its own, it is an error.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named
-    made = tempfile.mkdtemp(prefix="quoteloom-")
-    spark.sparkContext.setCheckpointDir(made)
-    return spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="quoteloom-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
+    return named

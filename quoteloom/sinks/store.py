@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import re
+import urllib.parse
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,18 +27,56 @@ def _hadoop_path(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+SCHEMA_FILE = "_schema.json"
+
+
+def declared_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The schema kept next to the table's data, so that no read has to open footers."""
+    fs, p = _hadoop_path(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return T.StructType.fromJson(json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+    finally:
+        stream.close()
+
+
+def _declare(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    fs, p = _hadoop_path(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
+    stream = fs.create(p, True)
+    try:
+        stream.write(bytearray(schema.json().encode()))
+    finally:
+        stream.close()
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the folder holds a table: a schema, or data files of another writer."""
+    if declared_schema(spark, path) is not None:
+        return True
     fs, p = _hadoop_path(spark, path)
-    return bool(fs.exists(p))
+    if not fs.exists(p):
+        return False
+    found = fs.listFiles(p, True)
+    while found.hasNext():
+        if found.next().getPath().getName().endswith(".parquet"):
+            return True
+    return False
+
+
+def _as_text(schema: T.StructType, parts: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(f.name, T.StringType() if f.name in parts else f.dataType) for f in schema])
 
 
 def read_table(spark: SparkSession, path: str, parts: list[str] | None = None) -> DataFrame:
     """The table with its partition columns as text, whatever the folder names look like
-    (a timeframe ``1d`` would otherwise be read as the number 1.0)."""
-    found = spark.read.option("mergeSchema", "true").parquet(path).schema
-    text = set(parts or PARTITIONS)
-    fields = [T.StructField(f.name, T.StringType() if f.name in text else f.dataType) for f in found]
-    return spark.read.schema(T.StructType(fields)).parquet(path)
+    (a timeframe ``1d`` would otherwise be read as the number 1.0).  The schema is the
+    declared one; only a table of another writer has its footers merged."""
+    schema = declared_schema(spark, path)
+    if schema is None:
+        schema = _as_text(spark.read.option("mergeSchema", "true").parquet(path).schema, parts or PARTITIONS)
+    return spark.read.schema(schema).parquet(path)
 
 
 def with_date(df: DataFrame, on: str = "timestamp") -> DataFrame:
@@ -65,6 +107,31 @@ def overwrite_partitions(df: DataFrame, path: str, parts: list[str], order: list
     )
 
 
+def _stage_root(path: str) -> str:
+    """Beside the table, on its file system; the underscore hides it from readers."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return f"{folder}/_staged-{name}"
+
+
+def finish_staged(spark: SparkSession, path: str, parts: list[str], columns: list[str]) -> None:
+    """Complete what a failed upsert left: a whole stage replaces its partitions, one that
+    was never finished is dropped, for the table was not touched yet."""
+    fs, root = _hadoop_path(spark, _stage_root(path))
+    if not fs.exists(root):
+        return
+    for status in fs.listStatus(root):
+        stage = status.getPath()
+        if fs.exists(_hadoop_path(spark, f"{stage}/_SUCCESS")[1]):
+            _replace(spark, str(stage), path, parts, columns)
+        fs.delete(stage, True)
+
+
+def _replace(spark: SparkSession, stage: str, path: str, parts: list[str], columns: list[str]) -> None:
+    merged = spark.read.parquet(stage)
+    overwrite_partitions(merged, path, parts, columns)
+    _declare(spark, path, _as_text(merged.schema, parts))
+
+
 def upsert(
     incoming: DataFrame,
     path: str,
@@ -76,9 +143,12 @@ def upsert(
     """Merge rows into the table: one row per key, the incoming one (``last``) or the
     stored one (``first``) winning.
 
-    Only partitions the batch touches are read and rewritten.  The merged rows are first
-    written to the shared folder, because a table cannot be read and replaced in one
-    job; running the same batch again changes nothing.
+    The batch is computed once.  The span of its dates prunes the table's folders before
+    they are listed into tasks, and a semi-join keeps only the partitions that the batch
+    touches.  A table can't be read and replaced in one job, so the merged rows are first
+    written beside it; that copy goes only after the partitions are replaced, and the next
+    upsert finishes one that a failure left.  An empty batch changes nothing, and the same
+    batch again gives the same table.  One writer per table at a time.
     """
     spark = incoming.sparkSession
     parts = list(parts or [c for c in PARTITIONS if c in incoming.columns])
@@ -86,21 +156,34 @@ def upsert(
     order = list(order_by or ["timestamp"])
     keyed = list(dict.fromkeys([*parts, *keys]))
     columns = [c for c in order if c not in parts]
-    if not table_exists(spark, path):
-        overwrite_partitions(merge(incoming.limit(0), incoming, keyed, order, keep), path, parts, columns)
-        return
-    kinds = incoming.schema
-    stored = read_table(spark, path, parts)
-    stored = stored.withColumns({c: F.col(c).cast(kinds[c].dataType) for c in parts})
-    touched = stored.join(incoming.select(*parts).distinct(), parts, "left_semi")
-    merged = merge(touched, incoming, keyed, order, keep)
-    staged = f"{shared_dir(spark)}/staged-{uuid.uuid4().hex}"
-    merged.write.option("compression", COMPRESSION).parquet(staged)
+    finish_staged(spark, path, parts, columns)
+    incoming = incoming.persist()
     try:
-        overwrite_partitions(spark.read.parquet(staged), path, parts, columns)
-    finally:
-        fs, p = _hadoop_path(spark, staged)
+        span = F.col("date") if "date" in parts else F.lit(None)
+        first, last, undated, rows = incoming.agg(
+            F.min(span.cast("string")), F.max(span.cast("string")), F.count_if(span.isNull()), F.count(F.lit(1))
+        ).first()
+        if not rows:
+            return
+        if table_exists(spark, path):
+            kinds = incoming.schema
+            stored = read_table(spark, path, parts)
+            if "date" in parts:
+                inside = F.col("date").between(first, last)
+                stored = stored.filter(inside | F.col("date").isNull() if undated else inside)
+            stored = stored.withColumns({c: F.col(c).cast(kinds[c].dataType) for c in parts})
+            touched = incoming.select(*[F.col(c).alias(f"_{c}") for c in parts]).distinct()
+            same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in parts])
+            existing = stored.join(touched, same, "left_semi")
+        else:
+            existing = incoming.limit(0)
+        stage = f"{_stage_root(path)}/{uuid.uuid4().hex}"
+        merge(existing, incoming, keyed, order, keep).write.option("compression", COMPRESSION).parquet(stage)
+        _replace(spark, stage, path, parts, columns)
+        fs, p = _hadoop_path(spark, stage)
         fs.delete(p, True)
+    finally:
+        incoming.unpersist()
 
 
 # -- reads ---------------------------------------------------------------------------
@@ -112,10 +195,11 @@ def load_range(table: DataFrame, start: str, end: str, name: str | None = None,
     return out if name is None else out.filter(F.col(column) == name)
 
 
-def load_latest_day(table: DataFrame, keys: list[str], today: str, look_back: int = 30) -> DataFrame:
-    """Rows of each key's newest day among the last ``look_back`` days."""
-    first = F.date_sub(F.lit(today).cast("date"), look_back - 1).cast("string")
-    recent = table.filter(F.col("date").between(first, F.lit(today)))
+def load_latest_day(table: DataFrame, keys: list[str], today: str, look_back: int | None = 30) -> DataFrame:
+    """Rows of each key's newest day among the last ``look_back`` days (None: of any age)."""
+    recent = table.filter(F.col("date") <= today)
+    if look_back is not None:
+        recent = recent.filter(F.col("date") >= F.date_sub(F.lit(today).cast("date"), look_back - 1).cast("string"))
     newest = recent.groupBy(*keys).agg(F.max("date").alias("date"))
     return recent.join(newest, [*keys, "date"], "left_semi")
 
@@ -144,9 +228,10 @@ def incremental_plan(universe: DataFrame, stats: DataFrame, keys: list[str], now
 
 def query_rows(
     table: DataFrame, name: str | None = None, start_ms: int | None = None, end_ms: int | None = None,
-    limit: int = 1000, on: str = "timestamp", column: str = "instrument_name", ties: list[str] | None = None,
+    limit: int | None = None, on: str = "timestamp", column: str = "instrument_name", ties: list[str] | None = None,
 ) -> DataFrame:
-    """Newest rows first, optionally of one instrument and time range (a top-k)."""
+    """Newest rows first, optionally of one instrument and time range; all of them unless a
+    ``limit`` asks for the newest few."""
     out = table
     if name is not None:
         out = out.filter(F.col(column) == name)
@@ -154,7 +239,8 @@ def query_rows(
         out = out.filter(F.col(on) >= start_ms)
     if end_ms is not None:
         out = out.filter(F.col(on) <= end_ms)
-    return out.orderBy(F.desc(on), *(ties or [])).limit(limit)
+    out = out.orderBy(F.desc(on), *(ties or []))
+    return out if limit is None else out.limit(limit)
 
 
 def count_by_day(table: DataFrame, on: str = "timestamp") -> DataFrame:
@@ -177,7 +263,16 @@ def files_of(spark: SparkSession, path: str) -> DataFrame:
         .option("recursiveFileLookup", "true")
         .load(path)
     )
-    return listing.select("path", F.col("length").alias("bytes"))
+    return listing.select(F.col("_metadata.file_path").alias("path"), F.col("length").alias("bytes"))
+
+
+def rename_files(spark: SparkSession, folder: str, old: str, new: str) -> None:
+    """Change the ending of the data files in one folder."""
+    fs, p = _hadoop_path(spark, folder)
+    for status in fs.listStatus(p):
+        name = status.getPath().toString()
+        if name.endswith(old):
+            fs.rename(status.getPath(), _hadoop_path(spark, name.removesuffix(old) + new)[1])
 
 
 def _part_of(name: str) -> Column:
@@ -216,11 +311,15 @@ def prune(spark: SparkSession, path: str, today: str, keep_days: int = 14, execu
     return plan
 
 
-def storage_audit(files: DataFrame, root: str) -> DataFrame:
-    """Files and bytes per folder below ``root``."""
-    folder = F.regexp_replace(F.regexp_extract("path", r"^(.*)/[^/]*$", 1), r"^file:/+", "/")
-    return files.groupBy(F.replace(folder, F.lit(root.rstrip("/")), F.lit("")).alias("folder")).agg(
-        F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes")
+def storage_audit(spark: SparkSession, path: str) -> DataFrame:
+    """Files, bytes and rows per folder below ``path``; an unreadable file counts no rows.
+
+    Row counts come from footers, so no data page is read.
+    """
+    root = rf"^.*{re.escape(path.rstrip('/').rpartition('/')[2])}(/.*)?/[^/]*$"
+    folder = F.regexp_extract("path", root, 1).alias("folder")
+    return files_of(spark, path).join(footers(spark, path), "path").groupBy(folder).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows")
     )
 
 
@@ -237,26 +336,43 @@ def source_inventory(files: DataFrame) -> DataFrame:
 def footers(spark: SparkSession, path: str) -> DataFrame:
     """Rows per file, or the error that kept its footer from being read.
 
-    Each task opens the files of its own share of the listing and reads footers only; a
-    failure becomes a row instead of failing the job.
+    Spark's reader counts rows from the footers, on any file system that it can list, and
+    passes over what it can't read.  Only files without a counted row (empty or broken ones)
+    are then opened whole to tell which; their names pass through the driver, as the names of
+    all files do when they are listed.
     """
+    files = files_of(spark, path).select("path")
+    counted = (
+        spark.read.schema("_none int")
+        .options(ignoreCorruptFiles=True, recursiveFileLookup=True, pathGlobFilter="*.parquet")
+        .parquet(path)
+        .groupBy(F.col("_metadata.file_path").alias("path"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    known = files.join(counted, "path", "left")
+    silent = [r["path"] for r in known.filter(F.col("rows").isNull()).select("path").toLocalIterator()]
+    good = known.filter(F.col("rows").isNotNull()).withColumn("error", F.lit(None).cast("string"))
+    if not silent:
+        return good
 
     def check(batches):
+        import io
+
         import pandas as pd
-        from pyarrow import fs
         from pyarrow import parquet as pq
 
         for batch in batches:
             out = []
-            for file in batch["path"]:
+            for file, content in zip(batch["path"], batch["content"]):
                 try:
-                    where, name = fs.FileSystem.from_uri(file)
-                    out.append((file, pq.ParquetFile(name, filesystem=where).metadata.num_rows, None))
+                    out.append((file, pq.ParquetFile(io.BytesIO(content)).metadata.num_rows, None))
                 except Exception as exc:  # noqa: BLE001 - the failure is the result
                     out.append((file, 0, type(exc).__name__))
             yield pd.DataFrame(out, columns=["path", "rows", "error"])
 
-    return files_of(spark, path).select("path").mapInPandas(check, "path string, rows long, error string")
+    opened = spark.read.format("binaryFile").load([urllib.parse.unquote(p) for p in silent])
+    opened = opened.select(F.col("_metadata.file_path").alias("path"), "content")
+    return good.unionByName(opened.mapInPandas(check, "path string, rows long, error string"))
 
 
 def file_checks(spark: SparkSession, path: str) -> DataFrame:

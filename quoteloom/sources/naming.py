@@ -26,14 +26,19 @@ SYMBOLS = {
     },
 }
 
-# Timeframes each venue knows; most are called the same there.
-_COMMON = ("1m", "3m", "5m", "15m", "30m", "1h", "2h", "4h", "8h", "12h", "1d", "3d", "1w", "1M")
+# Timeframes each venue knows, and their names there.
 TIMEFRAMES = {
-    "binance": {t: t for t in (*_COMMON, "6h")},
-    "hyperliquid": {t: t for t in _COMMON},
+    "binance": {
+        "1m": "1m", "3m": "3m", "5m": "5m", "15m": "15m", "30m": "30m", "1h": "1h", "2h": "2h", "4h": "4h",
+        "8h": "8h", "12h": "12h", "1d": "1d", "3d": "3d", "1w": "1w", "1M": "1M", "6h": "6h",
+    },
+    "hyperliquid": {
+        "1m": "1m", "3m": "3m", "5m": "5m", "15m": "15m", "30m": "30m", "1h": "1h", "2h": "2h", "4h": "4h",
+        "8h": "8h", "12h": "12h", "1d": "1d", "3d": "3d", "1w": "1w", "1M": "1M",
+    },
     "deribit": {
-        "1m": "1", "3m": "3", "5m": "5", "15m": "15", "30m": "30", "1h": "60", "2h": "120",
-        "4h": "240", "1d": "1D", "1w": "1W", "1M": "1M",
+        "1m": "1", "3m": "3", "5m": "5", "15m": "15", "30m": "30", "1h": "60", "2h": "120", "4h": "240",
+        "1d": "1D", "1w": "1W", "1M": "1M",
     },
 }
 # What a venue is asked for when it does not know the timeframe; absent =

@@ -301,29 +301,16 @@ def select_instruments(
     listing: DataFrame,
     start_ms: int,
     end_ms: int,
-    seq: str,
-    keys: list[str] | None = None,
     include_expired: bool = False,
-    first_expired: int = 50,
     whitelist: DataFrame | None = None,
 ) -> DataFrame:
-    """Active contracts and, if asked, those among the first listed expired ones whose
-    expiry lies strictly inside the range; then the whitelist.
-
-    The limit on expired contracts is the venue look-back of the collection job, applied
-    per key as a group limit below the shuffle.
-    """
-    out = listing.filter("is_active")
+    """Active contracts and, if asked, all expired ones whose expiry lies strictly inside the
+    range; then the whitelist."""
+    wanted = F.col("is_active")
     if include_expired:
-        order = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(seq)
-        expired = (
-            listing.filter(~F.col("is_active"))
-            .withColumn("_rank", F.row_number().over(order))
-            .filter(F.col("_rank") <= first_expired)
-            .filter((F.col("expiration_timestamp") > start_ms) & (F.col("expiration_timestamp") < end_ms))
-            .drop("_rank")
-        )
-        out = out.unionByName(expired)
+        at = F.col("expiration_timestamp")
+        wanted = wanted | (~F.col("is_active") & (at > start_ms) & (at < end_ms))
+    out = listing.filter(wanted)
     if whitelist is not None:
         out = out.join(whitelist.select("instrument_name").distinct(), "instrument_name", "left_semi")
     return out

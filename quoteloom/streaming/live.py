@@ -19,7 +19,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ..operators import basis, options
 from ..operators.tables import UNIQUE_KEYS, latest_per_key
 from ..plans.market import surface_from_chain
-from ..sinks.store import COMPRESSION, upsert, with_date
+from ..sinks.store import COMPRESSION, read_table, upsert, with_date
 from ..sources import option_feed
 
 WATERMARK = "60 seconds"
@@ -31,6 +31,12 @@ def event_time(df: DataFrame, on: str = "timestamp") -> DataFrame:
     return df.withColumn("event_time", F.timestamp_millis(F.col(on)))
 
 
+def file_stream(spark: SparkSession, schema, path: str, max_bytes: int = FLUSH_BYTES, **options) -> DataFrame:
+    """Landed files as a stream whose batches stay near ``max_bytes`` (at least one file), so
+    a restart after a long pause works through the backlog in steps."""
+    return spark.readStream.schema(schema).options(maxBytesPerTrigger=max_bytes, **options).parquet(path)
+
+
 # -- state ---------------------------------------------------------------------------
 
 
@@ -88,7 +94,36 @@ def write_changes(changes: DataFrame, path: str, checkpoint: str, mode: str = "u
 
 def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """Current state from the written changes: the newest batch's row of every key."""
-    return latest_per_key(spark.read.parquet(path), keys, "batch").drop("batch")
+    changes = spark.read.parquet(path).withColumn("batch", F.col("batch").cast("long"))
+    return latest_per_key(changes, keys, "batch").drop("batch")
+
+
+STATE_PART = "bucket"
+STATE_BUCKETS = 16
+
+
+def write_state(
+    changes: DataFrame, path: str, checkpoint: str, keys: list[str], mode: str = "update", buckets: int = STATE_BUCKETS, **trigger
+):
+    """Keep one row per key: each batch is merged into a table cut by key hash, so a reader
+    sees the current state and not every batch since the start."""
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        part = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("string")
+        rows = batch.withColumns({STATE_PART: part, "batch": F.lit(batch_id).cast("long")})
+        upsert(rows, path, keys=keys, parts=[STATE_PART], order_by=["batch"])
+
+    return (
+        changes.writeStream.outputMode(mode)
+        .foreachBatch(put)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": FLUSH_EVERY}))
+        .start()
+    )
+
+
+def read_state(spark: SparkSession, path: str) -> DataFrame:
+    return read_table(spark, path, [STATE_PART]).drop(STATE_PART, "batch")
 
 
 def write_table(
@@ -97,8 +132,8 @@ def write_table(
 ):
     """Buffered sink: every interval the batch is merged into the dated table.
 
-    Batches are bounded by the reader's ``maxBytesPerTrigger`` (``FLUSH_BYTES``) and the
-    interval, which replaces the in-memory buffer's size and age limits.
+    Batches are bounded by the interval and by the reader (``file_stream``), which replaces
+    the in-memory buffer's age and size limits.
     """
 
     def put(batch: DataFrame, batch_id: int) -> None:
@@ -152,22 +187,39 @@ def write_routed(messages: DataFrame, root: str, checkpoint: str, raw: str = "va
 def market_batch(
     chain: DataFrame, batch_id: int, root: str, keys: list[str], seq: str, now_ms: int,
     spot: DataFrame | None = None, perp: DataFrame | None = None, mapping: DataFrame | None = None,
-) -> None:
-    """One cycle: Greeks of the chain batch, the surface over them, and the live basis."""
+    name: str = "instrument_name",
+) -> None:
+    """One cycle: Greeks of the batch, the surface over the latest row of every contract seen
+    so far, and the live basis.  Contracts are kept in a table cut by name hash."""
+    spark, state = chain.sparkSession, f"{root}/chain_state"
+    chain = chain.persist()
+    contract = [*keys, name]
+    part = F.pmod(F.xxhash64(*contract), F.lit(STATE_BUCKETS)).cast("string")
+    upsert(chain.withColumn(STATE_PART, part), state, keys=contract, parts=[STATE_PART], order_by=[seq])
+    whole = read_table(spark, state, [STATE_PART]).drop(STATE_PART)
     out = {
         "options_greeks": options.greeks_batch(chain, now_ms, extra=[*keys, seq]),
-        "vol_surface": surface_from_chain(chain, keys, seq, now_ms),
+        "vol_surface": surface_from_chain(whole, keys, seq, now_ms),
     }
     if spot is not None and perp is not None and mapping is not None:
         out["basis"] = basis.live_basis(spot, perp, mapping, now_ms)
-    for name, rows in out.items():
-        rows.write.mode("overwrite").option("compression", COMPRESSION).parquet(f"{root}/{name}/batch={batch_id}")
+    try:
+        for kind, rows in out.items():
+            rows.write.mode("overwrite").option("compression", COMPRESSION).parquet(f"{root}/{kind}/batch={batch_id}")
+    finally:
+        chain.unpersist()
 
 
-def write_market(chain: DataFrame, root: str, checkpoint: str, keys: list[str], seq: str, clock: Callable[[int], int], **trigger):
-    """Continuous Greeks and surface; ``clock`` gives the pricing time of a batch."""
+def write_market(
+    chain: DataFrame, root: str, checkpoint: str, keys: list[str], seq: str, clock: Callable[[int], int],
+    spot: DataFrame | None = None, perp: DataFrame | None = None, mapping: DataFrame | None = None, **trigger,
+):
+    """Continuous Greeks, surface and basis; ``clock`` gives the pricing time of a batch.
+    ``spot``, ``perp`` and ``mapping`` are tables that every cycle reads anew."""
     return (
-        chain.writeStream.foreachBatch(lambda batch, i: market_batch(batch, i, root, keys, seq, clock(i)))
+        chain.writeStream.foreachBatch(
+            lambda batch, i: market_batch(batch, i, root, keys, seq, clock(i), spot, perp, mapping)
+        )
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "5 seconds"}))
         .start()
@@ -249,8 +301,15 @@ def with_counters(records: DataFrame, name: str = "collector", on: str = "timest
     return records.observe(name, F.count(F.lit(1)).alias("records"), F.max(on).alias("newest"))
 
 
+_COUNTERS = "batch_id long, flush_size long, newest long, duration_sec double"
+
+
 class CollectorMetrics(StreamingQueryListener):
-    """Keeps one small row per finished batch: records, newest time, duration."""
+    """One small row per finished batch: records, newest time, duration.
+
+    Rows wait here until ``flush`` appends them to a table; call it as often as the table is
+    read, and the driver holds only the rows since the last call.
+    """
 
     def __init__(self, name: str = "collector") -> None:
         self.name = name
@@ -275,6 +334,15 @@ class CollectorMetrics(StreamingQueryListener):
         self.failures += event.exception is not None
 
     def table(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(
-            self.batches, "batch_id long, flush_size long, newest long, duration_sec double"
-        )
+        """What waits to be flushed."""
+        return spark.createDataFrame(list(self.batches), _COUNTERS)
+
+    def flush(self, spark: SparkSession, path: str) -> DataFrame:
+        """Append the waiting rows to the table at ``path`` and return the whole table."""
+        waiting, self.batches = self.batches, []
+        try:
+            spark.createDataFrame(waiting, _COUNTERS).coalesce(1).write.mode("append").parquet(path)
+        except Exception:
+            self.batches = waiting + self.batches
+            raise
+        return spark.read.schema(_COUNTERS).parquet(path)

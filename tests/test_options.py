@@ -85,8 +85,22 @@ def test_surface(spark):
     assert far.atm_iv == pytest.approx(0.28)  # 105 lies in the 15 % band
     nothing = options.vol_surface(df.withColumn("iv", F.lit(0.0)), ["sym"], "seq").first()
     assert nothing.quality == "estimated"
-    with pytest.raises(ValueError):
-        options.vol_surface(df, ["sym", "timestamp"], "seq", history=df)
+    day = 86_400_000
+    past = spark.createDataFrame([("X", 0.1, 2 - day), ("X", 0.5, 1), ("X", 0.2, 1), ("X", 0.01, 2 - 3 * day), ("X", 0.01, 3)], "sym string, iv double, timestamp long")
+    points = options.vol_surface(df, ["sym", "timestamp"], "seq", history=past, lookback_days=2).collect()
+    # 0.25 at time 1 and 0.28 at time 2, among 0.1, 0.5 and 0.2 each time
+    assert {(r.timestamp, round(r.iv_rank, 6)) for r in points} == {(1, 66.666667), (2, 66.666667)}
+
+
+def test_surface_without_deltas(spark):
+    df = spark.createDataFrame(OPTS, OPT_SCHEMA)
+    for bare in (df.drop("delta"), df.withColumn("delta", F.lit(None).cast("double"))):
+        p = options.vol_surface(bare, ["sym"], "seq").first()
+        assert (p.skew_25d, p.butterfly_25d, p.quality) == (0.0, 0.0, "good")
+        flat = options.vol_surface(bare.withColumn("iv", F.lit(0.0)), ["sym"], "seq").first()
+        assert (flat.atm_iv, flat.quality) == (0.0, "estimated")
+        assert options.skew_25d(bare, ["sym"], "seq").first().skew_25d == 0.0
+        assert options.butterfly_25d(bare, ["sym"], "seq").first().butterfly_25d == 0.0
 
 
 def test_near_atm_widens(spark):

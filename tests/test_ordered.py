@@ -160,3 +160,56 @@ def test_synthetic_basis(spark):
     forward = 5 + 100 * np.exp(-0.05 * 30 / 365)
     assert out[0].basis == pytest.approx(105 - forward) and out[0].basis_pct == pytest.approx((105 - forward) / 105 * 100)
     assert out[1].annualized_basis == 0.0
+
+
+def test_sparse_order_keeps_the_last_window_small(spark):
+    """Hourly rows under epoch milliseconds and no keys: a block per row, two superblocks."""
+    from quoteloom.operators import blocks
+
+    hour, n = 3_600_000, 3000
+    df = spark.range(n).select((F.lit(1_700_000_000_000) + F.col("id") * hour).alias("t"), F.when(F.col("id") % 700 == 3, F.col("id").cast("double")).alias("v"))
+    summary = df.groupBy(blocks.block_of(F.col("t"), blocks.BLOCK_ROWS).alias("_block")).agg(F.count("*").alias("_n"))
+    assert summary.count() == n
+    assert summary.select(blocks.block_of(F.col("_block"), blocks.SUPER_BLOCKS)).distinct().count() <= 2
+    got = [r.v for r in gaps.forward_fill(df, ["v"], "t").orderBy("t").collect()]
+    assert got == [None if i < 3 else float((i - 3) // 700 * 700 + 3) for i in range(n)]
+    numbers = [r._rn for r in blocks.row_numbers(df, [], "t").orderBy("t").collect()]
+    assert numbers == list(range(n))
+
+
+def test_carried_over_small_superblocks(spark):
+    from quoteloom.operators import blocks
+
+    rows = [(k, b, float(b) if b % 3 == 0 else None, 1) for k in ("a", None) for b in range(-7, 12, 2)]
+    summary = spark.createDataFrame(rows, "k string, _block long, v double, n long")
+    got = blocks.carried(summary, ["k"], {"l": ("last", "v"), "x": ("next", "v"), "s": ("sum", "n")}, supers=4)
+    ids = list(range(-7, 12, 2))
+    for r in got.collect():
+        before = [float(b) for b in ids if b < r._block and b % 3 == 0]
+        after = [float(b) for b in ids if b > r._block and b % 3 == 0]
+        assert (r.l, r.x, r.s) == (before[-1] if before else None, after[0] if after else None, ids.index(r._block))
+    assert got.count() == len(rows)
+
+
+def test_null_keys_carry(spark):
+    rows = [(None, i, float(i) if i == 0 else None) for i in range(40)]
+    df = spark.createDataFrame(rows, "k string, i long, v double")
+    assert {r.v for r in gaps.forward_fill(df, ["v"], "i", ["k"], width=8).collect()} == {0.0}
+
+
+def test_nan_is_missing(spark):
+    nan = float("nan")
+    rows = [(i, nan if i == 150 else 1.0 + (i % 7) * 0.01) for i in range(300)]
+    df = spark.createDataFrame(rows, "i long, v double")
+    flagged = outliers.flag_outliers(df, ["v"], "i")
+    assert flagged.filter("is_outlier").count() == 0 and flagged.count() == 300
+    spiked = df.withColumn("v", F.when(F.col("i") == 200, 50.0).otherwise(F.col("v")))
+    assert [r.i for r in outliers.outliers_only(spiked, ["v"], "i").collect()] == [200]
+    filled = {r.i: r.v for r in gaps.forward_fill(df, ["v"], "i").collect()}
+    assert filled[150] == filled[149]
+    line = {r.i: r.v for r in gaps.interpolate_linear(df, ["v"], "i").collect()}
+    assert line[150] == pytest.approx((line[149] + line[151]) / 2)
+    from quoteloom.operators import quality
+
+    share = quality.null_ratio(df.withColumnRenamed("v", "price"), columns=["price"]).first()
+    assert (share.null_rows, share.total_rows) == (1, 300)

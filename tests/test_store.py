@@ -61,6 +61,77 @@ def test_hot_partition_is_split(spark, tmp_path):
     assert spark.read.parquet(path).count() == 400_000
 
 
+def test_upsert_empty_batches(spark, tmp_path):
+    path = str(tmp_path / "t")
+    store.upsert(ticks(spark, 0, 5).limit(0), path)
+    assert not store.table_exists(spark, path)
+    store.upsert(ticks(spark, 0, 5), path)
+    store.upsert(ticks(spark, 0, 5).limit(0), path)
+    assert store.read_table(spark, path).count() == 5
+
+
+def test_upsert_reads_only_touched_dates(spark, tmp_path):
+    """A broken file in a date that the batch doesn't touch is never opened."""
+    path = str(tmp_path / "t")
+    store.upsert(ticks(spark, 0, 3).union(ticks(spark, 0, 3, day=3)), path)
+    far = tmp_path / "t" / "exchange=binance" / "data_type=spot" / "symbol=BTCUSDT" / "date=2023-11-14"
+    (far / "broken.parquet").write_bytes(b"not parquet")
+    store.upsert(ticks(spark, 2, 6, day=3), path)
+    assert store.read_table(spark, path).filter("date > '2023-11-15'").count() == 6
+
+
+def test_failed_upsert_is_finished_by_the_next(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    store.upsert(ticks(spark, 0, 5), path)
+    real = store.overwrite_partitions
+
+    def fail(*args):
+        raise OSError("lost")
+
+    monkeypatch.setattr(store, "overwrite_partitions", fail)
+    with pytest.raises(OSError):
+        store.upsert(ticks(spark, 3, 8, 2.0), path)
+    monkeypatch.setattr(store, "overwrite_partitions", real)
+    assert store.read_table(spark, path).count() == 5
+    store.upsert(ticks(spark, 7, 9, 3.0), path)
+    got = {r.seq: r.price for r in store.read_table(spark, path).collect()}
+    assert got == {0: 1.0, 1: 1.0, 2: 1.0, 3: 2.0, 4: 2.0, 5: 2.0, 6: 2.0, 7: 3.0, 8: 3.0}
+    assert not os.listdir(tmp_path / "_staged-t")
+
+
+def test_upsert_undated_rows_and_new_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = ticks(spark, 0, 2).withColumn("date", F.lit(None).cast("string"))
+    store.upsert(rows, path)
+    store.upsert(ticks(spark, 1, 4).withColumn("date", F.lit(None).cast("string")).withColumn("note", F.lit("n")), path)
+    got = store.read_table(spark, path).orderBy("seq").collect()
+    assert [(r.seq, r.note) for r in got] == [(0, None), (1, "n"), (2, "n"), (3, "n")]
+
+
+def test_no_silent_limits(spark):
+    rows = spark.range(3000).select(F.lit("I").alias("instrument_name"), F.col("id").alias("timestamp"))
+    assert store.query_rows(rows).count() == 3000 and store.query_rows(rows, limit=7).count() == 7
+    listing = spark.range(200).select(
+        F.concat(F.lit("I"), "id").alias("instrument_name"), F.lit(False).alias("is_active"), F.col("id").alias("expiration_timestamp")
+    )
+    assert option_feed.select_instruments(listing, -1, 1000, include_expired=True).count() == 200
+
+
+def test_shared_dir_needs_a_name_on_a_cluster():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError):
+        shared_dir(Session())
+
+
 def test_reads_prune_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     store.upsert(ticks(spark, 0, 3).union(ticks(spark, 0, 3, day=1)).union(ticks(spark, 0, 3, day=2)), path)
@@ -71,6 +142,7 @@ def test_reads_prune_partitions(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(date" in plan
     assert {str(r.date) for r in store.load_latest_day(table.withColumn("date", F.col("date").cast("string")), ["symbol"], "2023-11-30").collect()} == {"2023-11-16"}
     assert store.load_latest_day(table.withColumn("date", F.col("date").cast("string")), ["symbol"], "2024-03-30").count() == 0
+    assert store.load_latest_day(table.withColumn("date", F.col("date").cast("string")), ["symbol"], "2024-03-30", None).count() == 3
 
 
 def test_prune(spark, tmp_path):

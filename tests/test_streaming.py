@@ -105,3 +105,44 @@ def test_registry(spark):
     assert {r.strategy_priority for r in registry.with_priority(reg, ["P2"]).collect()} == {"P2"}
     assert registry.cells(reg.filter("strategy = 'synthetic_covered_call' and data_type = 'funding_rate'")).count() == 9
     assert [r.strategy for r in registry.unknown(spark, reg, ["collar", "nope"]).collect()] == ["nope"]
+
+
+def test_latest_after_many_batches(spark, tmp_path):
+    """Batch 11 is newer than batch 9, though its name sorts before it."""
+    for b in (1, 2, 9, 10, 11):
+        spark.createDataFrame([("I", b * 1.0)], "instrument_name string, price double").write.parquet(f"{tmp_path}/out/batch={b}")
+    assert [r.price for r in live.read_latest(spark, f"{tmp_path}/out", ["instrument_name"]).collect()] == [11.0]
+
+
+def test_reader_bound_cuts_a_backlog_into_batches(spark, tmp_path):
+    schema = "instrument_name string, arrival long"
+    for k in range(4):
+        spark.createDataFrame([("I", k), ("J", k)], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = live.file_stream(spark, schema, f"{tmp_path}/in", max_bytes=1)
+    query = live.write_state(live.latest_quotes(stream), f"{tmp_path}/out", f"{tmp_path}/c", ["instrument_name"], availableNow=True)
+    run(query)
+    assert len([p for p in query.recentProgress if p["numInputRows"]]) == 4
+    assert {(r.instrument_name, r.arrival) for r in live.read_state(spark, f"{tmp_path}/out").collect()} == {("I", 3), ("J", 3)}
+
+
+def test_market_cycle_has_basis_and_surface_of_all_contracts(spark, tmp_path):
+    schema = "seq long, ccy string, instrument_name string, underlying_price double, mark_iv double, bid_price double, ask_price double"
+    now = 1_767_225_600_000  # 2026-01-01
+    first = [(1, "BTC", "BTC-26JUN26-100000-C", 100_000.0, 0.5, 0.1, 0.2)]
+    second = [(2, "BTC", "BTC-25SEP26-100000-C", 100_000.0, 0.6, 0.1, 0.2)]
+    spot = spark.createDataFrame([("BTCUSDT", 1, 100.0)], "symbol string, timestamp long, price double")
+    perp = spark.createDataFrame([("BTC", 1, 101.0)], "currency string, timestamp long, price double")
+    mapping = spark.createDataFrame([("BTCUSDT", "BTC")], "symbol string, currency string")
+    for i, rows in enumerate((first, second)):
+        live.market_batch(spark.createDataFrame(rows, schema), i, str(tmp_path), ["ccy"], "seq", now, spot, perp, mapping)
+    surface = {int(r.batch): r.term_structure for r in spark.read.parquet(f"{tmp_path}/vol_surface").collect()}
+    assert len(surface[0]) == 1 and len(surface[1]) == 2
+    assert spark.read.parquet(f"{tmp_path}/options_greeks").count() == 2
+    assert spark.read.parquet(f"{tmp_path}/basis").filter("basis = 1.0").count() == 2
+
+
+def test_counters_flush(spark, tmp_path):
+    listener = live.CollectorMetrics()
+    for k in range(3):
+        listener.batches.append((k, 10, k, 0.5))
+        assert listener.flush(spark, f"{tmp_path}/m").count() == k + 1 and listener.batches == []
