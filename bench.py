@@ -25,6 +25,7 @@ HEADLINE = (
     "basis_spot_perp", "basis_cross_exchange", "yield_curve", "rate_for_tenor",
     "norm_klines", "norm_trades", "norm_books", "quote_enrich",
     "upsert_keep_last", "dedupe_trades", "latest_per_key",
+    "upsert_table", "candle_update", "stream_table", "stream_l1_state",
     "null_ratio", "value_rules", "verification_report", "strategy_run", "ohlc_integrity",
 )
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from quoteloom.operators import metrics, quality
 from quoteloom.plans import registry, verification
+from quoteloom.session import shared_dir
+from quoteloom.sinks import store
 
 from .base import NOW_MS, oracle_with, query, r, rounded, table, view
 from .ordered import _STATS
@@ -268,6 +272,33 @@ def strategy_rows(spark, d):
     return registry.run_rows(planned, _landed(spark, d)).select("seq", "timestamp", *CELL)
 
 
+@query(
+    "strategy_store",
+    f"""{oracle_with('landed')}, {_REQ}, picked AS (SELECT seq, timestamp, exchange, data_type, symbol FROM landed WHERE timestamp >= {_END} - {_DAYS} * 86400000 AND timestamp < {_END}
+  AND (exchange, data_type, symbol) IN (SELECT exchange, data_type, symbol FROM cells WHERE strategy = 'funding_arb'))
+SELECT *, strftime(make_timestamp(timestamp * 1000), '%Y-%m-%d') AS date FROM picked QUALIFY row_number() OVER (PARTITION BY exchange, data_type, symbol, timestamp ORDER BY seq DESC) = 1""",
+)
+def strategy_store(spark, d):
+    """A strategy's run into a table of its own, twice: the second run changes nothing."""
+    path = f"{shared_dir(spark)}/strategy-{uuid.uuid4().hex}"
+    planned = registry.plan(registry.registry(spark).filter("strategy = 'funding_arb'"), _END, _DAYS)
+    landed = _landed(spark, d).select("seq", "timestamp", *CELL)
+    for _ in range(2):
+        registry.run_into_store(planned, landed, path, _END, _DAYS, ["seq"])
+    return store.read_table(spark, path)
+
+
+@query(
+    "unknown_strategies",
+    f"""{oracle_with('landed')} SELECT DISTINCT data_type AS strategy FROM landed WHERE data_type NOT IN ('short_strangle', 'synthetic_covered_call', 'collar', 'funding_arb', 'gamma_scalping', 'vol_term_structure')""",
+)
+def unknown_strategies(spark, d):
+    """Names found in the data that no strategy has; the known ones among them go."""
+    names = _landed(spark, d).select(F.col("data_type").alias("strategy")).distinct()
+    reg = registry.registry(spark)
+    return registry.unknown(spark, reg, names.unionByName(reg.select("strategy").distinct()))
+
+
 @query(
     "strategy_completeness",
     f"""{oracle_with('landed')}, {_REQ}, m AS (SELECT cells.*, rows FROM cells LEFT JOIN counts USING (exchange, data_type, symbol))

@@ -69,9 +69,9 @@ def plan(reg: DataFrame, now_ms: int, days: int = 1) -> DataFrame:
     )
 
 
-def unknown(spark: SparkSession, reg: DataFrame, names: list[str]) -> DataFrame:
-    """Requested strategies that are not registered."""
-    asked = spark.createDataFrame([(n,) for n in names], "strategy string")
+def unknown(spark: SparkSession, reg: DataFrame, names: list[str] | DataFrame) -> DataFrame:
+    """Requested strategies (a list, or a table with ``strategy``) that are not registered."""
+    asked = names if isinstance(names, DataFrame) else spark.createDataFrame([(n,) for n in names], "strategy string")
     return asked.join(reg.select("strategy").distinct(), "strategy", "left_anti")
 
 
