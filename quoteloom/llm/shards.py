@@ -9,6 +9,7 @@ which sequence stands at any slot.
 
 from __future__ import annotations
 
+import itertools
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -18,12 +19,13 @@ import pyarrow as pa
 import zstandard
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from .common import arrow_schema
+from .common import arrow_schema, slices
 
 ROUNDS = 6
-PLACED = "slot long, shard long, offset long, ids binary"
+BLOCK = "shard long, block binary"
+BLOCK_BYTES = 16 << 20
+MAX_TASKS = 20_000
 MANIFEST = "shard long, first_slot long, sequences long, bytes long, crc32 long, file string"
 RECORD = "sequence_id long, slot long, shard long, byte_offset long, n_bytes long, crc32 long"
 
@@ -75,71 +77,80 @@ def write_shards(
 
     Shard s holds slots s*per_shard up to the next shard's, one record of ``window`` ids of
     ``width`` bytes each (little-endian, padded with ``pad_id``), so slot and byte offset are
-    linear.  Pieces are shuffled once by shard, compressed, every shard has the same size whatever the
-    documents are, and a task holds one record at a time.  A file appears under its name only
-    when it is whole and has the same bytes whenever it is made, so a task that runs twice, or
-    a second call over the same folder after a failure, leaves finished shards as they are.
-    ``directory`` must be on a file system that all executors reach (a URI that pyarrow's
-    file systems know).  Without sequences nothing but an empty manifest is written.
+    linear.  Pieces are shuffled once, in compressed blocks by shard; every shard has the same
+    size whatever the documents are, and a task holds one shard at a time.  A file appears
+    under its name only when it is whole and has the same bytes whenever it is made, so a task
+    that runs twice, or a second call over the same folder after a failure, leaves finished
+    shards as they are.  ``directory`` must be on a file system that all executors reach (a
+    URI that pyarrow's file systems know).  Without sequences nothing but an empty manifest
+    is written.
     """
-    stride, dtype = window * width, np.dtype(f"<u{width}")
+    dtype = np.dtype(f"<u{width}")
+    head = np.dtype([("row", "<i4"), ("offset", "<i4"), ("length", "<i4")])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shrink = zstandard.ZstdCompressor()
-        for batch in batches:
+        shrink, held, size = zstandard.ZstdCompressor(), [], 0
+
+        def blocks():
+            held.sort(key=lambda x: x[0])
+            rows = []
+            for shard, group in itertools.groupby(held, key=lambda x: x[0]):
+                group = list(group)
+                heads = np.array([x[1:4] for x in group], head)
+                raw = len(group).to_bytes(4, "little") + heads.tobytes() + b"".join(x[4] for x in group)
+                rows.append((shard, shrink.compress(raw)))
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow_schema(BLOCK))], schema=arrow_schema(BLOCK))
+
+        for batch in slices(batches, 256):
             at = slots(batch.column("sequence_id").to_numpy(), n, key)
-            ids = [shrink.compress(np.frombuffer(b, "<u4").astype(dtype)) for b in batch.column("ids").to_pylist()]
-            columns = [pa.array(at), pa.array(at // per_shard), batch.column("offset"), pa.array(ids, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, schema=arrow_schema(PLACED))
-
-    def records(batches):
-        """(slot, whole record) in the order of the slots."""
-        slot, record, unpack = None, None, zstandard.ZstdDecompressor()
-        for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("slot", "offset", "ids"))
-            for at, offset, ids in zip(*columns):
-                if at != slot:
-                    if slot is not None:
-                        yield slot, record
-                    slot, record = at, np.full(window, pad_id, dtype)
-                ids = np.frombuffer(unpack.decompress(ids), dtype)
-                record[offset : offset + len(ids)] = ids
-        if slot is not None:
-            yield slot, record
+            for slot, offset, raw in zip(at.tolist(), batch.column("offset").to_pylist(), batch.column("ids").to_pylist()):
+                ids = np.frombuffer(raw, "<u4").astype(dtype)
+                held.append((slot // per_shard, slot % per_shard, offset, len(ids), ids.tobytes()))
+                size += ids.nbytes
+            if size >= BLOCK_BYTES:
+                yield blocks()
+                size = 0
+        if held:
+            yield blocks()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = fs.FileSystem.from_uri(directory)
-        out, shard, name = None, None, None
+        unpack, shard, records = zstandard.ZstdDecompressor(), None, None
 
         def close():
-            out.close()
-            part = f"{base}/{name}.{token}"
-            final = f"{base}/{name}"
-            if store.get_file_info(final).size == size:
-                store.delete_file(part)
-            else:
-                store.move(part, final)
-            row = [[shard], [shard * per_shard], [size // stride], [size], [crc], [name]]
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(row, arrow_schema(MANIFEST))], schema=arrow_schema(MANIFEST))
-
-        for slot, record in records(batches):
-            if slot // per_shard != shard:
-                if out is not None:
-                    yield close()
-                shard, size, crc, token = slot // per_shard, 0, 0, uuid.uuid4().hex
-                name = f"shard-{shard:09d}.bin"
-                out = store.open_output_stream(f"{base}/{name}.{token}")
-            raw = record.tobytes()
-            out.write(raw)
-            size, crc = size + stride, zlib.crc32(raw, crc)
-        if out is not None:
+            raw = records.tobytes()
+            name = f"shard-{shard:09d}.bin"
+            if store.get_file_info(f"{base}/{name}").size != len(raw):
+                part = f"{base}/{name}.{uuid.uuid4().hex}"
+                with store.open_output_stream(part) as out:
+                    out.write(raw)
+                store.move(part, f"{base}/{name}")
+            row = (shard, shard * per_shard, len(records), len(raw), zlib.crc32(raw), name)
+            return pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(row, arrow_schema(MANIFEST))], schema=arrow_schema(MANIFEST))
+
+        for batch in batches:
+            for own, block in zip(batch.column("shard").to_pylist(), batch.column("block").to_pylist()):
+                if own != shard:
+                    if records is not None:
+                        yield close()
+                    shard = own
+                    records = np.full((min(per_shard, n - shard * per_shard), window), pad_id, dtype)
+                raw = unpack.decompress(block)
+                count = int.from_bytes(raw[:4], "little")
+                heads = np.frombuffer(raw, head, count, 4)
+                at = 4 + heads.nbytes
+                for row, offset, length in heads.tolist():
+                    records[row, offset : offset + length] = np.frombuffer(raw, dtype, length, at)
+                    at += length * width
+        if records is not None:
             yield close()
 
     spark = pieces.sparkSession
     store, base = fs.FileSystem.from_uri(directory)
     store.create_dir(base, recursive=True)
-    placed = pieces.select("sequence_id", "offset", "ids").mapInArrow(place, PLACED)
-    ordered = placed.repartition("shard").sortWithinPartitions("shard", "slot", "offset")
+    placed = pieces.select("sequence_id", "offset", "ids").mapInArrow(place, BLOCK)
+    ordered = placed.repartition("shard").sortWithinPartitions("shard")
     ordered.mapInArrow(write, MANIFEST).write.mode("overwrite").parquet(f"{directory}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{directory}/manifest")
 
@@ -150,21 +161,23 @@ def read_records(
 ) -> DataFrame:
     """What the shard files hold from a slot on: one row per record with its checksum and the
     sequence that the inverse permutation gives.  A reader that stopped goes on with
-    ``from_slot``; shards before it aren't opened."""
-    stride = window * width
+    ``from_slot``; shards before it aren't opened, and files are read in stretches of a few
+    hundred records."""
+    stride, shards = window * width, -(-n // per_shard)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for file, raw in zip(batch.column("file").to_pylist(), batch.column("content")):
-                raw = raw.as_buffer()
-                shard, count = int(file.rpartition("-")[2].partition(".")[0]), raw.size // stride
-                at = shard * per_shard + np.arange(count)
-                sums = [zlib.crc32(raw.slice(k * stride, stride)) for k in range(count)]
-                columns = [sequences_at(at, n, key), at, np.full(count, shard), np.arange(count) * stride, np.full(count, stride), sums]
-                rows = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=arrow_schema(RECORD))
-                yield rows.filter(pa.array(at >= from_slot))
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "shard-*.bin").load(directory)
-    files = files.select(F.substring_index("path", "/", -1).alias("file"), "content")
-    first = F.regexp_extract("file", "shard-([0-9]+)", 1).cast("long")
-    return files.where(first >= from_slot // per_shard).mapInArrow(run, RECORD)
+        store, base = fs.FileSystem.from_uri(directory)
+        for shard in (s for batch in batches for s in batch.column("id").to_pylist()):
+            first = shard * per_shard
+            skip = max(0, from_slot - first)
+            with store.open_input_file(f"{base}/shard-{shard:09d}.bin") as file:
+                file.seek(skip * stride)
+                while raw := file.read(256 * stride):
+                    at = first + skip + np.arange(len(raw) // stride)
+                    skip += len(at)
+                    sums = [zlib.crc32(raw[k * stride : (k + 1) * stride]) for k in range(len(at))]
+                    columns = [sequences_at(at, n, key), at, np.full(len(at), shard), (at - first) * stride, np.full(len(at), stride), sums]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=arrow_schema(RECORD))
+
+    start = min(from_slot // per_shard, shards)
+    return spark.range(start, shards, 1, max(1, min(shards - start, MAX_TASKS))).mapInArrow(run, RECORD)
