@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -12,6 +13,17 @@ from pyspark.sql import functions as F
 from ..session import shared_dir
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers of this machine import the package from where it lies.
+
+    Executors on other machines get it with ``--py-files`` or from their image.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
 def shared_path(spark: SparkSession, label: str) -> str:
     """A new path in the folder that ``spark.checkpoint.dir`` names."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import attribution, chat, decontaminate, licenses, neighbours, packing, quality, sharding, shards, simhash, tokens
-from .common import shared_path
+from .common import importable, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -16,7 +17,12 @@ ORACLE: dict[str, str] = {}
 
 def query(name: str, oracle: str | None = None):
     def add(fn):
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark, sf_dir):
+            importable(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if oracle:
             ORACLE[name] = oracle
         return fn
