@@ -28,27 +28,67 @@ RADIUS = 2
 LEAF_ROWS = 4096
 MAX_SAMPLE = 1 << 17
 BLOCK = 1 << 15
+SKETCH = 128
+# Near copies by similarity: shingles of five words, and how far apart the fingerprints of
+# sets with that similarity may lie: of 2,300 such pairs none lay further than 14, but sets of
+# a few dozen shingles scatter more.
+SIMILAR_WORDS = 5
+SIMILARITY = 0.8
+SIMILAR_RADIUS = 16
+SIMILAR_LEAF_ROWS = 1 << 16
+SIMILAR_CHUNK_ROWS = 1 << 15
 
 
-def fingerprint(text: str | None, words: int = WORDS) -> int:
-    """Majority of the bits of the hashes of all shingles, as a signed 64-bit integer.
+def shingle_digests(text: str | None, words: int) -> Iterator[bytes]:
+    """Big-endian XXH64 digests of all shingles, end to end, in blocks.
 
     Only A-Z is lower-cased and only ASCII white space separates words (what ``bytes`` do).
-    Fewer words than a shingle are one shingle; no word at all gives 0.
+    Fewer words than a shingle are one shingle; no word at all gives none.
     """
     parts = (text or "").encode().lower().split()
     if not parts:
-        return 0
+        return
     joined, k = b" ".join(parts), min(words, len(parts))
     ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
     starts = np.concatenate([np.zeros(1, np.int64), ends[:-1] + 1])
     spans = list(zip(starts[: len(parts) - k + 1].tolist(), ends[k - 1 :].tolist()))
-    ones = np.zeros(64, np.int64)
     for at in range(0, len(spans), BLOCK):
-        digests = b"".join([xxhash.xxh64_digest(joined[a:b], SEED) for a, b in spans[at : at + BLOCK]])
+        yield b"".join([xxhash.xxh64_digest(joined[a:b], SEED) for a, b in spans[at : at + BLOCK]])
+
+
+def _majority(blocks: list[bytes]) -> int:
+    ones, total = np.zeros(64, np.int64), 0
+    for digests in blocks:
         bits = np.unpackbits(np.frombuffer(digests, np.uint8).reshape(-1, 8), axis=1)
         ones += bits.sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > len(spans)).tobytes(), "big", signed=True)
+        total += len(bits)
+    return int.from_bytes(np.packbits(2 * ones > total).tobytes(), "big", signed=True)
+
+
+def fingerprint(text: str | None, words: int = WORDS) -> int:
+    """Majority of the bits of the hashes of all shingles, as a signed 64-bit integer; 0 for
+    a text without words."""
+    return _majority(list(shingle_digests(text, words)))
+
+
+def portrait(text: str | None, words: int) -> tuple[int, int, int, bytes]:
+    """(class, fingerprint, distinct shingles, sketch): texts with the same set of shingles
+    are one class; the sketch holds the smallest hash in each of ``SKETCH`` equal ranges (32
+    bits of it; 0 where a range has none)."""
+    blocks = list(shingle_digests(text, words))
+    hashes = np.unique(np.frombuffer(b"".join(blocks), ">u8").astype(np.uint64))
+    name = int.from_bytes(xxhash.xxh64_digest(hashes.tobytes(), SEED), "big", signed=True)
+    ranges, first = np.unique(hashes // np.uint64((1 << 64) // SKETCH), return_index=True)
+    sketch = np.zeros(SKETCH, "<u4")
+    sketch[ranges.astype(np.int64)] = (hashes[first] & np.uint64(0xFFFFFFFF)) | np.uint64(1)
+    return name, _majority(blocks), len(hashes), sketch.tobytes()
+
+
+def resemblance(sketch: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Estimated Jaccard similarity of a shingle set with others, from their sketches: of the
+    ranges that either set fills, the share in which both have the same smallest hash."""
+    filled = ((sketch != 0) | (others != 0)).sum(axis=1)
+    return ((sketch == others) & (others != 0)).sum(axis=1) / np.maximum(1, filled)
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -121,9 +161,10 @@ def grow(sample: np.ndarray, leaf_size: int, radius: int, candidates: int = 8) -
     return Tree(np.array(point, np.uint64), *ints, leaves)
 
 
-def route(tree: Tree, fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, leaf, is_home) of every leaf that each fingerprint belongs to or has to visit."""
-    rows, nodes, home = np.arange(len(fps)), np.zeros(len(fps), np.int64), np.ones(len(fps), bool)
+def route(tree: Tree, fps: np.ndarray, radius: int, visit_all: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, leaf, is_home) of every leaf that each fingerprint belongs to or has to visit;
+    with ``visit_all`` it is at home nowhere and visits all leaves in its reach."""
+    rows, nodes, home = np.arange(len(fps)), np.zeros(len(fps), np.int64), np.full(len(fps), not visit_all)
     if not len(tree.point):
         return rows, nodes, home
     done = []
@@ -172,6 +213,14 @@ def _links(table: pa.Table, probes: Iterator[pa.RecordBatch], radius: int) -> It
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
 
 
+def _planted(distinct: DataFrame, leaf_rows: int, max_sample: int, radius: int) -> Tree:
+    n = distinct.count()
+    share = max(16, -(-n // max_sample))
+    picked = distinct.where(F.pmod(F.xxhash64("fp"), F.lit(share)) == 0).select("fp").limit(2 * max_sample)
+    sample = np.sort(np.array([r[0] for r in picked.collect()], np.int64).view(np.uint64))
+    return grow(sample, max(1, leaf_rows // share), radius)
+
+
 def links(distinct: DataFrame, radius: int = RADIUS, leaf_rows: int = LEAF_ROWS, max_sample: int = MAX_SAMPLE) -> DataFrame:
     """(u, v): links that connect exactly what fingerprints within ``radius`` connect.
 
@@ -179,11 +228,7 @@ def links(distinct: DataFrame, radius: int = RADIUS, leaf_rows: int = LEAF_ROWS,
     sixteenth of them, chosen by hash, of about ``max_sample`` at most; leaves whose rows
     outnumber the plan are cut into chunks, so the sample only decides how fast it is.
     """
-    n = distinct.count()
-    share = max(16, -(-n // max_sample))
-    picked = distinct.where(F.pmod(F.xxhash64("fp"), F.lit(share)) == 0).select("fp").limit(2 * max_sample)
-    sample = np.sort(np.array([r[0] for r in picked.collect()], np.int64).view(np.uint64))
-    tree = grow(sample, max(1, leaf_rows // share), radius)
+    tree = _planted(distinct, leaf_rows, max_sample, radius)
     kinds = arrow_schema("cell long, fp long, home boolean")
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,9 +260,85 @@ def near_duplicates(
     return marked.join(rooted.select("fp", "root").join(named, "root").drop("root"), "fp").select("doc_id", "fp", "component_id")
 
 
+def _similar_links(table: pa.Table, probes: Iterator[pa.RecordBatch], radius: int, similarity: float) -> Iterator[pa.RecordBatch]:
+    """Links of one chunk between classes whose fingerprints are near and whose sketches
+    agree: each probe with one member of every group that it joins."""
+
+    def sketches_of(rows) -> np.ndarray:
+        return np.frombuffer(b"".join(rows.column("sketch").to_pylist()), "<u4").reshape(-1, SKETCH)
+
+    fps, names, sketches = table.column("fp").to_numpy().view(np.uint64), table.column("id").to_numpy(), sketches_of(table)
+    group = np.arange(len(fps))
+    for batch in probes:
+        asked, own = batch.column("fp").to_numpy().view(np.uint64), batch.column("id").to_numpy()
+        mine, out = sketches_of(batch), []
+        for at in range(0, len(asked), 128):
+            near = distance(asked[at : at + 128, None], fps[None, :]) <= radius
+            near &= own[at : at + 128, None] != names[None, :]
+            for p in np.flatnonzero(near.any(axis=1)):
+                hits = np.flatnonzero(near[p])
+                hits = hits[resemblance(mine[at + p], sketches[hits]) >= similarity]
+                groups, first = np.unique(group[hits], return_index=True)
+                out += [(own[at + p], names[h]) for h in hits[first]]
+                if len(groups) > 1:
+                    group[np.isin(group, groups)] = groups[0]
+        if out:
+            pairs = np.array(out, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
+
+
+def similar_documents(
+    docs: DataFrame, similarity: float = SIMILARITY, words: int = SIMILAR_WORDS, radius: int = SIMILAR_RADIUS,
+    id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """doc_id and component_id of every row, linked where shingle sets resemble each other.
+
+    Two texts link if their fingerprints differ in at most ``radius`` bits and their sketches
+    give a Jaccard similarity of ``similarity`` or more.  Sets of such similarity differ in
+    size by that factor at most, so classes are dealt to bands of size (own and next) and in
+    a band to the leaves of the vantage-point tree.  At this radius the triangle bounds rule
+    out few branches; the bands carry the pruning.  Empty texts are one class; null ids and
+    repeated rows as in ``near_duplicates``.
+    """
+    look, deal_kinds = arrow_schema("doc_id long, id long, fp long, n long, sketch binary"), arrow_schema("cell long, id long, fp long, sketch binary, home boolean")
+    step = float(-np.log(similarity))
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 256):
+            found = [portrait(t, words) for t in batch.column("text").to_pylist()]
+            columns = [batch.column("doc_id"), *zip(*found)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, look)], schema=look)
+
+    texts = keyed_texts(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
+    marked = staged(texts.mapInArrow(describe, "doc_id long, id long, fp long, n long, sketch binary"), "portraits")
+    # Texts of a class differ in repeated shingles at most, so any of their rows will do.
+    classes = marked.groupBy("id").agg(F.min("doc_id").alias("least"), F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("sketch").alias("sketch"))
+    classes = staged(classes, "classes")
+    tree = _planted(classes.select("fp"), SIMILAR_LEAF_ROWS, MAX_SAMPLE, radius)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 2048):
+            fps = batch.column("fp").to_numpy().view(np.uint64)
+            band = np.floor(np.log(np.maximum(1, batch.column("n").to_numpy())) / step).astype(np.int64)
+            rows, leaf, home = route(tree, fps, radius)
+            up, up_leaf, _ = route(tree, fps, radius, visit_all=True)
+            cell = np.concatenate([band[rows] * tree.leaves + leaf, (band[up] + 1) * tree.leaves + up_leaf])
+            taken = pa.array(np.concatenate([rows, up]))
+            columns = [pa.array(cell), *(batch.column(c).take(taken) for c in ("id", "fp", "sketch")), pa.array(np.concatenate([home, np.zeros(len(up), bool)]))]
+            yield pa.RecordBatch.from_arrays(columns, schema=deal_kinds)
+
+    dealt = classes.select("id", "fp", "n", "sketch").mapInArrow(deal, "cell long, id long, fp long, sketch binary, home boolean")
+    found = scan(dealt.where("home").drop("home"), dealt.drop("home"), SIMILAR_CHUNK_ROWS, "id", lambda t, p: _similar_links(t, p, radius, similarity), "u long, v long")
+    roots = connected(found).withColumnRenamed("u", "id")
+    rooted = classes.select("id", "least").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return marked.select("doc_id", "id").join(rooted.select("id", "root").join(named, "root").drop("root"), "id").select("doc_id", "component_id")
+
+
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` (all their columns) without those whose component has a smaller
-    id.  Rows that share an id stay or go together; rows without one stay."""
-    found = near_duplicates(docs, id_col=id_col, **options)
+    """The rows of ``docs`` (all their columns) without those whose component of similar
+    documents has a smaller id.  Rows that share an id stay or go together; rows without one
+    stay."""
+    found = similar_documents(docs, id_col=id_col, **options)
     copies = staged(found.where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct(), "copies")
     return docs.join(copies, id_col, "left_anti")

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow.dataset as ds
 import pytest
 
-from quoteloom.llm import quality
+from quoteloom.llm import quality, simhash
 from quoteloom.llm.queries import ORACLE, QUERIES
 from tests.compare import compare, connect
 
@@ -62,7 +62,7 @@ def test_pipeline_keeps_columns_and_clean_rows(spark):
     assert kept.columns == docs.columns and ids < before
     assert len(good & ids) >= 0.99 * len(good)
     single = corpus_pipeline.near_duplicates(spark, docs, sf_dir)
-    component = QUERIES["op6_simhash_vantage_points"](spark, sf_dir).toPandas()
+    component = simhash.similar_documents(docs).toPandas()
     assert {r[0] for r in single.select("doc_id").collect()} == set(component.component_id)
     clean = corpus_pipeline.decontamination(spark, docs, sf_dir)
     leaked = {r[0] for r in QUERIES["op2_spaced_seeds"](spark, sf_dir).select("doc_id").collect()}

@@ -294,3 +294,34 @@ def test_render_round_trip(spark):
         assert r.n_turns == len(want[r.conv_id])
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow", plan)
+
+
+def shingles(text, k=5):
+    words = text.lower().split()
+    return {" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))}
+
+
+def test_similar_documents(spark, texts):
+    """Chains of edited copies in which every link is well above or below the threshold."""
+    rng = random.Random(12)
+    rows, truth = [], {}
+    for g in range(12):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([150, 250, 400]))]
+        for k in range(6):
+            rows.append((100 * g + k, " ".join(words)))
+            truth[100 * g + k] = 100 * g
+            words[rng.randrange(len(words))] = f"x{rng.randrange(5000)}"  # one word: over 0.93
+        far = [w if i % 4 else f"y{rng.randrange(5000)}" for i, w in enumerate(words)]
+        rows.append((100 * g + 50, " ".join(far)))  # every fourth word: no shingle is left
+        truth[100 * g + 50] = 100 * g + 50
+    rows += [(5000, None), (5001, " "), (5002, "a b"), (5003, "A  b"), (None, "a b")]
+    truth |= {5000: 5000, 5001: 5000, 5002: 5002, 5003: 5002, None: 5002}
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(texts(rows).repartition(3)).collect()}
+    assert got == truth
+    kept = sorted(r.doc_id for r in simhash.deduplicated(texts(rows)).collect() if r.doc_id is not None)
+    assert kept == sorted(set(truth.values()))
+    assert simhash.similar_documents(empty(spark)).count() == 0
+    for a, b in ((rows[0][1], rows[3][1]), (rows[0][1], rows[6][1]), (rows[7][1], rows[9][1])):
+        exact = len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b))
+        x, y = (np.frombuffer(simhash.portrait(text, 5)[3], "<u4") for text in (a, b))
+        assert abs(simhash.resemblance(x, y[None, :])[0] - exact) < 0.15
