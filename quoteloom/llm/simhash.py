@@ -9,6 +9,7 @@ exactly, and hand on no more links than keep their groups connected.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,8 +36,11 @@ SKETCH = 128
 SIMILAR_WORDS = 5
 SIMILARITY = 0.8
 SIMILAR_RADIUS = 16
-SIMILAR_LEAF_ROWS = 1 << 16
-SIMILAR_CHUNK_ROWS = 1 << 15
+# How far below the similarity a sketch still makes a candidate: five standard errors.
+MARGIN = 0.18
+# Bands within that factor of size, and classes in a chunk, for sketches and for whole sets.
+SKETCH_BANDS, SKETCH_CHUNK_ROWS = 4, 1 << 13
+SET_BANDS, SET_CHUNK_ROWS = 2, 1 << 10
 
 
 def shingle_digests(text: str | None, words: int) -> Iterator[bytes]:
@@ -71,12 +75,17 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     return _majority(list(shingle_digests(text, words)))
 
 
+def shingle_set(blocks: list[bytes]) -> np.ndarray:
+    """The distinct hashes among digests, sorted."""
+    return np.unique(np.frombuffer(b"".join(blocks), ">u8").astype(np.uint64))
+
+
 def portrait(text: str | None, words: int) -> tuple[int, int, int, bytes]:
     """(class, fingerprint, distinct shingles, sketch): texts with the same set of shingles
     are one class; the sketch holds the smallest hash in each of ``SKETCH`` equal ranges (32
     bits of it; 0 where a range has none)."""
     blocks = list(shingle_digests(text, words))
-    hashes = np.unique(np.frombuffer(b"".join(blocks), ">u8").astype(np.uint64))
+    hashes = shingle_set(blocks)
     name = int.from_bytes(xxhash.xxh64_digest(hashes.tobytes(), SEED), "big", signed=True)
     ranges, first = np.unique(hashes // np.uint64((1 << 64) // SKETCH), return_index=True)
     sketch = np.zeros(SKETCH, "<u4")
@@ -260,75 +269,115 @@ def near_duplicates(
     return marked.join(rooted.select("fp", "root").join(named, "root").drop("root"), "fp").select("doc_id", "fp", "component_id")
 
 
-def _similar_links(table: pa.Table, probes: Iterator[pa.RecordBatch], radius: int, similarity: float) -> Iterator[pa.RecordBatch]:
-    """Links of one chunk between classes whose fingerprints are near and whose sketches
-    agree: each probe with one member of every group that it joins."""
+def _packed(rows, column: str, kind: str) -> list[np.ndarray]:
+    return [np.frombuffer(x, kind) for x in rows.column(column).to_pylist()]
 
-    def sketches_of(rows) -> np.ndarray:
-        return np.frombuffer(b"".join(rows.column("sketch").to_pylist()), "<u4").reshape(-1, SKETCH)
 
-    fps, names, sketches = table.column("fp").to_numpy().view(np.uint64), table.column("id").to_numpy(), sketches_of(table)
-    group = np.arange(len(fps))
+def _candidates(table: pa.Table, batch: pa.RecordBatch, radius: int, floor: float) -> Iterator[tuple[np.ndarray, ...]]:
+    """(probe, member, resemblance) of the pairs of a batch and a chunk whose fingerprints are
+    near and whose sketches resemble each other by ``floor`` or more, probe by probe."""
+    fps, names, sketches = table.column("fp").to_numpy().view(np.uint64), table.column("id").to_numpy(), np.stack(_packed(table, "sketch", "u1"))
+    asked, own, mine = batch.column("fp").to_numpy().view(np.uint64), batch.column("id").to_numpy(), np.stack(_packed(batch, "sketch", "u1"))
+    for at in range(0, len(asked), 128):
+        near = np.bitwise_count(asked[at : at + 128, None] ^ fps[None, :]) <= radius
+        p, h = np.nonzero(near & (own[at : at + 128, None] != names[None, :]))
+        likely = np.concatenate([resemblance(mine[at + p[k : k + BLOCK]], sketches[h[k : k + BLOCK]]) for k in range(0, max(1, len(p)), BLOCK)])
+        good = likely >= floor
+        if good.any():
+            yield at + p[good], h[good], likely[good]
+
+
+def _paired(table: pa.Table, probes: Iterator[pa.RecordBatch], radius: int, floor: float) -> Iterator[pa.RecordBatch]:
+    """The classes of one chunk and of its probes that are in any candidate pair, one by one."""
+    names, seen = table.column("id").to_numpy(), np.zeros(table.num_rows, bool)
+    for batch in probes:
+        own, paired = batch.column("id").to_numpy(), np.zeros(batch.num_rows, bool)
+        for p, h, _ in _candidates(table, batch, radius, floor):
+            paired[p], seen[h] = True, True
+        yield pa.RecordBatch.from_arrays([pa.array(own[paired])], names=["id"])
+    yield pa.RecordBatch.from_arrays([pa.array(names[seen])], names=["id"])
+
+
+def jaccard(one: np.ndarray, other: np.ndarray) -> float:
+    """Similarity of two sorted arrays without repeats, of which one isn't empty."""
+    both = len(np.intersect1d(one, other, assume_unique=True))
+    return both / (len(one) + len(other) - both)
+
+
+def _similar_links(table: pa.Table, probes: Iterator[pa.RecordBatch], radius: int, floor: float, similarity: float) -> Iterator[pa.RecordBatch]:
+    """Links of one chunk: of the candidate pairs those whose sets have the similarity, each
+    probe with one member of every group that it joins.  Likely members come first, and the
+    others of a group that a probe has joined need no look."""
+    names, sets = table.column("id").to_numpy(), _packed(table, "hashes", "<u8")
+    group = np.arange(len(names))
     for batch in probes:
-        asked, own = batch.column("fp").to_numpy().view(np.uint64), batch.column("id").to_numpy()
-        mine, out = sketches_of(batch), []
-        for at in range(0, len(asked), 128):
-            near = distance(asked[at : at + 128, None], fps[None, :]) <= radius
-            near &= own[at : at + 128, None] != names[None, :]
-            for p in np.flatnonzero(near.any(axis=1)):
-                hits = np.flatnonzero(near[p])
-                hits = hits[resemblance(mine[at + p], sketches[hits]) >= similarity]
-                groups, first = np.unique(group[hits], return_index=True)
-                out += [(own[at + p], names[h]) for h in hits[first]]
-                if len(groups) > 1:
-                    group[np.isin(group, groups)] = groups[0]
+        own, mine, out = batch.column("id").to_numpy(), _packed(batch, "hashes", "<u8"), []
+        for ps, hs, likely in _candidates(table, batch, radius, floor):
+            for p in np.unique(ps):
+                a, b = np.searchsorted(ps, p), np.searchsorted(ps, p, "right")
+                joined = []
+                for h in hs[a:b][np.argsort(-likely[a:b], kind="stable")]:
+                    if group[h] not in joined and jaccard(mine[p], sets[h]) >= similarity:
+                        out.append((own[p], names[h]))
+                        joined.append(group[h])
+                if len(joined) > 1:
+                    group[np.isin(group, joined)] = joined[0]
         if out:
             pairs = np.array(out, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
 
 
+def _banded(rows: DataFrame, similarity: float, split: int) -> DataFrame:
+    """Rows with ``n`` dealt to bands of size: at home in their own, and visiting it and the
+    ``split`` next ones, which hold all larger sets that can have the similarity."""
+    band = F.floor(F.log(F.greatest(F.lit(1), F.col("n"))) / (-math.log(similarity) / split) + 1e-9)
+    to = F.concat(F.array(F.lit(-1)), F.sequence(F.lit(0), F.lit(split)))
+    dealt = rows.withColumn("band", band).withColumn("up", F.explode(to))
+    return dealt.withColumns({"cell": F.col("band") + F.greatest("up", F.lit(0)), "home": F.col("up") < 0}).drop("band", "up", "n")
+
+
 def similar_documents(
     docs: DataFrame, similarity: float = SIMILARITY, words: int = SIMILAR_WORDS, radius: int = SIMILAR_RADIUS,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """doc_id and component_id of every row, linked where shingle sets resemble each other.
 
-    Two texts link if their fingerprints differ in at most ``radius`` bits and their sketches
-    give a Jaccard similarity of ``similarity`` or more.  Sets of such similarity differ in
-    size by that factor at most, so classes are dealt to bands of size (own and next) and in
-    a band to the leaves of the vantage-point tree.  At this radius the triangle bounds rule
-    out few branches; the bands carry the pruning.  Empty texts are one class; null ids and
-    repeated rows as in ``near_duplicates``.
+    Two texts link if their fingerprints differ in at most ``radius`` bits and the Jaccard
+    similarity of their shingle sets is ``similarity`` or more.  Candidates are pairs whose
+    sketches give ``MARGIN`` less than that; only classes in one of them have their sets made
+    and sent, and a link needs the sets themselves.  Sets of such similarity differ in
+    size by that factor at most, so classes meet in bands of size (see ``_banded``); at this
+    radius the bounds of a vantage-point tree rule out nothing.  Empty texts are one class;
+    null ids and repeated rows as in ``near_duplicates``.
     """
-    look, deal_kinds = arrow_schema("doc_id long, id long, fp long, n long, sketch binary"), arrow_schema("cell long, id long, fp long, sketch binary, home boolean")
-    step = float(-np.log(similarity))
+    look, kinds = "row long, doc_id long, id long, fp long, n long, sketch binary", "id long, fp long, n long, sketch binary, hashes binary"
+    floor = similarity - MARGIN
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 256):
             found = [portrait(t, words) for t in batch.column("text").to_pylist()]
-            columns = [batch.column("doc_id"), *zip(*found)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, look)], schema=look)
+            short = [(*p[:3], np.frombuffer(p[3], "<u4").astype("u1").tobytes()) for p in found]  # the lowest bytes
+            columns = [batch.column("row"), batch.column("doc_id"), *zip(*short)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow_schema(look))], schema=arrow_schema(look))
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 256):
+            hashes = [shingle_set(list(shingle_digests(t, words))).astype("<u8").tobytes() for t in batch.column("text").to_pylist()]
+            columns = [*(batch.column(c) for c in ("id", "fp", "n", "sketch")), pa.array(hashes, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, schema=arrow_schema(kinds))
 
     texts = keyed_texts(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
-    marked = staged(texts.mapInArrow(describe, "doc_id long, id long, fp long, n long, sketch binary"), "portraits")
+    texts = staged(texts.withColumn("row", F.monotonically_increasing_id()), "texts")
+    marked = staged(texts.mapInArrow(describe, look), "portraits")
     # Texts of a class differ in repeated shingles at most, so any of their rows will do.
-    classes = marked.groupBy("id").agg(F.min("doc_id").alias("least"), F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("sketch").alias("sketch"))
+    classes = marked.groupBy("id").agg(F.min("doc_id").alias("least"), *(F.min(c).alias(c) for c in ("row", "fp", "n", "sketch")))
     classes = staged(classes, "classes")
-    tree = _planted(classes.select("fp"), SIMILAR_LEAF_ROWS, MAX_SAMPLE, radius)
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 2048):
-            fps = batch.column("fp").to_numpy().view(np.uint64)
-            band = np.floor(np.log(np.maximum(1, batch.column("n").to_numpy())) / step).astype(np.int64)
-            rows, leaf, home = route(tree, fps, radius)
-            up, up_leaf, _ = route(tree, fps, radius, visit_all=True)
-            cell = np.concatenate([band[rows] * tree.leaves + leaf, (band[up] + 1) * tree.leaves + up_leaf])
-            taken = pa.array(np.concatenate([rows, up]))
-            columns = [pa.array(cell), *(batch.column(c).take(taken) for c in ("id", "fp", "sketch")), pa.array(np.concatenate([home, np.zeros(len(up), bool)]))]
-            yield pa.RecordBatch.from_arrays(columns, schema=deal_kinds)
-
-    dealt = classes.select("id", "fp", "n", "sketch").mapInArrow(deal, "cell long, id long, fp long, sketch binary, home boolean")
-    found = scan(dealt.where("home").drop("home"), dealt.drop("home"), SIMILAR_CHUNK_ROWS, "id", lambda t, p: _similar_links(t, p, radius, similarity), "u long, v long")
+    dealt = _banded(classes.select("id", "fp", "n", "sketch"), similarity, SKETCH_BANDS)
+    paired = scan(dealt.where("home").drop("home"), dealt.drop("home"), SKETCH_CHUNK_ROWS, "id", lambda t, p: _paired(t, p, radius, floor), "id long")
+    paired = staged(paired.distinct(), "paired")
+    sets = classes.join(paired, "id").drop("least").join(texts.select("row", "text"), "row").mapInArrow(gather, kinds)
+    dealt = _banded(staged(sets, "sets"), similarity, SET_BANDS)
+    found = scan(dealt.where("home").drop("home"), dealt.drop("home"), SET_CHUNK_ROWS, "id", lambda t, p: _similar_links(t, p, radius, floor, similarity), "u long, v long")
     roots = connected(found).withColumnRenamed("u", "id")
     rooted = classes.select("id", "least").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))

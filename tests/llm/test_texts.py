@@ -325,3 +325,25 @@ def test_similar_documents(spark, texts):
         exact = len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b))
         x, y = (np.frombuffer(simhash.portrait(text, 5)[3], "<u4") for text in (a, b))
         assert abs(simhash.resemblance(x, y[None, :])[0] - exact) < 0.15
+
+
+def edited(rng, n, changed):
+    """A text of n words, and it with so many of them changed."""
+    words = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    other = words.copy()
+    for k in rng.sample(range(n), changed):
+        other[k] = f"x{rng.randrange(10**6)}"
+    return " ".join(words), " ".join(other)
+
+
+def test_similar_documents_near_the_limit(spark, texts):
+    """Pairs on both sides of 0.8, as near as 0.79 and 0.81, link by their exact similarity."""
+    rng, rows, want = random.Random(21), [], {}
+    for g, (n, changed) in enumerate([(100, 2), (100, 3), (1000, 20), (1000, 22), (1000, 23), (1000, 26), (40, 1), (30, 1)] * 12):
+        pair = edited(rng, n, changed)
+        rows += [(2 * g, pair[0]), (2 * g + 1, pair[1])]
+        a, b = map(shingles, pair)
+        want[2 * g + 1] = 2 * g if len(a & b) / len(a | b) >= 0.8 else 2 * g + 1
+    assert 30 < sum(k == v for k, v in want.items()) < 70
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(texts(rows).repartition(3)).collect()}
+    assert {k: got[k] for k in want} == want
