@@ -347,3 +347,15 @@ def test_similar_documents_near_the_limit(spark, texts):
     assert 30 < sum(k == v for k, v in want.items()) < 70
     got = {r.doc_id: r.component_id for r in simhash.similar_documents(texts(rows).repartition(3)).collect()}
     assert {k: got[k] for k in want} == want
+
+
+def test_similar_documents_with_repeats(spark, texts):
+    """A line that one copy repeats sixty times changes few distinct shingles."""
+    rng, rows = random.Random(22), []
+    for g in range(20):
+        text, line = edited(rng, 300, 0)[0], edited(rng, 10, 0)[0]
+        rows += [(2 * g, text), (2 * g + 1, text + f" {line}" * 60)]
+        a, b = map(shingles, (rows[-2][1], rows[-1][1]))
+        assert len(a & b) / len(a | b) > 0.9
+    got = simhash.similar_documents(texts(rows).repartition(3)).collect()
+    assert {r.doc_id: r.component_id for r in got} == {k: k - k % 2 for k, _ in rows}
