@@ -359,3 +359,40 @@ def test_similar_documents_with_repeats(spark, texts):
         assert len(a & b) / len(a | b) > 0.9
     got = simhash.similar_documents(texts(rows).repartition(3)).collect()
     assert {r.doc_id: r.component_id for r in got} == {k: k - k % 2 for k, _ in rows}
+
+
+def branches(parsed):
+    """Texts that an expression matches, each of its alternatives in one of them at least."""
+    parts = []
+    for kind, value in parsed:
+        name = str(kind)
+        if name == "LITERAL":
+            parts.append([chr(value)])
+        elif name == "IN":
+            parts.append([chr(v) if str(k) == "LITERAL" else "2" for k, v in value if str(k) in ("LITERAL", "CATEGORY")])
+        elif name == "ANY":
+            parts.append(["x"])
+        elif name == "SUBPATTERN":
+            parts.append(branches(value[-1]))
+        elif name == "BRANCH":
+            parts.append([t for branch in value[1] for t in branches(branch)])
+        else:
+            assert name == "MAX_REPEAT"
+            parts.append([""] * (value[0] == 0) + branches(value[2]))
+    least = [p[0] for p in parts]
+    return ["".join(least)] + ["".join([*least[:k], t, *least[k + 1 :]]) for k, p in enumerate(parts) for t in p[1:]]
+
+
+def test_every_license_rule_fires_on_each_branch():
+    named = {"gnu fdl 1.3": "gfdl-1.3", "scripts.sil.org/OFL": "ofl-1.1", "mariadb.com/bsl11": "busl-1.1", "ASF 2.0": "apache-2", "SSPL": "sspl-1",
+             "the Expat license": "mit", "licenses.ai": "openrail", "joinup.ec.europa.eu/software/page/eupl": "eupl-1.2"}
+    for text, label in named.items():
+        assert licenses.scan_text(text)[5] == label, text
+    for rule in licenses.rules():
+        samples = branches(re._parser.parse(rule.pattern.pattern.decode().removeprefix("(?<= )").removesuffix("(?= )")))
+        samples = [text for text in samples if text == " ".join(text.split())]  # as words are joined
+        assert samples, rule
+        for text in samples:
+            assert rule.pattern.search(f" {text} ".encode()), (rule.label, text)
+            # Only a rule before it can have taken its place, and that is as sure as it is.
+            assert licenses.scan_text(text)[6] >= rule.confidence, (rule.label, text)
