@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import arrow_schema, keyed_texts, slices
 
 # Phrases whose labels always stand, suppressed or not.
-BASE = {"mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
+BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
 V = r"(?:version |v)?"
 GPL = r"(?:gnu )?(?:general public licen[cs]e|gpl)"

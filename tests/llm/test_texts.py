@@ -396,3 +396,12 @@ def test_every_license_rule_fires_on_each_branch():
             assert rule.pattern.search(f" {text} ".encode()), (rule.label, text)
             # Only a rule before it can have taken its place, and that is as sure as it is.
             assert licenses.scan_text(text)[6] >= rule.confidence, (rule.label, text)
+
+
+def test_license_base_phrases():
+    """The phrases as the contract has them; a bare "mit license" is the rules' affair."""
+    first = {"x under the MIT License": (1, 1, "mit"), "a Apache License, Version 2.0": (1, 1, "apache-2"), "CC-BY-NC": (0, 1, "cc-by-nc"), "the MIT License": (None, 0, "")}
+    for text, (at, n, label) in first.items():
+        got = licenses.scan_text(text)
+        assert (got[1], got[2], got[3], got[4]) == (n, at, at, label), text
+    assert licenses.scan_text("the MIT License")[5] == "mit"
