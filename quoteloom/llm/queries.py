@@ -59,7 +59,7 @@ SELECT doc_id, b::BIGINT AS n_bytes, CASE WHEN d = 0 THEN '' ELSE lpad(bin(p), d
 
 @query("op1_extendible_hashing", SHARDS_SQL)
 def extendible_hashing(spark, sf_dir):
-    return sharding.assign(table(spark, sf_dir, "documents"))
+    return sharding.assign(table(spark, sf_dir, "documents"), carry=False)
 
 
 @query("op3_multiprobe_hashing")

@@ -24,8 +24,9 @@ def _prefix(depth: int) -> Column:
     return F.shiftright("address", ADDRESS_BITS - depth)
 
 
-def addressed(docs: DataFrame, key: list[str], id_col: str, text_col: str) -> DataFrame:
-    """doc_id, n_bytes and the 60-bit address of every row, in the shared folder."""
+def addressed(docs: DataFrame, key: list[str], id_col: str, text_col: str, carry: bool) -> DataFrame:
+    """doc_id, n_bytes and the 60-bit address of every row, in the shared folder; with
+    ``carry`` also the row itself, as one address can't be worked out a second time."""
     name = F.concat_ws("\x1f", *[F.coalesce(F.col(k).cast("string"), F.lit("\x00")) for k in key])
     by_key = F.conv(F.substring(F.md5(name), 1, KEY_BITS // 4), 16, 10).cast("long")
     rest = ADDRESS_BITS - KEY_BITS
@@ -34,14 +35,17 @@ def addressed(docs: DataFrame, key: list[str], id_col: str, text_col: str) -> Da
         F.col(id_col).alias("doc_id"),
         F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"),
         F.shiftleft(by_key, rest).bitwiseOR(by_place).alias("address"),
+        *([F.struct(*[docs[c] for c in docs.columns]).alias("row")] if carry else []),
     )
     return staged(rows, "addresses")
 
 
 def assign(
-    docs: DataFrame, max_bytes: int = MAX_BYTES, key: list[str] | None = None, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, max_bytes: int = MAX_BYTES, key: list[str] | None = None, id_col: str = "doc_id", text_col: str = "text",
+    carry: bool = True,
 ) -> DataFrame:
-    """doc_id, n_bytes, shard, depth, shard_bytes, shard_docs of every row.
+    """doc_id, n_bytes, shard, depth, shard_bytes, shard_docs of every row; with ``carry`` also
+    row, all its columns, which ``write_sharded`` needs.
 
     ``shard`` spells the prefix in bits (the empty string is the whole table).  Every shard
     holds at most ``max_bytes`` of text, or a single row that is larger by itself; its sibling
@@ -50,7 +54,7 @@ def assign(
     an empty table has no shards.  Only sums per prefix are shuffled: at most 2**8 for each
     bucket that is too large.
     """
-    rows = addressed(docs, key or [id_col], id_col, text_col)
+    rows = addressed(docs, key or [id_col], id_col, text_col, carry)
     depth, open_cells, closed = 0, None, []
     while True:
         upto = min(depth + ROUND_BITS, ADDRESS_BITS)
@@ -77,11 +81,17 @@ def assign(
     bits = F.when(F.col("depth") == 0, "").otherwise(F.expr("lpad(bin(prefix), depth, '0')"))
     found = [rows.withColumn("cell", _prefix(d)).join(directory, "cell") for d, directory in closed]
     return reduce(DataFrame.unionByName, found).select(
-        "doc_id", "n_bytes", bits.alias("shard"), "depth", "shard_bytes", "shard_docs"
+        "doc_id", "n_bytes", bits.alias("shard"), "depth", "shard_bytes", "shard_docs", *(["row"] if carry else [])
     )
 
 
-def write_sharded(docs: DataFrame, shards: DataFrame, path: str, id_col: str = "doc_id") -> None:
-    """The rows of ``docs`` in one folder per shard; rows of a shard meet in one task."""
-    places = shards.select(F.col("doc_id").alias(id_col), "shard").distinct()
-    docs.join(places, id_col).repartition("shard").write.partitionBy("shard").parquet(path)
+def write_sharded(docs: DataFrame, shards: DataFrame, path: str) -> None:
+    """The rows of ``docs`` in one folder per shard; rows of a shard meet in one task.
+
+    ``shards`` is what ``assign`` made of ``docs``.  Every row goes where its own address
+    does, once, whatever its id: ids can be null or stand in several shards.
+    """
+    if "row" not in shards.columns:
+        raise ValueError("assign the shards with carry=True: ids can't tell rows apart")
+    rows = shards.select("shard", *[F.col("row")[c].alias(c) for c in docs.columns])
+    rows.repartition("shard").write.partitionBy("shard").parquet(path)

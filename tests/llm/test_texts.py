@@ -405,3 +405,15 @@ def test_license_base_phrases():
         got = licenses.scan_text(text)
         assert (got[1], got[2], got[3], got[4]) == (n, at, at, label), text
     assert licenses.scan_text("the MIT License")[5] == "mit"
+
+
+def test_sharded_write_null_and_split_ids(spark, texts):
+    """Every row is written once, also without an id or with one that several shards hold."""
+    docs = texts([(None, f"n{k}".ljust(100)) for k in range(5)] + [(7, f"s{k}".ljust(100)) for k in range(60)] + [(8, "same")] * 3 + [(9, None)])
+    found, path = sharding.assign(docs.repartition(3), max_bytes=1000), shared_path(spark, "sharded")
+    assert found.where("doc_id = 7").select("shard").distinct().count() > 1
+    sharding.write_sharded(docs, found, path)
+    back = spark.read.option("recursiveFileLookup", True).schema(docs.schema).parquet(path)
+    assert sorted(map(str, back.collect())) == sorted(map(str, docs.collect()))
+    sizes = spark.read.parquet(path).groupBy("shard").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("b")).collect()
+    assert len(sizes) > 1 and max(x.b for x in sizes) <= 1000
