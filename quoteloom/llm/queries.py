@@ -8,7 +8,10 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attribution, chat, decontaminate, licenses, neighbours, packing, quality, sharding, shards, simhash, tokens
+from . import (
+    attribution, chat, decontaminate, divergence, licenses, middle, neighbours, packing, quality, sharding, shards,
+    simhash, tokens,
+)
 from .common import importable, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -168,3 +171,49 @@ def training_order(spark, sf_dir):
     n, directory = -(-total // 1024), shared_path(spark, "shards")
     shards.write_shards(packing.cut(stream, path), n, directory, ORDER_KEY)
     return shards.read_records(spark, directory, n, ORDER_KEY)
+
+
+MIDDLE_SQL = """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+h AS (SELECT *, ('0x' || h[1:8])::BIGINT % (n + 1) AS a, ('0x' || h[9:16])::BIGINT % (n + 1) AS b,
+    ('0x' || h[17:24])::BIGINT % 100 AS plain, ('0x' || h[25:32])::BIGINT % 100 AS spm FROM t),
+f AS (SELECT *, least(a, b) AS i, greatest(a, b) AS j, CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR plain >= 90
+    THEN 'plain' WHEN spm < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+c AS (SELECT *, substring(t, 1, i) AS p, substring(t, i + 1, j - i) AS m, substring(t, j + 1) AS s FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN i END AS prefix_chars, CASE WHEN form <> 'plain' THEN j - i END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+    sha256(t) AS restored_sha256 FROM c"""
+
+
+@query("op11_chunk_memoization", MIDDLE_SQL)
+def chunk_memoization(spark, sf_dir):
+    out = middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+DIVERGENCE_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS total FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+z AS (SELECT lang, count(*) AS v, sum(total) AS lang_n FROM k GROUP BY lang),
+c AS (SELECT w.lang, w.source, w.term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY ALL),
+g AS (SELECT d.lang, d.source, any_value(v) AS v, any_value(lang_n) AS lang_n, coalesce(any_value(s.n), 0) AS n FROM (SELECT DISTINCT lang, source FROM d) d
+    LEFT JOIN z USING (lang) LEFT JOIN (SELECT lang, source, sum(n) AS n FROM c GROUP BY ALL) s USING (lang, source) GROUP BY ALL),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1) // (g.n + g.v) AS p,
+    1 + 1000000000::HUGEINT * (k.total + 1) // (g.lang_n + g.v) AS q FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term
+    AND a.source <> b.source GROUP BY ALL),
+whole AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+    UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM whole)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM r WHERE part = 'pair' OR rank <= 200"""
+
+
+@query("op12_count_bitmaps", DIVERGENCE_SQL)
+def count_bitmaps(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))
