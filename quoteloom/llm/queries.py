@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from . import (
     attribution, chat, decontaminate, divergence, licenses, middle, neighbours, packing, quality, sharding, shards,
-    simhash, tokens,
+    simhash, tokens, wrappers,
 )
 from .common import importable, shared_path
 
@@ -217,3 +217,9 @@ SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM r WHERE part
 @query("op12_count_bitmaps", DIVERGENCE_SQL)
 def count_bitmaps(spark, sf_dir):
     return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query("op13_wrapper_inference")
+def wrapper_inference(spark, sf_dir):
+    found = wrappers.extract(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
