@@ -177,7 +177,9 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int = TOP_TERMS)
     ordered = kept.repartitionByRange("lang", F.desc("total"), "term").sortWithinPartitions("lang", F.desc("total"), "term")
     # The numbers depend on the partitions of this very run: hence written before they are used.
     terms = staged(ordered.select("lang", "term", "total", F.monotonically_increasing_id().alias("id")), "vocabulary")
-    per_group = words.join(terms, ["lang", "term"]).groupBy("lang", "term", "source", "id", "total").agg(F.sum("n").alias("n"))
+    # Most terms are rare and fall out here: the kept ones are looked up, nothing is sorted.
+    known = words.join(terms.hint("shuffle_hash"), ["lang", "term"])
+    per_group = known.groupBy("lang", "term", "source", "id", "total").agg(F.sum("n").alias("n"))
     per_group = staged(per_group, "group-terms")
 
     sizes = terms.groupBy("lang").agg(F.count("*").alias("v"), F.sum("total").alias("lang_total"))
