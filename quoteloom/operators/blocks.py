@@ -61,11 +61,13 @@ def upto(spec):
     return spec.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def join_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    """Equi-join on ``keys`` in which null meets null; the left side's keys stay."""
-    named = right.withColumnsRenamed({k: f"_key_{k}" for k in keys})
-    same = reduce(lambda a, b: a & b, [left[k].eqNullSafe(named[f"_key_{k}"]) for k in keys])
-    return left.join(named, same, how).drop(*[f"_key_{k}" for k in keys])
+def join_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", plain: tuple[str, ...] = ()) -> DataFrame:
+    """Equi-join on ``keys`` in which null meets null; the left side's keys stay.  ``plain``
+    are further columns to join on, in which a null meets nothing."""
+    named = right.withColumnsRenamed({k: f"_key_{k}" for k in (*keys, *plain)})
+    tests = [left[k].eqNullSafe(named[f"_key_{k}"]) for k in keys] + [left[k] == named[f"_key_{k}"] for k in plain]
+    same = reduce(lambda a, b: a & b, tests, F.lit(True))
+    return left.join(named, same, how).drop(*[f"_key_{k}" for k in (*keys, *plain)])
 
 
 def carried(summary: DataFrame, keys: list[str], values: dict[str, tuple[str, str]], supers: int = SUPER_BLOCKS) -> DataFrame:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.black_scholes import DAYS_PER_YEAR, GREEKS, with_greeks, years_to_expiry
+from .blocks import join_keys
+from .ranks import count_at_or_below
 
 # Fixed values of the chain filters.
 MIN_YEARS_LEFT = 5.0 / (DAYS_PER_YEAR * 24 * 60)
@@ -146,7 +150,7 @@ def near_atm(df: DataFrame, keys: list[str], spot: str = "underlying_price") ->
     """Rows of the tightest band around the price that has a usable volatility; all rows
     of a group where no band has one."""
     bands = df.groupBy(*keys).agg(_band_of_group(spot).alias("_band"))
-    joined = df.join(bands, keys, "left")
+    joined = join_keys(df, bands, keys)
     keep = F.col("_band").isNull() | (
         (F.col("iv") > 0) & (F.col(spot) > 0) & (_distance(spot) / F.col(spot) <= F.col("_band"))
     )
@@ -208,30 +212,23 @@ def iv_rank(
 ) -> DataFrame:
     """Percent of past values at or below the current one; 50 without history.
 
-    ``current`` has one row per ``keys``; where ``on`` is one of them, the other keys name the
-    series whose history counts.  With ``lookback_days`` only the days up to each row's time
-    do.  Without, history is first counted per value on the map side (quoted volatilities
-    repeat a lot).  With, rows and history meet in buckets as long as the look-back, so a row
-    sees at most two of them.  ``current`` is read once: its columns travel through the join.
+    Where ``on`` is one of the keys, the others name the series whose history counts.  With
+    ``lookback_days`` only the days up to each row's time do.  Rows at many times are counted
+    without pairing them with their history (``ranks``).  With one row per series, history
+    is first counted per value on the map side (quoted volatilities repeat a lot), and a
+    row's columns travel through the join, so ``current`` is read once.
     """
     series = [k for k in keys if k != on]
+    if lookback_days or on in keys:
+        until = F.col(on) if lookback_days else None
+        since = until - lookback_days * 86_400_000 if lookback_days else None
+        counted = count_at_or_below(current, history, series, value, past, since, until, on)
+        rank = F.when(F.col("_total") > 0, F.col("_below") * 100.0 / F.col("_total"))
+        return counted.select(*current.columns, F.coalesce(rank, F.lit(NO_HISTORY_RANK)).alias("iv_rank"))
     now = current.select(F.struct(*current.columns).alias("_row"), F.col(value).alias("_now"), *[F.col(k).alias(f"_k_{k}") for k in series])
-    if lookback_days:
-        span = lookback_days * 86_400_000
-        at, when = F.col(f"_row.{on}"), F.col("_when")
-        now = now.withColumn("_cell", F.floor(at / span))
-        cell = F.floor(F.col(on) / span)
-        past_rows = history.select(
-            *series, F.col(past).alias("_past"), F.col(on).alias("_when"), F.lit(1).alias("_n"),
-            F.explode(F.array(cell, cell + 1)).alias("_near"),
-        )
-        same = (F.col("_cell") == F.col("_near")) & (when <= at) & (when > at - span)
-    else:
-        past_rows = history.groupBy(*series, F.col(past).alias("_past")).agg(F.count(F.lit(1)).alias("_n"))
-        same = F.lit(True)
+    past_rows = history.groupBy(*series, F.col(past).alias("_past")).agg(F.count(F.lit(1)).alias("_n"))
     past_rows = past_rows.filter(F.col("_past").isNotNull())
-    for k in series:
-        same = same & F.col(f"_k_{k}").eqNullSafe(past_rows[k])
+    same = reduce(lambda a, b: a & b, [F.col(f"_k_{k}").eqNullSafe(past_rows[k]) for k in series], F.lit(True))
     met = now.join(past_rows, same, "left")
     below = F.sum(F.when(F.col("_past") <= F.col("_now"), F.col("_n")).otherwise(0))
     counted = met.groupBy(*[F.col(f"_row.{k}").alias(f"_g_{k}") for k in keys]).agg(
@@ -304,7 +301,7 @@ def vol_surface(
 def first_underlying(df: DataFrame, keys: list[str], seq: str, spot: str = "underlying_price") -> DataFrame:
     """Replace each row's underlying by that of the group's first row."""
     first = df.groupBy(*keys).agg(F.min_by(spot, seq).alias("_first"))
-    return df.join(first, keys, "left").withColumn(spot, F.col("_first")).drop("_first")
+    return join_keys(df, first, keys).withColumn(spot, F.col("_first")).drop("_first")
 
 
 def main_contracts(
@@ -346,4 +343,4 @@ def main_contracts(
     atm = base.groupBy(*group).agg(
         F.coalesce(F.min_by("strike", F.when(F.col("strike").isNotNull(), rank)).cast("double"), F.lit(0.0)).alias("atm_strike")
     )
-    return top.join(atm, group, "left").select(*group, "calls", "puts", "atm_strike", "total_oi")
+    return join_keys(top, atm, group).select(*group, "calls", "puts", "atm_strike", "total_oi")

@@ -190,3 +190,14 @@ def test_spline_columns(spark, how):
         assert row.f == pytest.approx(want) and row.a == pytest.approx(want)
     empty = spark.createDataFrame([([], [], 1.0)], "xs array<double>, ys array<double>, t double")
     assert empty.select(any_knots(F.col("xs"), F.col("ys"), F.col("t"))).first()[0] == 0.0
+
+
+def test_null_group_keys(spark):
+    """A null key is a group of its own: its band, its strike at the money, its price."""
+    rows = [(None, 100.0, 100.0, 0.5, 1), (None, 140.0, 100.0, 0.6, 2), ("a", 100.0, 100.0, 0.5, 3), ("a", 140.0, 100.0, 0.6, 4)]
+    df = spark.createDataFrame(rows, "k string, strike double, underlying_price double, iv double, seq long")
+    assert sorted(r.seq for r in options.near_atm(df, ["k"]).collect()) == [1, 3]
+    assert {r.underlying_price for r in options.first_underlying(df, ["k"], "seq").collect()} == {100.0}
+    listed = df.withColumns({"expiration_timestamp": F.lit(1_767_225_600_000), "open_interest": F.lit(1.0), "instrument_name": F.col("seq").cast("string"), "option_type": F.lit("call")})
+    found = options.main_contracts(listed, F.col("underlying_price"), "seq", ["k"]).collect()
+    assert {r.k: r.atm_strike for r in found} == {None: 100.0, "a": 100.0}
