@@ -11,6 +11,8 @@ Plan, for any number of sources at once:
    summary row per block carries it instead;
 4. the matches go back to the target rows by an equi-join on (keys, timestamp), where
    the match side is unique and AQE can split a hot timestamp.
+
+Null keys are a key like any other; a row without a time matches nothing.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import BLOCK_MS, across, before, block_of, inside, upto
+from .blocks import BLOCK_MS, across, before, block_of, inside, join_keys, upto
 
 DEFAULT_TOLERANCE_MS = 60_000
 DIRECTIONS = ("backward", "forward", "nearest")
@@ -140,7 +142,7 @@ def align(
         # that the other one reads, so both share one reduction (a reused exchange).
         ends = instants.groupBy(*keys, "_block").agg(F.max("_wanted").alias("_wanted"), *edges)
         carry = ends.select(*keys, "_block", "_wanted", *carried).filter("_wanted").drop("_wanted")
-        matched = matched.join(carry, [*keys, "_block"], "left")
+        matched = join_keys(matched, carry, keys, plain=("_block",))
         filled = {}
         for i in far:
             if look_back:
@@ -180,7 +182,7 @@ def align(
             out.append(F.col(f"_m{i}.v{j}").alias(label))
             if ages:
                 out.append((F.col(on) - F.col(f"_m{i}.ts")).alias(f"{label}_age_ms"))
-    return target.join(matches, [*keys, on], "left").select(*target.columns, *out)
+    return join_keys(target, matches, keys, plain=(on,)).select(*target.columns, *out)
 
 
 def asof_join(

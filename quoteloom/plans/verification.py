@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import continuity, quality
+from ..operators.blocks import join_keys
 
 
 def expected_seconds(exchange: Column, data_type: Column) -> Column:
@@ -38,7 +39,7 @@ def report(landed: DataFrame, keys: list[str], arrival: str, on: str = "timestam
     expected = expected_seconds(F.col("exchange"), F.col("data_type"))
     expecting = continuity.continuity_stats(landed, on, keys).withColumn("_sec", expected)
     expecting = expecting.filter(F.col("_sec").isNotNull())
-    ordered = expecting.join(continuity.arrival_order(landed, arrival, on, keys), keys)
+    ordered = join_keys(expecting, continuity.arrival_order(landed, arrival, on, keys), keys, "inner")
     issues = continuity.continuity_issues(ordered, F.col("_sec") * 1000)
     both = continuity.coverage(issues, F.col("_sec"), is_multi_instrument(F.col("exchange"), F.col("data_type")))
     found = F.array(

@@ -213,3 +213,14 @@ def test_nan_is_missing(spark):
 
     share = quality.null_ratio(df.withColumnRenamed("v", "price"), columns=["price"]).first()
     assert (share.null_rows, share.total_rows) == (1, 300)
+
+
+@pytest.mark.parametrize("direction", ["backward", "forward", "nearest"])
+@pytest.mark.parametrize("tolerance", [500, None, 10_000_000])
+def test_null_keys_match_in_asof_joins(spark, direction, tolerance):
+    target = spark.createDataFrame([(None, 1000), ("a", 1000), ("b", 1000), (None, None)], "k string, timestamp long")
+    source = spark.createDataFrame([(None, 900, 1.0), (None, 1100, 2.0), ("a", 900, 3.0), ("a", 1100, 4.0)], "k string, timestamp long, v double")
+    got = asof.asof_join(target, source, keys=["k"], direction=direction, tolerance_ms=tolerance).collect()
+    late = direction == "forward"
+    want = {(None, 1000): 2.0 if late else 1.0, ("a", 1000): 4.0 if late else 3.0, ("b", 1000): None, (None, None): None}
+    assert {(r.k, r.timestamp): r.v for r in got} == want
