@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import utc_day_string
+from ..operators.blocks import join_keys
 from ..operators.tables import merge, natural_key
 from ..session import shared_dir
 
@@ -107,21 +108,32 @@ def overwrite_partitions(df: DataFrame, path: str, parts: list[str], order: list
     )
 
 
-def _stage_root(path: str) -> str:
+STAGE_DONE = "_staged_whole"
+
+
+def _stage_root(spark: SparkSession, path: str) -> str:
     """Beside the table, on its file system; the underscore hides it from readers."""
-    folder, _, name = path.rstrip("/").rpartition("/")
-    return f"{folder}/_staged-{name}"
+    fs, p = _hadoop_path(spark, path)
+    table = fs.makeQualified(p)
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.getParent(), f"_staged-{table.getName()}").toString()
+
+
+def _mark_whole(spark: SparkSession, stage: str) -> None:
+    """From here on the stage replaces its partitions, whatever fails.  An own marker: a
+    cluster may have the writer's success file switched off."""
+    fs, p = _hadoop_path(spark, f"{stage}/{STAGE_DONE}")
+    fs.create(p, True).close()
 
 
 def finish_staged(spark: SparkSession, path: str, parts: list[str], columns: list[str]) -> None:
     """Complete what a failed upsert left: a whole stage replaces its partitions, one that
     was never finished is dropped, for the table was not touched yet."""
-    fs, root = _hadoop_path(spark, _stage_root(path))
+    fs, root = _hadoop_path(spark, _stage_root(spark, path))
     if not fs.exists(root):
         return
     for status in fs.listStatus(root):
         stage = status.getPath()
-        if fs.exists(_hadoop_path(spark, f"{stage}/_SUCCESS")[1]):
+        if any(fs.exists(_hadoop_path(spark, f"{stage}/{name}")[1]) for name in (STAGE_DONE, "_SUCCESS")):
             _replace(spark, str(stage), path, parts, columns)
         fs.delete(stage, True)
 
@@ -177,8 +189,9 @@ def upsert(
             existing = stored.join(touched, same, "left_semi")
         else:
             existing = incoming.limit(0)
-        stage = f"{_stage_root(path)}/{uuid.uuid4().hex}"
+        stage = f"{_stage_root(spark, path)}/{uuid.uuid4().hex}"
         merge(existing, incoming, keyed, order, keep).write.option("compression", COMPRESSION).parquet(stage)
+        _mark_whole(spark, stage)
         _replace(spark, stage, path, parts, columns)
         fs, p = _hadoop_path(spark, stage)
         fs.delete(p, True)
@@ -201,7 +214,7 @@ def load_latest_day(table: DataFrame, keys: list[str], today: str, look_back: in
     if look_back is not None:
         recent = recent.filter(F.col("date") >= F.date_sub(F.lit(today).cast("date"), look_back - 1).cast("string"))
     newest = recent.groupBy(*keys).agg(F.max("date").alias("date"))
-    return recent.join(newest, [*keys, "date"], "left_semi")
+    return join_keys(recent, newest, keys, "left_semi", plain=("date",))
 
 
 def store_stats(table: DataFrame, keys: list[str], on: str = "timestamp") -> DataFrame:

@@ -1,4 +1,5 @@
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -263,3 +264,48 @@ def test_candle_update_and_next_ranges(spark, tmp_path):
     now = T0 + 2 * day
     got = {(r.exchange, r.symbol): r.start_ms for r in plan.next_ranges(universe, stored, now).collect()}
     assert got == {("deribit", "BTC"): T0 + day, ("hyperliquid", "PEPE"): T0 + day, ("deribit", "ETH"): now - day}
+
+
+def test_failure_without_success_files(spark, tmp_path, monkeypatch):
+    """The old partitions are gone and the stage is the only copy: it must come back, also
+    where the cluster writes no success files."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        path = str(tmp_path / "t")
+        store.upsert(ticks(spark, 0, 16), path)
+        real = store.overwrite_partitions
+
+        def lose(df, path, parts, order):
+            df.count()
+            for name in os.listdir(path):
+                if "=" in name:
+                    shutil.rmtree(os.path.join(path, name))
+            raise OSError("lost")
+
+        monkeypatch.setattr(store, "overwrite_partitions", lose)
+        with pytest.raises(OSError):
+            store.upsert(ticks(spark, 3, 8, 2.0), path)
+        monkeypatch.setattr(store, "overwrite_partitions", real)
+        store.upsert(ticks(spark, 15, 17, 3.0), path)
+        assert sorted(r.seq for r in store.read_table(spark, path).collect()) == list(range(17))
+        # A stage that was never finished is dropped.
+        half = f"{store._stage_root(spark, path)}/half"
+        ticks(spark, 50, 60).write.parquet(half)
+        store.upsert(ticks(spark, 16, 17, 4.0), path)
+        assert store.read_table(spark, path).count() == 17 and not os.path.exists(half.removeprefix("file:"))
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+
+
+def test_stage_beside_a_relative_path(spark, tmp_path):
+    work = os.getcwd()
+    for path in ("table", "a/table", "table/", f"{tmp_path}/t"):
+        root = store._stage_root(spark, path)
+        want = os.path.join(os.path.dirname(os.path.join(work, path.rstrip("/"))), f"_staged-{os.path.basename(path.rstrip('/'))}")
+        assert root.removeprefix("file:") == want
+
+
+def test_latest_day_of_a_null_key(spark):
+    rows = spark.createDataFrame([(None, "2026-01-01", 1), (None, "2026-01-02", 2), ("a", "2026-01-01", 3)], "k string, date string, n int")
+    assert sorted(r.n for r in store.load_latest_day(rows, ["k"], "2026-01-05").collect()) == [2, 3]
