@@ -17,15 +17,19 @@ from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators import basis, options
+from ..operators.blocks import join_keys
 from ..operators.tables import UNIQUE_KEYS, latest_per_key
 from ..plans.market import surface_from_chain
-from ..sinks.store import COMPRESSION, read_table, upsert, with_date
+from ..sinks.store import COMPRESSION, upsert, with_date
 from ..sources import option_feed
+from . import state
 
 WATERMARK = "60 seconds"
 FLUSH_EVERY = "300 seconds"
 FLUSH_BYTES = 200 * 1024 * 1024
 
+Table = DataFrame | Callable[[], DataFrame] | None
+
 
 def event_time(df: DataFrame, on: str = "timestamp") -> DataFrame:
     return df.withColumn("event_time", F.timestamp_millis(F.col(on)))
@@ -98,24 +102,12 @@ def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     return latest_per_key(changes, keys, "batch").drop("batch")
 
 
-STATE_PART = "bucket"
-STATE_BUCKETS = 16
-
-
-def write_state(
-    changes: DataFrame, path: str, checkpoint: str, keys: list[str], mode: str = "update", buckets: int = STATE_BUCKETS, **trigger
-):
-    """Keep one row per key: each batch is merged into a table cut by key hash, so a reader
-    sees the current state and not every batch since the start."""
-
-    def put(batch: DataFrame, batch_id: int) -> None:
-        part = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("string")
-        rows = batch.withColumns({STATE_PART: part, "batch": F.lit(batch_id).cast("long")})
-        upsert(rows, path, keys=keys, parts=[STATE_PART], order_by=["batch"])
-
+def write_state(changes: DataFrame, path: str, checkpoint: str, keys: list[str], mode: str = "update", **trigger):
+    """Keep one row per key: each batch adds a small run to the table, so a batch costs what
+    it changes and a reader sees the current state, not every batch since the start."""
     return (
         changes.writeStream.outputMode(mode)
-        .foreachBatch(put)
+        .foreachBatch(lambda batch, batch_id: state.put(batch, batch_id, path, keys))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": FLUSH_EVERY}))
         .start()
@@ -123,7 +115,7 @@ def write_state(
 
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path, [STATE_PART]).drop(STATE_PART, "batch")
+    return state.read(spark, path)
 
 
 def write_table(
@@ -184,25 +176,27 @@ def write_routed(messages: DataFrame, root: str, checkpoint: str, raw: str = "va
     )
 
 
+def _opened(table: Table) -> DataFrame | None:
+    """A table as of now: a DataFrame keeps the file list of when it was made."""
+    return table() if callable(table) else table
+
+
 def market_batch(
     chain: DataFrame, batch_id: int, root: str, keys: list[str], seq: str, now_ms: int,
-    spot: DataFrame | None = None, perp: DataFrame | None = None, mapping: DataFrame | None = None,
-    name: str = "instrument_name",
+    spot: Table = None, perp: Table = None, mapping: Table = None, name: str = "instrument_name",
 ) -> None:
     """One cycle: Greeks of the batch, the surface over the latest row of every contract seen
-    so far, and the live basis.  Contracts are kept in a table cut by name hash."""
-    spark, state = chain.sparkSession, f"{root}/chain_state"
+    so far, and the live basis.  Contracts are kept in a state table."""
+    spark, kept = chain.sparkSession, f"{root}/chain_state"
     chain = chain.persist()
-    contract = [*keys, name]
-    part = F.pmod(F.xxhash64(*contract), F.lit(STATE_BUCKETS)).cast("string")
-    upsert(chain.withColumn(STATE_PART, part), state, keys=contract, parts=[STATE_PART], order_by=[seq])
-    whole = read_table(spark, state, [STATE_PART]).drop(STATE_PART)
+    state.put(chain, batch_id, kept, [*keys, name], [seq])
     out = {
         "options_greeks": options.greeks_batch(chain, now_ms, extra=[*keys, seq]),
-        "vol_surface": surface_from_chain(whole, keys, seq, now_ms),
+        "vol_surface": surface_from_chain(state.read(spark, kept), keys, seq, now_ms),
     }
-    if spot is not None and perp is not None and mapping is not None:
-        out["basis"] = basis.live_basis(spot, perp, mapping, now_ms)
+    sides = _opened(spot), _opened(perp), _opened(mapping)
+    if all(side is not None for side in sides):
+        out["basis"] = basis.live_basis(*sides, now_ms)
     try:
         for kind, rows in out.items():
             rows.write.mode("overwrite").option("compression", COMPRESSION).parquet(f"{root}/{kind}/batch={batch_id}")
@@ -212,10 +206,11 @@ def market_batch(
 
 def write_market(
     chain: DataFrame, root: str, checkpoint: str, keys: list[str], seq: str, clock: Callable[[int], int],
-    spot: DataFrame | None = None, perp: DataFrame | None = None, mapping: DataFrame | None = None, **trigger,
+    spot: Table = None, perp: Table = None, mapping: Table = None, **trigger,
 ):
     """Continuous Greeks, surface and basis; ``clock`` gives the pricing time of a batch.
-    ``spot``, ``perp`` and ``mapping`` are tables that every cycle reads anew."""
+    ``spot``, ``perp`` and ``mapping`` are tables that stand still, or functions that open
+    them: those are called in every cycle, so the basis follows what is written meanwhile."""
     return (
         chain.writeStream.foreachBatch(
             lambda batch, i: market_batch(batch, i, root, keys, seq, clock(i), spot, perp, mapping)
@@ -226,6 +221,80 @@ def write_market(
     )
 
 
+CHAIN, SPOT, PERP = "chain", "spot", "perp"
+
+
+def market_stream(
+    chain: DataFrame, spot: DataFrame, perp: DataFrame, keys: list[str], seq: str = "seq", name: str = "instrument_name",
+    symbol: str = "symbol", currency: str = "currency",
+) -> DataFrame:
+    """Chain rows, spot and perpetual prices as one stream of the latest row of each, for
+    update mode: a batch holds what changed, tagged by ``kind``.
+
+    The state is one row per contract, spot symbol and perpetual, reduced on the map side
+    first; ``seq`` decides which is the latest, so a row that comes late changes nothing.
+    """
+
+    def tagged(kind: str, rows: DataFrame, by: list[str]) -> DataFrame:
+        key = F.array(*[F.col(c).cast("string") for c in by])
+        return rows.select(F.lit(kind).alias("kind"), key.alias("key"), F.col(seq).cast("long").alias("_o"), F.struct(*rows.columns).alias(kind))
+
+    both = tagged(CHAIN, chain, [*keys, name])
+    both = both.unionByName(tagged(SPOT, spot, [symbol]), allowMissingColumns=True)
+    both = both.unionByName(tagged(PERP, perp, [currency]), allowMissingColumns=True)
+    latest = both.groupBy("kind", "key").agg(F.max_by(F.struct(CHAIN, SPOT, PERP), F.col("_o")).alias("_row"))
+    return latest.select("kind", "key", f"_row.{CHAIN}", f"_row.{SPOT}", f"_row.{PERP}")
+
+
+def live_market_batch(
+    changes: DataFrame, batch_id: int, root: str, keys: list[str], mapping: Table, now_ms: int, seq: str = "seq"
+) -> None:
+    """One cycle over what changed: Greeks of the contracts, surfaces of the groups they belong
+    to (over all their contracts), and the basis of the pairs one of whose sides moved."""
+    spark, kept = changes.sparkSession, f"{root}/state"
+    changes = changes.persist()
+    try:
+        state.put(changes, batch_id, kept, ["kind", "key"])
+        whole = state.read(spark, kept)
+
+        def rows(df: DataFrame, kind: str) -> DataFrame:
+            return df.where(F.col("kind") == kind).select(f"{kind}.*")
+
+        chain, moved = rows(changes, CHAIN), rows(whole, CHAIN)
+        moved = join_keys(moved, chain.select(*keys).distinct(), keys, "left_semi")
+        pairs = _opened(mapping)
+        spots = rows(changes, SPOT).select("symbol").join(pairs, "symbol").select("symbol", "currency")
+        perps = rows(changes, PERP).select("currency").join(pairs, "currency").select("symbol", "currency")
+        touched = spots.unionByName(perps).distinct()
+        out = {
+            "options_greeks": options.greeks_batch(chain, now_ms, extra=[*keys, seq]),
+            "vol_surface": surface_from_chain(moved, keys, seq, now_ms),
+            "basis": basis.live_basis(rows(whole, SPOT), rows(whole, PERP), touched, now_ms, seq=seq),
+        }
+        for kind, found in out.items():
+            found.write.mode("overwrite").option("compression", COMPRESSION).parquet(f"{root}/{kind}/batch={batch_id}")
+    finally:
+        changes.unpersist()
+
+
+def write_live_market(
+    chain: DataFrame, spot: DataFrame, perp: DataFrame, mapping: Table, root: str, checkpoint: str, keys: list[str],
+    clock: Callable[[int], int], seq: str = "seq", **trigger,
+):
+    """Continuous Greeks, surfaces and basis from three streams: chain rows (``keys``,
+    instrument_name, ...), spot (symbol, timestamp, price) and perpetual prices (currency,
+    timestamp, price), each with ``seq``.  Outputs lie in ``root`` per batch; ``read_latest``
+    gives the current ones."""
+    changes = market_stream(chain, spot, perp, keys, seq)
+    return (
+        changes.writeStream.outputMode("update")
+        .foreachBatch(lambda batch, i: live_market_batch(batch, i, root, keys, mapping, clock(i), seq))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "5 seconds"}))
+        .start()
+    )
+
+
 def perp_prices(quotes: DataFrame, name: str = "instrument_name") -> DataFrame:
     """Perpetual quotes as (currency, mid price)."""
     return quotes.filter(F.contains(F.col(name), F.lit("PERPETUAL"))).select(
