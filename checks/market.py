@@ -123,6 +123,18 @@ def near_atm(spark, d):
     return options.near_atm(_priced(spark, d), ["ccy", "expiry"]).select("seq", "ccy", "expiry", "instrument_name")
 
 
+@query(
+    "near_atm_null_key",
+    f"""{oracle_with('chain')}, {greeks_ctes()}, k AS (SELECT * REPLACE (nullif(ccy, 'ETH') AS ccy) FROM g), d AS (SELECT *, abs(strike - underlying_price) / underlying_price AS mny FROM k),
+bands AS (SELECT ccy, CASE WHEN count(*) FILTER (mny <= 0.05 AND iv > 0) > 0 THEN 0.05 WHEN count(*) FILTER (mny <= 0.15 AND iv > 0) > 0 THEN 0.15
+   WHEN count(*) FILTER (mny <= 0.5 AND iv > 0) > 0 THEN 0.5 END AS band FROM d GROUP BY ALL)
+SELECT d.seq, d.ccy FROM d JOIN bands ON d.ccy IS NOT DISTINCT FROM bands.ccy WHERE band IS NULL OR (mny <= band AND iv > 0)""",
+)
+def near_atm_null_key(spark, d):
+    priced = _priced(spark, d).withColumn("ccy", F.nullif("ccy", F.lit("ETH")))
+    return options.near_atm(priced, ["ccy"]).select("seq", "ccy")
+
+
 _ATM = "arg_min(iv, (abs(strike - underlying_price), seq))"
 _C25, _P25 = "arg_min(iv, (abs(delta - 0.25), seq))", "arg_min(iv, (abs(delta + 0.25), seq))"
 

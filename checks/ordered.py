@@ -297,3 +297,21 @@ SELECT sp.instrument, sp.timestamp, s.price, sp.timestamp - s.timestamp AS price
 def snapshot_filled(spark, d):
     rows = view(spark, d, "ticks").select("instrument", "timestamp", "price", "seq")
     return metrics.filled_snapshots(rows, ["instrument"], ["price"], MIN10, seq="seq")
+
+
+_NULL_KEY = "nullif(user_id % 4, 0)"
+
+
+@query(
+    "asof_null_keys",
+    f"""{oracle_with('ticks')}, v AS (SELECT seq, {_NULL_KEY} AS k, timestamp FROM ticks WHERE instrument = 'view'),
+c AS (SELECT {_NULL_KEY} AS k, timestamp, arg_max(price, seq) AS price FROM ticks WHERE instrument = 'click' GROUP BY 1, 2)
+SELECT v.seq, v.k, v.timestamp, c.price AS click_price, v.timestamp - c.timestamp AS click_price_age_ms
+FROM v ASOF LEFT JOIN c ON coalesce(v.k, -1) = coalesce(c.k, -1) AND v.timestamp >= c.timestamp""",
+)
+def asof_null_keys(spark, d):
+    """Rows without a key are aligned with sources without one."""
+    rows = view(spark, d, "ticks").withColumn("k", F.expr(_NULL_KEY))
+    target = rows.where("instrument = 'view'").select("seq", "k", "timestamp")
+    source = rows.where("instrument = 'click'").select(F.col("seq").alias("s"), "k", "timestamp", F.col("price").alias("click_price"))
+    return asof.asof_join(target, source, keys=["k"], tolerance_ms=None, seq="s")

@@ -111,6 +111,18 @@ def load_latest_day(spark, d):
     return out.select("seq", "timestamp", "data_type", "symbol", "date")
 
 
+@query(
+    "load_latest_day_null_key",
+    f"""{oracle_with('landed')}, {_TABLE}, recent AS (SELECT * REPLACE (nullif(symbol, (SELECT min(symbol) FROM landed)) AS symbol) FROM tab WHERE date BETWEEN '2023-12-22' AND '2024-01-20')
+SELECT seq, symbol, date FROM recent QUALIFY date = max(date) OVER (PARTITION BY symbol)""",
+)
+def load_latest_day_null_key(spark, d):
+    rows = _read(spark, d)
+    least = rows.agg(F.min("symbol")).first()[0]
+    rows = rows.withColumn("symbol", F.nullif("symbol", F.lit(least)))
+    return store.load_latest_day(rows, ["symbol"], "2024-01-20").select("seq", "symbol", "date")
+
+
 @query("store_stats", f"{oracle_with('landed')} SELECT exchange, data_type, symbol, count(*) AS row_count, min(timestamp) AS start_time, max(timestamp) AS end_time FROM landed GROUP BY 1, 2, 3")
 def store_stats(spark, d):
     return store.store_stats(view(spark, d, "landed"), CELL)

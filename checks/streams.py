@@ -6,13 +6,13 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from quoteloom.fixtures import VIEWS, spell
 from quoteloom.session import configure, shared_dir
 from quoteloom.sinks.store import read_table
 from quoteloom.sources import option_feed
-from quoteloom.streaming import live
+from quoteloom.streaming import keyed, live
 
 from .base import NOW_MS, greeks_ctes, oracle_with, query, r, rounded, table, view
+from .market import _ATM, _C25, _NEAR, _P25
 
 ALL = {"availableNow": True}
 
@@ -217,28 +217,129 @@ _SILENT = 7_200_000
 
 @query(
     "stream_silence",
-    f"""{oracle_with('ticks')}, s AS (SELECT instrument, lag(timestamp) OVER (PARTITION BY instrument ORDER BY timestamp, seq) AS p, timestamp AS t FROM ticks)
-SELECT instrument AS feed, p AS silent_from, p + {_SILENT} AS alert_at, t AS resumed_at, t - p AS silence_ms FROM s WHERE t - p > {_SILENT}""",
+    f"""{oracle_with('ticks')}, f AS (SELECT instrument || '-' || (user_id % 20) AS feed, timestamp, seq FROM ticks),
+s AS (SELECT feed, lag(timestamp) OVER (PARTITION BY feed ORDER BY timestamp, seq) AS p, timestamp AS t FROM f)
+SELECT feed, p AS silent_from, p + {_SILENT} AS alert_at, t AS resumed_at, t - p AS silence_ms FROM s WHERE t - p > {_SILENT}
+UNION ALL SELECT feed, max(timestamp), max(timestamp) + {_SILENT}, NULL, NULL FROM f GROUP BY feed
+  HAVING max(timestamp) + {_SILENT} < (SELECT max(timestamp) - 60000 FROM ticks)""",
 )
 def stream_silence(spark, d):
+    """Silences that ended, and an open alert for every feed that is silent at the end."""
     folder = _folder(spark)
-    alerts = live.silence_alerts(_ticks(spark, d), "instrument_name", _SILENT)
+    feed = F.concat("instrument_name", F.lit("-"), F.col("user_id") % 20)
+    alerts = live.silence_alerts(_ticks(spark, d).withColumn("feed", feed), "feed", _SILENT)
     live.write_changes(alerts, f"{folder}/out", f"{folder}/ckpt", "append", **ALL).awaitTermination()
-    return spark.read.parquet(f"{folder}/out").filter("resumed_at is not null").drop("batch")
+    return spark.read.parquet(f"{folder}/out").drop("batch")
+
+
+def _in_files(rows, by, folder, files=3):
+    """The rows as a stream of several batches that follow ``by``: the files are written one
+    after the other, and each batch reads one."""
+    low, high = rows.agg(F.min(by), F.max(by)).first()
+    cut = [low + (high - low) * k // files for k in range(files)] + [high + 1]
+    for a, b in zip(cut, cut[1:]):
+        rows.where((F.col(by) >= a) & (F.col(by) < b)).coalesce(1).write.mode("append").parquet(folder)
+    return live.file_stream(rows.sparkSession, rows.schema, folder, max_bytes=1)
 
 
 @query(
     "stream_market",
-    f"{oracle_with('chain')}, {greeks_ctes()} SELECT ccy, count(*) AS contracts, {r('arg_min(cast(iv AS float), (abs(cast(strike AS float) - cast(underlying_price AS float)), seq))', 5)} AS nearest_iv FROM g GROUP BY 1",
+    f"""{oracle_with('chain', 'ticks')}, latest AS (SELECT * FROM chain QUALIFY row_number() OVER (PARTITION BY ccy, instrument_name ORDER BY seq DESC) = 1),
+{greeks_ctes(source='latest')}, {_NEAR.format(key='ccy')},
+n AS (SELECT ccy, count(*) AS contracts, {r('arg_min(cast(iv AS float), (abs(cast(strike AS float) - cast(underlying_price AS float)), seq))', 5)} AS nearest_iv FROM g GROUP BY 1),
+atm AS (SELECT ccy, arg_min(iv, (dd, seq)) AS atm_iv FROM dist JOIN bands USING (ccy) WHERE band IS NULL OR (mny <= band AND iv > 0) GROUP BY 1),
+wing AS (SELECT ccy, {_C25} - {_P25} AS skew_25d, ({_C25} + {_P25}) / 2 - {_ATM} AS butterfly_25d FROM g GROUP BY 1),
+s AS (SELECT CASE WHEN user_id % 2 = 0 THEN 'BTC' ELSE 'ETH' END AS ccy, arg_max(price, seq) AS spot_price FROM ticks WHERE instrument = 'view' GROUP BY 1),
+p AS (SELECT CASE WHEN user_id % 2 = 0 THEN 'BTC' ELSE 'ETH' END AS ccy, arg_max(price, seq) AS perp_price FROM ticks WHERE instrument = 'click' GROUP BY 1)
+SELECT ccy, contracts, nearest_iv, {r('atm_iv')} AS atm_iv, {r('skew_25d')} AS skew_25d, {r('butterfly_25d')} AS butterfly_25d,
+  CASE WHEN atm_iv = 0 AND skew_25d = 0 AND butterfly_25d = 0 THEN 'estimated' ELSE 'good' END AS quality,
+  spot_price, perp_price, {r('perp_price - spot_price')} AS basis
+FROM n JOIN atm USING (ccy) JOIN wing USING (ccy) JOIN s USING (ccy) JOIN p USING (ccy)""",
 )
 def stream_market(spark, d):
-    """Greeks and surface of each chain batch, written per batch and read back."""
-    folder = _folder(spark)
-    base, sql = VIEWS["chain"]
-    raw = _stream(configure(spark), d, base)
-    chain = spark.sql(spell(sql, "spark").replace("FROM part)", "FROM {part})"), part=raw)
-    live.write_market(chain, f"{folder}/out", f"{folder}/ckpt", ["ccy"], "seq", lambda _: NOW_MS, **ALL).awaitTermination()
-    greeks = spark.read.parquet(f"{folder}/out/options_greeks")
+    """Greeks, surface and basis from three streams, each changing from batch to batch; the
+    current ones are read back."""
+    folder, out = _folder(spark), f"{_folder(spark)}/out"
+    even = F.col("user_id") % 2 == 0
+
+    def prices(kind, column, names):
+        rows = view(spark, d, "ticks").where(F.col("instrument") == kind)
+        return rows.select("seq", "timestamp", "price", F.when(even, names[0]).otherwise(names[1]).alias(column))
+
+    chain = _in_files(view(spark, d, "chain"), "seq", f"{folder}/chain")
+    spot = _in_files(prices("view", "symbol", ("BTCUSDT", "ETHUSDT")), "seq", f"{folder}/spot")
+    perp = _in_files(prices("click", "currency", ("BTC", "ETH")), "seq", f"{folder}/perp")
+
+    def mapping():
+        return spark.createDataFrame([("BTCUSDT", "BTC"), ("ETHUSDT", "ETH")], "symbol string, currency string")
+
+    live.write_live_market(chain, spot, perp, mapping, out, f"{folder}/ckpt", ["ccy"], lambda _: NOW_MS, **ALL).awaitTermination()
+    # A contract whose newest row was filtered out has no current Greeks.
+    current = live.read_state(spark, f"{out}/state").where("kind = 'chain'").select("chain.seq")
+    greeks = live.read_latest(spark, f"{out}/options_greeks", ["ccy", "instrument_name"]).join(current, "seq", "left_semi")
     rank = F.struct(F.abs(F.col("strike") - F.col("underlying_price")), F.col("seq"))
-    out = greeks.groupBy("ccy").agg(F.count(F.lit(1)).alias("contracts"), F.min_by("iv", rank).alias("nearest_iv"))
-    return rounded(out, "nearest_iv", digits=5)
+    greeks = greeks.groupBy("ccy").agg(F.count(F.lit(1)).alias("contracts"), F.min_by("iv", rank).alias("nearest_iv"))
+    surface = live.read_latest(spark, f"{out}/vol_surface", ["ccy"]).select("ccy", "atm_iv", "skew_25d", "butterfly_25d", "quality")
+    pairs = live.read_latest(spark, f"{out}/basis", ["symbol"])
+    pairs = pairs.select(F.split("symbol", "_")[0].alias("ccy"), "spot_price", "perp_price", "basis")
+    both = rounded(greeks, "nearest_iv", digits=5).join(surface, "ccy").join(pairs, "ccy")
+    return rounded(both, "atm_iv", "skew_25d", "butterfly_25d", "basis")
+
+
+_STEP = 600_000
+
+
+@query(
+    "stream_snapshots_filled",
+    f"""{oracle_with('ticks')}, w AS (SELECT max(timestamp) - 60000 AS passed FROM ticks), b AS (SELECT instrument, min(timestamp) AS lo FROM ticks GROUP BY 1),
+sp AS (SELECT instrument, unnest(range((lo + {_STEP - 1}) // {_STEP} * {_STEP}, passed, {_STEP})) AS timestamp FROM b, w),
+s AS (SELECT instrument, timestamp, arg_max(price, seq) AS price FROM ticks GROUP BY 1, 2)
+SELECT sp.instrument AS instrument_name, sp.timestamp, s.price, sp.timestamp - s.timestamp AS age_ms FROM sp ASOF LEFT JOIN s ON sp.instrument = s.instrument AND sp.timestamp >= s.timestamp""",
+)
+def stream_snapshots_filled(spark, d):
+    """Every step up to the watermark, repeated while no quote comes, over several batches."""
+    folder = _folder(spark)
+    rows = view(spark, d, "ticks").select(F.col("instrument").alias("instrument_name"), "timestamp", "price", F.col("seq").alias("arrival"))
+    shots = keyed.filled_snapshot_stream(_in_files(rows, "timestamp", f"{folder}/in"), ["price"], step_ms=_STEP)
+    live.write_changes(shots, f"{folder}/out", f"{folder}/ckpt", "append", **ALL).awaitTermination()
+    return spark.read.parquet(f"{folder}/out").drop("batch")
+
+
+@query(
+    "stream_flush",
+    f"""{oracle_with('ticks')}, n AS (SELECT instrument, seq, row_number() OVER (PARTITION BY instrument ORDER BY seq) - 1 AS k FROM ticks)
+SELECT instrument AS instrument_name, k // 40 AS flush, count(*) AS records, min(seq) AS first_seq, max(seq) AS last_seq FROM n GROUP BY 1, 2 HAVING count(*) = 40""",
+)
+def stream_flush(spark, d):
+    """Flushes of forty rows of an instrument, across batches; what is left waits for its age."""
+    folder = _folder(spark)
+    rows = view(spark, d, "ticks").select(F.col("instrument").alias("instrument_name"), "seq", "timestamp", "price")
+    flushed = keyed.flush_stream(_in_files(rows, "seq", f"{folder}/in"), ["instrument_name"], 40, 3_600_000, "seq")
+    with keyed.rocksdb(spark):
+        query = live.write_changes(flushed, f"{folder}/out", f"{folder}/ckpt", "append", processingTime="0 seconds")
+    taken, total = {}, rows.count()
+    try:
+        while sum(taken.values()) < total:  # timers keep such a query running for ever
+            query.awaitTermination(0.2)
+            taken.update({p["batchId"]: p["numInputRows"] for p in query.recentProgress if p["numInputRows"]})
+    finally:
+        query.stop()
+    out = spark.read.parquet(f"{folder}/out").where("reason = 'rows'")
+    return out.groupBy("instrument_name", "flush").agg(
+        F.count(F.lit(1)).alias("records"), F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq")
+    )
+
+
+@query(
+    "stream_failures",
+    f"""{oracle_with('ticks')}, o AS (SELECT seq, user_id % 5 AS feed, instrument <> 'error' AS ok FROM ticks),
+x AS (SELECT *, count(*) FILTER (ok) OVER (PARTITION BY feed ORDER BY seq) AS run, max(seq) OVER (PARTITION BY feed) AS newest FROM o)
+SELECT feed, min(seq) AS first_failure, max(seq) AS last_failure, count(*) AS failures, count(*) >= 2 AS alert, max(seq) = any_value(newest) AS open FROM x WHERE NOT ok GROUP BY feed, run""",
+)
+def stream_failures(spark, d):
+    """Failure runs over several batches, those that are still open included."""
+    folder = _folder(spark)
+    rows = view(spark, d, "ticks").select("seq", (F.col("user_id") % 5).alias("feed"), (F.col("instrument") != "error").alias("ok"))
+    outcomes = _in_files(rows, "seq", f"{folder}/in")
+    keyed.write_failures(outcomes, f"{folder}/out", f"{folder}/ckpt", F.col("ok"), "seq", 2, ["feed"], **ALL).awaitTermination()
+    return live.read_state(spark, f"{folder}/out")

@@ -4,10 +4,11 @@ streaks over batches."""
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -104,6 +105,18 @@ def filled_snapshot_stream(
     ).select(key, on, "_v.*", "age_ms")
 
 
+@contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Queries that start inside keep their state in RocksDB, as timers with lists need."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 class _Buffer(StatefulProcessor):
     """Rows of a key until there are enough of them, or the first one is old enough."""
 
@@ -162,9 +175,11 @@ def flush_stream(
     many, of fewer once the first of them has waited ``max_age_ms`` of processing time.
 
     Columns: those of ``records``, flush (numbered per key from 0) and reason (rows, age).
-    Within a batch rows go in by ``order_by``.  Waiting rows are a list in the state store, to
-    which a batch only appends; a key never holds more than ``max_rows``.  Needs the RocksDB
-    state store (``spark.sql.streaming.stateStore.providerClass``).  Null keys are a key.
+    With ``order_by`` the rows that a batch brings for a key go in by it.  Waiting rows are a
+    list in the state store, to which a batch only appends; a key never holds more than
+    ``max_rows``.  Start the query inside ``rocksdb``, and with a
+    ``processingTime`` trigger: as its timers never end, nor would ``availableNow``.  Null keys
+    are a key.
     """
     key = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
     order = F.col(order_by).cast("long") if order_by else F.lit(0).cast("long")

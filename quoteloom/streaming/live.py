@@ -268,7 +268,7 @@ def live_market_batch(
         touched = spots.unionByName(perps).distinct()
         out = {
             "options_greeks": options.greeks_batch(chain, now_ms, extra=[*keys, seq]),
-            "vol_surface": surface_from_chain(moved, keys, seq, now_ms),
+            "vol_surface": surface_from_chain(moved, keys, seq, now_ms, as_float=False),
             "basis": basis.live_basis(rows(whole, SPOT), rows(whole, PERP), touched, now_ms, seq=seq),
         }
         for kind, found in out.items():

@@ -113,20 +113,13 @@ def test_silent_keys_end(spark, tmp_path):
     assert got == [(t0 + k * STEP, 1.0) for k in range(6)] + [(t0 + k * STEP, 4.0) for k in range(60, 66)]
 
 
-@pytest.fixture
-def rocksdb(spark):
-    name = "spark.sql.streaming.stateStore.providerClass"
-    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    yield
-    spark.conf.unset(name)
-
-
-def test_flush_by_rows_and_age(spark, tmp_path, rocksdb):
+def test_flush_by_rows_and_age(spark, tmp_path):
     schema = "k string, n long, v double"
     batches = [[("a", i, 0.5) for i in range(25)] + [("b", 100, None), (None, 200, 1.0)], [("a", i, 0.5) for i in range(25, 31)], [("b", 101, 1.5)]]
     stream = stream_of(spark, f"{tmp_path}/in", batches, schema)
     flushed = keyed.flush_stream(stream, ["k"], max_rows=10, max_age_ms=1, order_by="n")
-    query = live.write_changes(flushed, f"{tmp_path}/out", f"{tmp_path}/c", "append", processingTime="0 seconds")
+    with keyed.rocksdb(spark):
+        query = live.write_changes(flushed, f"{tmp_path}/out", f"{tmp_path}/c", "append", processingTime="0 seconds")
     try:
         for _ in range(120):
             if os.path.isdir(f"{tmp_path}/out"):
