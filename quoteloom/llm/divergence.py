@@ -53,8 +53,8 @@ def _terms(data: bytes) -> Iterator[list[bytes]]:
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, n, docs): partial counts, several rows a term; every group also
-    has a row without a term.  Counted in the task, so what is written is vocabularies."""
+    """(lang, source, term, n, docs): partial counts, several rows a term.  Counted in the
+    task, so what is shuffled is vocabularies."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema(COUNTED)
@@ -63,9 +63,9 @@ def term_counts(docs: DataFrame) -> DataFrame:
         def emit():
             for (lang, source), own in n.items():
                 seen = docs[lang, source]
-                terms = [None, *(t.decode() for t in own)]
-                columns = [[lang] * len(terms), [source] * len(terms), terms, [0, *own.values()], [0, *(seen[t] for t in own)]]
-                arrays = [pa.array(c, f.type) for c, f in zip(columns, schema)]
+                terms = pa.array(own, pa.binary()).cast(pa.string())
+                counts = [pa.array(own.values(), pa.int64()), pa.array(map(seen.__getitem__, own), pa.int64())]
+                arrays = [*(pa.repeat(pa.scalar(c, pa.string()), len(own)) for c in (lang, source)), terms, *counts]
                 yield from slices([pa.RecordBatch.from_arrays(arrays, schema=schema)], 50_000)
             n.clear()
             docs.clear()
@@ -85,8 +85,7 @@ def term_counts(docs: DataFrame) -> DataFrame:
                 size = 0
         yield from emit()
 
-    given = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")))
-    return given.mapInArrow(run, COUNTED)
+    return docs.mapInArrow(run, COUNTED)
 
 
 def _share(n: Column, total: Column, v: Column) -> Column:
@@ -171,21 +170,25 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int = TOP_TERMS)
     read.  A term's rows, one per source, meet in one task, as do the levels of 64 terms; a
     group never does.
     """
-    counted = staged(term_counts(docs), "terms")
-    words = counted.where(F.col("term").isNotNull())
-    kept = words.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("total")).where(F.col("docs") >= min_docs)
-    ordered = kept.repartitionByRange("lang", F.desc("total"), "term").sortWithinPartitions("lang", F.desc("total"), "term")
-    # The numbers depend on the partitions of this very run: hence written before they are used.
-    terms = staged(ordered.select("lang", "term", "total", F.monotonically_increasing_id().alias("id")), "vocabulary")
+    docs = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")))
+    # Dealt once: both aggregations read the same exchange, which has to hold the same columns.
+    words = term_counts(docs).repartition("lang", "term")
+    kept = words.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("total"), F.count("source").alias("parts"))
+    kept = kept.where((F.col("docs") >= min_docs) & (F.col("parts") > 0)).select("lang", "term", "total")
+    in_group = words.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")).where("docs > 0")
     # Most terms are rare and fall out here: the kept ones are looked up, nothing is sorted.
-    known = words.join(terms.hint("shuffle_hash"), ["lang", "term"])
-    per_group = known.groupBy("lang", "term", "source", "id", "total").agg(F.sum("n").alias("n"))
-    per_group = staged(per_group, "group-terms")
+    kept_rows = in_group.join(kept.hint("shuffle_hash"), ["lang", "term"]).select("lang", "term", "source", "n", "total")
+    kept_rows = staged(kept_rows, "group-terms")
+    ordered = kept_rows.select("lang", "term", "total").distinct().repartitionByRange("lang", F.desc("total"), "term")
+    numbered = ordered.sortWithinPartitions("lang", F.desc("total"), "term").withColumn("id", F.monotonically_increasing_id())
+    # The numbers depend on the partitions of this very run: hence written before they are used.
+    terms = staged(numbered, "vocabulary")
+    per_group = staged(kept_rows.join(terms.select("lang", "term", "id").hint("shuffle_hash"), ["lang", "term"]), "numbered")
 
     sizes = terms.groupBy("lang").agg(F.count("*").alias("v"), F.sum("total").alias("lang_total"))
     sums = per_group.groupBy("lang", "source").agg(F.sum("n").alias("group_total"))
     groups = (
-        counted.select("lang", "source").distinct().join(sizes, "lang", "left").join(sums, ["lang", "source"], "left")
+        docs.select("lang", "source").distinct().join(sizes, "lang", "left").join(sums, ["lang", "source"], "left")
         .na.fill(0, ["v", "lang_total", "group_total"])
         .withColumn("p0", _share(F.lit(0), F.col("group_total"), F.col("v")))
     )
