@@ -10,8 +10,9 @@ from quoteloom.operators import metrics, quality
 from quoteloom.plans import registry, verification
 from quoteloom.session import shared_dir
 from quoteloom.sinks import store
+from quoteloom.streaming import state
 
-from .base import NOW_MS, oracle_with, query, r, rounded, table, view
+from .base import NOW_MS, ORACLE, oracle_with, query, r, rounded, table, view
 from .ordered import _STATS
 
 CELL = ["exchange", "data_type", "symbol"]
@@ -326,3 +327,17 @@ UNION ALL SELECT exchange, data_type, symbol, 'coverage', CASE WHEN pct > 50 THE
 )
 def verification_report(spark, d):
     return verification.report(_landed(spark, d), CELL, "seq")
+
+
+@query("verification_incremental", ORACLE["verification_report"])
+def verification_incremental(spark, d):
+    """The report from summaries kept over three upserts that overlap and come out of order."""
+    landed = store.with_date(_landed(spark, d))
+    top = landed.agg(F.max("seq")).first()[0]
+    folder = f"{shared_dir(spark)}/verified-{uuid.uuid4().hex}"
+    table, summaries = f"{folder}/table", f"{folder}/summaries"
+    for version, (a, b) in enumerate(((0.0, 0.5), (0.7, 1.1), (0.4, 0.8))):
+        batch = landed.where((F.col("seq") >= top * a) & (F.col("seq") < top * b))
+        store.upsert(batch, table, keys=["seq"], order_by=["seq"])
+        verification.refresh(batch, table, summaries, version, CELL, "seq")
+    return verification.report_from(state.read(spark, summaries), CELL)
