@@ -71,22 +71,27 @@ def multiprobe_hashing(spark, sf_dir):
     return neighbours.nearest(rows, rows.where("vec_id % 20 = 0"))
 
 
-# Independent of the masks: 13 places with 2 substitutions always keep a run of four words.
+# Independent of the masks: 13 places with 2 substitutions always keep a run of four words;
+# shorter items are tried wherever a single word agrees.
 OVERLAPS_SQL = r"""
 WITH dt AS (SELECT doc_id, unnest(w) AS t, generate_subscripts(w, 1) AS p FROM (SELECT doc_id,
     list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM documents)),
 it AS (SELECT item_id, unnest(w) AS t, generate_subscripts(w, 1) AS p, len(w) AS n FROM (SELECT item_id,
-    list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM benchmark) WHERE len(w) >= 5),
+    list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM benchmark WHERE item_id IS NOT NULL) WHERE len(w) >= 5),
 dg AS (SELECT doc_id, p, t || ' ' || lead(t, 1) OVER o || ' ' || lead(t, 2) OVER o || ' ' || lead(t, 3) OVER o AS g
        FROM dt WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
 ig AS (SELECT item_id, p, t || ' ' || lead(t, 1) OVER o || ' ' || lead(t, 2) OVER o || ' ' || lead(t, 3) OVER o AS g
        FROM it WINDOW o AS (PARTITION BY item_id ORDER BY p)),
-c AS (SELECT DISTINCT doc_id, item_id, dg.p - ig.p AS d FROM dg JOIN ig USING (g)),
+c AS (SELECT doc_id, item_id, dg.p - ig.p AS d FROM dg JOIN ig USING (g)
+    UNION SELECT doc_id, item_id, dt.p - it.p FROM dt JOIN it USING (t) WHERE it.n < 13),
+few AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM documents),
+tiny AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM benchmark WHERE item_id IS NOT NULL),
 m AS (SELECT c.doc_id, c.item_id, c.d, it.p, it.n, CASE WHEN dt.t IS NULL THEN 0 ELSE 1 END AS same
       FROM c JOIN it USING (item_id) LEFT JOIN dt ON dt.doc_id = c.doc_id AND dt.p = it.p + c.d AND dt.t = it.t),
 s AS (SELECT *, sum(same) OVER (PARTITION BY doc_id, item_id, d ORDER BY p ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) AS k FROM m)
 SELECT doc_id, item_id, max(k)::INTEGER AS matched, count(*) AS windows, min(p + d - 1)::BIGINT AS first_word
-FROM s WHERE p <= greatest(n - 12, 1) AND k >= CASE WHEN n < 13 THEN n ELSE 11 END GROUP BY doc_id, item_id"""
+FROM s WHERE p <= greatest(n - 12, 1) AND k >= (4 * least(n, 13) + 4) // 5 GROUP BY doc_id, item_id
+UNION ALL SELECT doc_id, item_id, any_value(len(w))::INTEGER, count(*), 0::BIGINT FROM few JOIN tiny USING (w) WHERE len(w) BETWEEN 1 AND 4 GROUP BY doc_id, item_id"""
 
 
 @query("op2_spaced_seeds", OVERLAPS_SQL)
