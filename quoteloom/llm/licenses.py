@@ -9,6 +9,8 @@ inside "lesser general public license version 3" is no finding of its own.
 
 from __future__ import annotations
 
+import bisect
+import heapq
 import itertools
 import re
 import re._parser as parser
@@ -172,16 +174,35 @@ _LITERALS = {x: tuple(k for k in _STEMS if k in x) for rule in _RULES for litera
 FOUND = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
 
 
+class _Kept:
+    """Kept intervals by their start, with the furthest end up to each."""
+
+    def __init__(self):
+        self.spans, self.starts, self.ends = [], [], []
+
+    def covers(self, start: int, end: int) -> bool:
+        at = bisect.bisect_right(self.starts, start)
+        return at > 0 and self.ends[at - 1] >= end
+
+    def add(self, spans: list[tuple[int, int]]) -> None:
+        self.spans = list(heapq.merge(self.spans, spans))
+        self.starts = [a for a, _ in self.spans]
+        self.ends = list(itertools.accumulate((b for _, b in self.spans), max))
+
+
 def scan_text(text: str | None) -> tuple:
     """(n_words, n_base, first_word, last_word, base_labels, labels, score)."""
     words = (text or "").encode().translate(_WORDS).split()
     joined = b" " + b" ".join(words) + b" "
     places, base = [], set()
     for pattern, label in _BASE:
+        at, blanks = 0, 0
         for m in pattern.finditer(joined):
-            places.append(joined.count(b" ", 0, m.start()) - 1)
+            blanks += joined.count(b" ", at, m.start())
+            at = m.start()
+            places.append(blanks - 1)
             base.add(label)
-    kept, labels, score = [], set(base), 0.9 if base else 0.0
+    kept, labels, score = _Kept(), set(base), 0.9 if base else 0.0
     present: dict[tuple[bytes, ...], bool] = {}
     missing = {stem for stem in _STEMS if stem not in joined}
     for rule in _RULES:
@@ -192,11 +213,12 @@ def scan_text(text: str | None) -> tuple:
             if not hit:
                 break
         else:
-            for m in rule.pattern.finditer(joined):
-                if not any(a <= m.start() and m.end() <= b for a, b in kept):
-                    kept.append(m.span())
-                    labels.add(rule.label)
-                    score = max(score, rule.confidence)
+            # Matches of one rule don't overlap, so they are kept or suppressed together.
+            fresh = [m.span() for m in rule.pattern.finditer(joined) if not kept.covers(*m.span())]
+            if fresh:
+                kept.add(fresh)
+                labels.add(rule.label)
+                score = max(score, rule.confidence)
     first, last = (min(places), max(places)) if places else (None, None)
     return len(words), len(places), first, last, ",".join(sorted(base)), ",".join(sorted(labels)), score
 
