@@ -60,7 +60,9 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     counts = Counter(words)
     slots = np.fromiter((zlib.crc32(w.encode()) % WORD_SPACE for w in counts), np.int64, len(counts))
     values = np.log1p(np.fromiter(counts.values(), np.float64, len(counts)))
-    values /= max(1e-12, np.sqrt(values @ values))
+    slots, place = np.unique(slots, return_inverse=True)  # words that share a slot are one feature
+    values = np.bincount(place, values, len(slots))
+    values = values / max(1e-12, np.sqrt(values @ values))
     bins = np.clip(np.array(_stats(raw, lines, words, counts)) * BINS, 0, BINS - 1).astype(np.int64)
     return np.concatenate([slots, WORD_SPACE + BINS * np.arange(len(STATS)) + bins]), np.concatenate([values, np.full(len(STATS), 0.5)])
 
@@ -137,9 +139,10 @@ def train(
 
     Of each class the rows with the smallest hashed ids are taken and weighted to the class's
     share of all such labels.  The sampled labels (``max_rows`` ids) are broadcast, so texts
-    aren't shuffled; their features come to the driver: numbers, at most 2**16 a text.  Null
-    ids and labels are left out, an id with both labels counts as 0.  With one class or none
-    the score is that class's smoothed share everywhere.
+    aren't shuffled but for those of sampled ids; their features come to the driver: one row
+    an id, at most ``SPACE`` numbers each.  Null ids and labels are left out, an id with both
+    labels counts as 0, of several texts of an id the least one counts.  With one class or none the score
+    is that class's smoothed share everywhere.
     """
     usable = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y"))
     usable = usable.dropna().where(F.col("y").isin(0, 1) & ~held_out("doc_id")).groupBy("doc_id").agg(F.min("y").alias("y"))
@@ -156,6 +159,7 @@ def train(
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "y", "index", "value"])
 
     texts = keyed_texts(docs, id_col, text_col).join(F.broadcast(picked), "doc_id")
+    texts = texts.groupBy("doc_id", "y").agg(F.min("text").alias("text"))
     sampled = texts.mapInArrow(run, "doc_id long, y int, index array<long>, value array<double>").toArrow()
     sampled = sampled.sort_by([("doc_id", "ascending")])
     y = sampled.column("y").to_numpy().astype(float)
