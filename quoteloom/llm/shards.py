@@ -81,7 +81,9 @@ def write_shards(
     size whatever the documents are, and a task holds one shard at a time.  A file appears
     under its name only when it is whole and has the same bytes whenever it is made, so a task
     that runs twice, or a second call over the same folder after a failure, leaves finished
-    shards as they are.  ``directory`` must be on a file system that all executors reach (a
+    shards as they are; a file of another corpus or key has another checksum and is replaced.
+    An id that does not fit ``width`` bytes is an error.  Pieces that repeat a place of a
+    sequence are written once; places without a piece hold ``pad_id``.  ``directory`` must be on a file system that all executors reach (a
     URI that pyarrow's file systems know).  Without sequences nothing but an empty manifest
     is written.
     """
@@ -105,7 +107,10 @@ def write_shards(
         for batch in slices(batches, 256):
             at = slots(batch.column("sequence_id").to_numpy(), n, key)
             for slot, offset, raw in zip(at.tolist(), batch.column("offset").to_pylist(), batch.column("ids").to_pylist()):
-                ids = np.frombuffer(raw, "<u4").astype(dtype)
+                ids = np.frombuffer(raw, "<u4")
+                if len(ids) and int(ids.max()) >> (8 * width):
+                    raise ValueError(f"token id {ids.max()} does not fit {width} bytes")
+                ids = ids.astype(dtype)
                 held.append((slot // per_shard, slot % per_shard, offset, len(ids), ids.tobytes()))
                 size += ids.nbytes
             if size >= BLOCK_BYTES:
@@ -118,15 +123,25 @@ def write_shards(
         store, base = fs.FileSystem.from_uri(directory)
         unpack, shard, records = zstandard.ZstdDecompressor(), None, None
 
+        def checksum(path: str) -> int:
+            crc = 0
+            with store.open_input_stream(path) as file:
+                while some := file.read(1 << 20):
+                    crc = zlib.crc32(some, crc)
+            return crc
+
         def close():
             raw = records.tobytes()
-            name = f"shard-{shard:09d}.bin"
-            if store.get_file_info(f"{base}/{name}").size != len(raw):
+            name, crc = f"shard-{shard:09d}.bin", zlib.crc32(raw)
+            there = store.get_file_info(f"{base}/{name}")
+            if there.size != len(raw) or checksum(f"{base}/{name}") != crc:
                 part = f"{base}/{name}.{uuid.uuid4().hex}"
                 with store.open_output_stream(part) as out:
                     out.write(raw)
+                if there.type == fs.FileType.File:
+                    store.delete_file(f"{base}/{name}")
                 store.move(part, f"{base}/{name}")
-            row = (shard, shard * per_shard, len(records), len(raw), zlib.crc32(raw), name)
+            row = (shard, shard * per_shard, len(records), len(raw), crc, name)
             return pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(row, arrow_schema(MANIFEST))], schema=arrow_schema(MANIFEST))
 
         for batch in batches:
