@@ -341,3 +341,12 @@ def verification_incremental(spark, d):
         store.upsert(batch, table, keys=["seq"], order_by=["seq"])
         verification.refresh(batch, table, summaries, version, CELL, "seq")
     return verification.report_from(state.read(spark, summaries), CELL)
+
+
+@query(
+    "admission_check",
+    f"""{oracle_with('ticks')}, f AS (SELECT user_id, min(seq) AS first FROM ticks GROUP BY 1), k AS (SELECT user_id, first, row_number() OVER (ORDER BY first) AS n FROM f)
+SELECT seq, user_id, count(*) FILTER (seq = first) OVER (ORDER BY seq) AS keys_seen, n <= 50 AS admitted FROM ticks JOIN k USING (user_id)""",
+)
+def admission_check(spark, d):
+    return metrics.admission_check(view(spark, d, "ticks").select("seq", "user_id"), "user_id", "seq", 50, 1000)

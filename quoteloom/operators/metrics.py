@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .asof import asof_join
-from .blocks import BLOCK_MS, BLOCK_ROWS, HOUR_MS, block_of
+from .blocks import BLOCK_MS, BLOCK_ROWS, HOUR_MS, block_of, carried, inside, join_keys, row_numbers, upto
 from .gaps import detect_gaps, forward_fill
 from .tables import dedupe
 
@@ -153,3 +153,24 @@ def filled_snapshots(
         *keys, F.explode(F.sequence(low, high, F.lit(step_ms).cast("long"))).alias(on)
     )
     return asof_join(spine, df, on, keys, "backward", None, columns, seq, block_ms=block_ms)
+
+
+def admission_check(df: DataFrame, key: str, order_by: str, limit: int, width: int = BLOCK_ROWS) -> DataFrame:
+    """What a cap of ``limit`` keys would have admitted: rows with ``keys_seen``, the distinct
+    keys up to the row, and ``admitted``, whether its key is among the first ``limit`` to
+    arrive.  Nothing is dropped.
+
+    First arrivals come from one aggregation per key; the running count is that of the blocks
+    before plus that inside the block.  ``order_by`` is a unique integer; a null key is a key.
+    """
+    first = df.groupBy(key).agg(F.min(order_by).alias("_first"))
+    ranked = row_numbers(first, [], "_first", width).withColumnRenamed("_rn", "_rank")
+    marked = join_keys(df, ranked, [key]).withColumns(
+        {"_new": (F.col(order_by) == F.col("_first")).cast("long"), "_block": block_of(F.col(order_by), width)}
+    )
+    sizes = marked.groupBy("_block").agg(F.sum("_new").alias("_n"))
+    earlier = carried(sizes, [], {"_before": ("sum", "_n")})
+    inner = F.sum("_new").over(upto(inside([], order_by)))
+    counted = join_keys(marked.withColumn("_inner", inner), earlier, [], plain=("_block",))
+    seen = F.col("_inner") + F.coalesce("_before", F.lit(0))
+    return counted.select(*df.columns, seen.cast("long").alias("keys_seen"), (F.col("_rank") < limit).alias("admitted"))

@@ -201,3 +201,36 @@ def test_null_group_keys(spark):
     listed = df.withColumns({"expiration_timestamp": F.lit(1_767_225_600_000), "open_interest": F.lit(1.0), "instrument_name": F.col("seq").cast("string"), "option_type": F.lit("call")})
     found = options.main_contracts(listed, F.col("underlying_price"), "seq", ["k"]).collect()
     assert {r.k: r.atm_strike for r in found} == {None: 100.0, "a": 100.0}
+
+
+def test_any_knots_without_python(spark):
+    import numpy as np
+
+    from quoteloom.functions import spline
+
+    rng = np.random.default_rng(3)
+    rows = [([], [], 1.0), ([2.0], [0.3], 9.0), ([1.0, 2.0], [0.1, 0.4], 1.5), ([1.0, 3.0], [0.1, 0.4], None), (None, None, 1.0)]
+    for n in (3, 4, 8, 20):
+        for t in (-1.0, 0.4, 5.0, 11.0):
+            x = np.sort(rng.choice(np.arange(0.0, 10.0, 0.25), n, replace=False))
+            rows.append((x.tolist(), rng.random(n).tolist(), t))
+        rows.append((x.tolist(), rng.random(n).tolist(), float(x[1])))
+    df = spark.createDataFrame(rows, "x array<double>, y array<double>, t double")
+    for kind in ("const", "cubic"):
+        out = df.withColumn("v", spline.any_knots(F.col("x"), F.col("y"), F.col("t"), kind))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan
+        for x, y, t, v in out.collect():
+            if not x:
+                assert v == 0.0
+            elif len(x) == 1:
+                assert v == y[0]
+            elif t is None:
+                assert v is None
+            elif kind == "const" and not x[0] < t < x[-1]:
+                assert v == (y[0] if t <= x[0] else y[-1])
+            else:
+                m = spline.curvature_weights(np.array(x)) @ np.array(y)
+                i = min(max(int(np.searchsorted(x, t)) - 1, 0), len(x) - 2)
+                want = spline._segment(x[i], x[i + 1], y[i], y[i + 1], m[i], m[i + 1], t)
+                assert abs(v - want) < 1e-9 * max(1, abs(want))

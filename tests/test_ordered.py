@@ -224,3 +224,15 @@ def test_null_keys_match_in_asof_joins(spark, direction, tolerance):
     late = direction == "forward"
     want = {(None, 1000): 2.0 if late else 1.0, ("a", 1000): 4.0 if late else 3.0, ("b", 1000): None, (None, None): None}
     assert {(r.k, r.timestamp): r.v for r in got} == want
+
+
+def test_admission_check(spark):
+    rng = np.random.default_rng(4)
+    keys = [None if k == 7 else f"k{k}" for k in (rng.zipf(1.4, 400) % 40).tolist()]
+    rows = [(int(i) * 3, k) for i, k in enumerate(keys)]
+    got = metrics.admission_check(frame(spark, rows, "seq long, key string"), "key", "seq", 9, 50).collect()
+    seen, order = [], {}
+    for i, k in rows:
+        order.setdefault(k, len(order))
+        seen.append((i, k, len(order), order[k] < 9))
+    assert sorted((tuple(r) for r in got), key=lambda r: r[0]) == seen
