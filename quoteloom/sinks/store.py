@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import re
-import urllib.parse
 import uuid
 from functools import reduce
 
@@ -350,11 +349,11 @@ def footers(spark: SparkSession, path: str) -> DataFrame:
     """Rows per file, or the error that kept its footer from being read.
 
     Spark's reader counts rows from the footers, on any file system that it can list, and
-    passes over what it can't read.  Only files without a counted row (empty or broken ones)
-    are then opened whole to tell which; their names pass through the driver, as the names of
-    all files do when they are listed.
+    passes over what it can't read.  Files without a counted row (empty or broken ones) are
+    then opened where they lie in the join, by ranged reads of the footer alone, on the file
+    systems that pyarrow knows; another one is an error.  Neither names nor contents pass
+    through the driver or make up a row.
     """
-    files = files_of(spark, path).select("path")
     counted = (
         spark.read.schema("_none int")
         .options(ignoreCorruptFiles=True, recursiveFileLookup=True, pathGlobFilter="*.parquet")
@@ -362,30 +361,39 @@ def footers(spark: SparkSession, path: str) -> DataFrame:
         .groupBy(F.col("_metadata.file_path").alias("path"))
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    known = files.join(counted, "path", "left")
-    silent = [r["path"] for r in known.filter(F.col("rows").isNull()).select("path").toLocalIterator()]
-    good = known.filter(F.col("rows").isNotNull()).withColumn("error", F.lit(None).cast("string"))
-    if not silent:
-        return good
 
     def check(batches):
-        import io
+        from urllib.parse import unquote, urlsplit
 
-        import pandas as pd
+        import pyarrow as pa
+        from pyarrow import fs
         from pyarrow import parquet as pq
 
+        stores = {}
+
+        def store_of(parts):
+            root = f"{'s3' if parts.scheme in ('s3a', 's3n') else parts.scheme}://{parts.netloc}/"
+            if root not in stores:
+                stores[root] = fs.FileSystem.from_uri(root)
+            return stores[root]
+
         for batch in batches:
-            out = []
-            for file, content in zip(batch["path"], batch["content"]):
+            rows, errors = batch.column("rows").to_pylist(), [None] * batch.num_rows
+            for at, (file, known) in enumerate(zip(batch.column("path").to_pylist(), rows)):
+                if known is not None:
+                    continue
+                parts = urlsplit(file)
+                store, base = store_of(parts)
                 try:
-                    out.append((file, pq.ParquetFile(io.BytesIO(content)).metadata.num_rows, None))
+                    with store.open_input_file(base.rstrip("/") + unquote(parts.path)) as source:
+                        rows[at] = pq.read_metadata(source).num_rows
                 except Exception as exc:  # noqa: BLE001 - the failure is the result
-                    out.append((file, 0, type(exc).__name__))
-            yield pd.DataFrame(out, columns=["path", "rows", "error"])
+                    rows[at], errors[at] = 0, type(exc).__name__
+            columns = [batch.column("path"), pa.array(rows, pa.int64()), pa.array(errors, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["path", "rows", "error"])
 
-    opened = spark.read.format("binaryFile").load([urllib.parse.unquote(p) for p in silent])
-    opened = opened.select(F.col("_metadata.file_path").alias("path"), "content")
-    return good.unionByName(opened.mapInPandas(check, "path string, rows long, error string"))
+    found = files_of(spark, path).select("path").join(counted, "path", "left").select("path", "rows")
+    return found.mapInArrow(check, "path string, rows long, error string")
 
 
 def file_checks(spark: SparkSession, path: str) -> DataFrame:

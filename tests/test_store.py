@@ -169,6 +169,20 @@ def test_unreadable_and_epoch_zero_files(spark, tmp_path):
     assert (status.status, status.total_rows, status.errors) == ("ERROR", 3, 2)
 
 
+def test_footers_by_ranged_reads(spark, tmp_path):
+    """A broken file beyond 2 GB, which no row could hold, an empty table's file, odd folder names."""
+    whole, none = tmp_path / "exchange=a b" / "whole", tmp_path / "date=50%" / "none"
+    spark.range(7).coalesce(1).write.parquet(str(whole))
+    spark.range(7).filter("id < 0").coalesce(1).write.parquet(str(none))
+    with open(tmp_path / "huge.parquet", "wb") as f:
+        f.truncate(3 << 30)  # sparse, takes no disk
+    found = store.footers(spark, str(tmp_path))
+    got = sorted((r.path.rpartition("/")[2] == "huge.parquet", r.rows, r.error) for r in found.collect())
+    assert [x[:2] for x in got] == [(False, 0), (False, 7), (True, 0)]
+    assert [x[2] is None for x in got] == [True, True, False]
+    assert "content:" not in found._jdf.queryExecution().sparkPlan().toString()  # as read from the files
+
+
 def test_incremental_plan_skips_current(spark):
     universe = spark.createDataFrame([("new",), ("old",), ("done",)], "symbol string")
     now = T0 + 10 * store.DAY_MS
