@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -32,14 +33,20 @@ BLOCK = 1 << 15
 SKETCH = 128
 # Near copies by similarity: shingles of five words, and how far apart the fingerprints of
 # sets with that similarity may lie: of 624,000 simulated pairs at 0.8 none lay further than
-# 24 (10 further than 22), but of sets of four and five shingles 4 of 48,000 did.
+# 24 (10 further than 22), but of sets of four and five shingles 4 of 48,000 did.  So sets of
+# at most ``SMALL`` shingles meet whatever their fingerprints are.
 SIMILAR_WORDS = 5
 SIMILARITY = 0.8
 SIMILAR_RADIUS = 24
+SMALL = 16
+# Pairs of neighbouring ranges by which sets meet at all: every one, or, for sets of so many
+# shingles that nearly all ranges are filled, the first ``FEW``.  At 0.8 a pair agrees in such
+# sets with a chance of 0.64, so 24 all differ in 2 of 10**11 pairs of sets.
+FEW, FILLED = 24, 256
 # How far below the similarity a sketch still makes a candidate: five standard errors.
 MARGIN = 0.18
 # Bands within that factor of size, and classes in a chunk, for sketches and for whole sets.
-SKETCH_BANDS, SKETCH_CHUNK_ROWS = 4, 1 << 13
+SKETCH_BANDS, SKETCH_CHUNK_ROWS = 4, 1 << 12
 SET_BANDS, SET_CHUNK_ROWS = 2, 1 << 10
 
 
@@ -100,6 +107,22 @@ def resemblance(sketch: np.ndarray, others: np.ndarray) -> np.ndarray:
     return ((sketch == others) & (others != 0)).sum(axis=1) / np.maximum(1, filled)
 
 
+def meeting_keys(sketch: np.ndarray, shingles: int) -> np.ndarray:
+    """Names of the pairs of ranges in a sketch (32 bits a range) that hold anything.
+
+    If more than half of the ranges that either of two sets fills agree, so does a pair of
+    ranges with something in it: a differing range spoils one pair, an agreeing one stands in
+    a pair with at most one other.
+    """
+    pairs = sketch.astype(np.uint64).reshape(-1, 2)[: FEW if shingles >= FILLED else None]
+    code = pairs[:, 0] << np.uint64(32) | pairs[:, 1]
+    at = np.flatnonzero(code)
+    mixed = code[at] + (at.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ mixed >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed = (mixed ^ mixed >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return (mixed ^ mixed >> np.uint64(31)).view(np.int64)
+
+
 def fingerprints(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and fp of every row; a null text counts as empty."""
     schema = arrow_schema("doc_id long, fp long")
@@ -273,26 +296,34 @@ def _packed(rows, column: str, kind: str) -> list[np.ndarray]:
     return [np.frombuffer(x, kind) for x in rows.column(column).to_pylist()]
 
 
-def _candidates(table: pa.Table, batch: pa.RecordBatch, radius: int, floor: float) -> Iterator[tuple[np.ndarray, ...]]:
-    """(probe, member, resemblance) of the pairs of a batch and a chunk whose fingerprints are
-    near and whose sketches resemble each other by ``floor`` or more, probe by probe."""
+def _candidates(table: pa.Table, batch: pa.RecordBatch, radius: int, floor: float, similarity: float) -> Iterator[tuple[np.ndarray, ...]]:
+    """(probe, member, resemblance) of the pairs of a batch and a chunk whose sizes allow the
+    similarity, whose fingerprints are near or whose sets are small, and whose sketches
+    resemble each other by ``floor`` or more, probe by probe."""
     fps, names, sketches = table.column("fp").to_numpy().view(np.uint64), table.column("id").to_numpy(), np.stack(_packed(table, "sketch", "u1"))
     asked, own, mine = batch.column("fp").to_numpy().view(np.uint64), batch.column("id").to_numpy(), np.stack(_packed(batch, "sketch", "u1"))
+    sizes, counts = table.column("n").to_numpy(), batch.column("n").to_numpy()
     for at in range(0, len(asked), 128):
         near = np.bitwise_count(asked[at : at + 128, None] ^ fps[None, :]) <= radius
+        here = counts[at : at + 128]
+        if (here <= SMALL).any():
+            near |= (here <= SMALL)[:, None] & (sizes <= SMALL / similarity)[None, :]
         p, h = np.nonzero(near & (own[at : at + 128, None] != names[None, :]))
+        a, b = here[p], sizes[h]
+        fits = np.minimum(a, b) >= similarity * np.maximum(a, b) - 1e-6
+        p, h = p[fits], h[fits]
         likely = np.concatenate([resemblance(mine[at + p[k : k + BLOCK]], sketches[h[k : k + BLOCK]]) for k in range(0, max(1, len(p)), BLOCK)])
         good = likely >= floor
         if good.any():
             yield at + p[good], h[good], likely[good]
 
 
-def _paired(table: pa.Table, probes: Iterator[pa.RecordBatch], radius: int, floor: float) -> Iterator[pa.RecordBatch]:
+def _paired(table: pa.Table, probes: Iterator[pa.RecordBatch], radius: int, floor: float, similarity: float) -> Iterator[pa.RecordBatch]:
     """The classes of one chunk and of its probes that are in any candidate pair, one by one."""
     names, seen = table.column("id").to_numpy(), np.zeros(table.num_rows, bool)
     for batch in probes:
         own, paired = batch.column("id").to_numpy(), np.zeros(batch.num_rows, bool)
-        for p, h, _ in _candidates(table, batch, radius, floor):
+        for p, h, _ in _candidates(table, batch, radius, floor, similarity):
             paired[p], seen[h] = True, True
         yield pa.RecordBatch.from_arrays([pa.array(own[paired])], names=["id"])
     yield pa.RecordBatch.from_arrays([pa.array(names[seen])], names=["id"])
@@ -312,7 +343,7 @@ def _similar_links(table: pa.Table, probes: Iterator[pa.RecordBatch], radius: in
     group = np.arange(len(names))
     for batch in probes:
         own, mine, out = batch.column("id").to_numpy(), _packed(batch, "hashes", "<u8"), []
-        for ps, hs, likely in _candidates(table, batch, radius, floor):
+        for ps, hs, likely in _candidates(table, batch, radius, floor, similarity):
             for p in np.unique(ps):
                 a, b = np.searchsorted(ps, p), np.searchsorted(ps, p, "right")
                 joined = []
@@ -327,13 +358,28 @@ def _similar_links(table: pa.Table, probes: Iterator[pa.RecordBatch], radius: in
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
 
 
-def _banded(rows: DataFrame, similarity: float, split: int) -> DataFrame:
-    """Rows with ``n`` dealt to bands of size: at home in their own, and visiting it and the
-    ``split`` next ones, which hold all larger sets that can have the similarity."""
+def _gatherings(classes: DataFrame) -> DataFrame:
+    """id and root of every class that shares a key with another: what keys join, directly or
+    over other classes, has one root.  A key hands on links to its smallest class only."""
+    keyed = classes.select("id", F.explode("keys").alias("key"))
+    least = keyed.groupBy("key").agg(F.min("id").alias("v"), F.max("id").alias("most")).where("v <> most").drop("most")
+    roots = staged(connected(keyed.join(least, "key").select(F.col("id").alias("u"), "v")), "gatherings")
+    return roots.select(F.col("u").alias("id"), "root").unionByName(roots.select(F.col("root").alias("id"), "root").distinct())
+
+
+def _dealt(rows: DataFrame, similarity: float, split: int, chunk_rows: int) -> DataFrame:
+    """Rows (root, n and more) dealt to cells: whole gatherings of at most ``chunk_rows`` rows,
+    several to a cell, and larger ones by bands of size.  There a row is at home in its own
+    band, and visits it and the ``split`` next ones, which hold all larger sets that can have
+    the similarity."""
+    cells = max(1, -(-rows.count() // chunk_rows))
+    sizes = rows.groupBy("root").agg((F.count("*") <= chunk_rows).alias("whole"))
     band = F.floor(F.log(F.greatest(F.lit(1), F.col("n"))) / (-math.log(similarity) / split) + 1e-9)
-    to = F.concat(F.array(F.lit(-1)), F.sequence(F.lit(0), F.lit(split)))
-    dealt = rows.withColumn("band", band).withColumn("up", F.explode(to))
-    return dealt.withColumns({"cell": F.col("band") + F.greatest("up", F.lit(0)), "home": F.col("up") < 0}).drop("band", "up", "n")
+    to = F.concat(F.array(F.lit(-1)), F.sequence(F.lit(0), F.when(F.col("whole"), 0).otherwise(split)))
+    visits = rows.join(sizes, "root").withColumn("up", F.explode(to))
+    banded = F.xxhash64("root", band + F.greatest("up", F.lit(0)))
+    cell = F.when(F.col("whole"), F.pmod(F.xxhash64("root"), F.lit(cells))).otherwise(banded)
+    return visits.withColumns({"cell": cell, "home": F.col("up") < 0}).drop("root", "whole", "up")
 
 
 def similar_documents(
@@ -342,42 +388,49 @@ def similar_documents(
 ) -> DataFrame:
     """doc_id and component_id of every row, linked where shingle sets resemble each other.
 
-    Two texts link if their fingerprints differ in at most ``radius`` bits and the Jaccard
-    similarity of their shingle sets is ``similarity`` or more.  Candidates are pairs whose
-    sketches give ``MARGIN`` less than that; only classes in one of them have their sets made
-    and sent, and a link needs the sets themselves.  Sets of such similarity differ in
-    size by that factor at most, so classes meet in bands of size (see ``_banded``); at this
-    radius the bounds of a vantage-point tree rule out nothing.  Empty texts are one class;
-    null ids and repeated rows as in ``near_duplicates``.
+    Two texts link if their fingerprints differ in at most ``radius`` bits (or one set is
+    small) and the Jaccard similarity of their shingle sets is ``similarity`` or more.  At
+    this radius the bounds of a vantage-point tree rule out nothing, so classes are first
+    gathered by what their sketches share (``meeting_keys``): most share nothing and are done,
+    and only members of one gathering meet.  Candidates are pairs whose sketches give
+    ``MARGIN`` less than the similarity; only classes in one of them have their sets made and
+    sent, and a link needs the sets themselves.  A gathering that is too large for one cell is
+    cut into bands of size (``_dealt``).  Empty texts are one class; null ids and repeated
+    rows as in ``near_duplicates``.
     """
-    look, kinds = "row long, doc_id long, id long, fp long, n long, sketch binary", "id long, fp long, n long, sketch binary, hashes binary"
+    look = "row long, doc_id long, id long, fp long, n long, sketch binary, keys array<long>"
+    kinds = "root long, id long, fp long, n long, sketch binary, hashes binary"
     floor = similarity - MARGIN
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 256):
             found = [portrait(t, words) for t in batch.column("text").to_pylist()]
-            short = [(*p[:3], np.frombuffer(p[3], "<u4").astype("u1").tobytes()) for p in found]  # the lowest bytes
+            sketches = [np.frombuffer(p[3], "<u4") for p in found]
+            # Sketches go on with the lowest bytes.
+            short = [(*p[:3], s.astype("u1").tobytes(), meeting_keys(s, p[2])) for p, s in zip(found, sketches)]
             columns = [batch.column("row"), batch.column("doc_id"), *zip(*short)]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow_schema(look))], schema=arrow_schema(look))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 256):
             hashes = [shingle_set(list(shingle_digests(t, words))).astype("<u8").tobytes() for t in batch.column("text").to_pylist()]
-            columns = [*(batch.column(c) for c in ("id", "fp", "n", "sketch")), pa.array(hashes, pa.binary())]
+            columns = [*(batch.column(c) for c in ("root", "id", "fp", "n", "sketch")), pa.array(hashes, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, schema=arrow_schema(kinds))
 
     texts = keyed_texts(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     texts = staged(texts.withColumn("row", F.monotonically_increasing_id()), "texts")
     marked = staged(texts.mapInArrow(describe, look), "portraits")
     # All rows of a class have the same set, so any of them will do.
-    classes = marked.groupBy("id").agg(F.min("doc_id").alias("least"), *(F.min(c).alias(c) for c in ("row", "fp", "n", "sketch")))
+    classes = marked.groupBy("id").agg(F.min("doc_id").alias("least"), *(F.min(c).alias(c) for c in ("row", "fp", "n", "sketch", "keys")))
     classes = staged(classes, "classes")
-    dealt = _banded(classes.select("id", "fp", "n", "sketch"), similarity, SKETCH_BANDS)
-    paired = scan(dealt.where("home").drop("home"), dealt.drop("home"), SKETCH_CHUNK_ROWS, "id", lambda t, p: _paired(t, p, radius, floor), "id long")
-    paired = staged(paired.distinct(), "paired")
-    sets = classes.join(paired, "id").drop("least").join(texts.select("row", "text"), "row").mapInArrow(gather, kinds)
-    dealt = _banded(staged(sets, "sets"), similarity, SET_BANDS)
-    found = scan(dealt.where("home").drop("home"), dealt.drop("home"), SET_CHUNK_ROWS, "id", lambda t, p: _similar_links(t, p, radius, floor, similarity), "u long, v long")
+    gathered = staged(classes.drop("least", "keys").join(_gatherings(classes), "id"), "gathered")
+    dealt = _dealt(gathered.drop("row"), similarity, SKETCH_BANDS, SKETCH_CHUNK_ROWS)
+    meet = partial(_paired, radius=radius, floor=floor, similarity=similarity)
+    paired = staged(scan(dealt.where("home").drop("home"), dealt.drop("home"), SKETCH_CHUNK_ROWS, "id", meet, "id long").distinct(), "paired")
+    sets = staged(gathered.join(paired, "id").join(texts.select("row", "text"), "row").mapInArrow(gather, kinds), "sets")
+    dealt = _dealt(sets, similarity, SET_BANDS, SET_CHUNK_ROWS)
+    meet = partial(_similar_links, radius=radius, floor=floor, similarity=similarity)
+    found = scan(dealt.where("home").drop("home"), dealt.drop("home"), SET_CHUNK_ROWS, "id", meet, "u long, v long")
     roots = connected(found).withColumnRenamed("u", "id")
     rooted = classes.select("id", "least").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))

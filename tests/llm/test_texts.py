@@ -361,6 +361,32 @@ def test_similar_documents_with_repeats(spark, texts):
     assert {r.doc_id: r.component_id for r in got} == {k: k - k % 2 for k, _ in rows}
 
 
+def test_similar_sets_of_every_size(spark, texts, monkeypatch):
+    """Sets of a few shingles, whose fingerprints may lie far apart, groups of copies that fill
+    cells of their own, and texts around one passage, against all pairs."""
+    monkeypatch.setattr(simhash, "SKETCH_CHUNK_ROWS", 8)
+    monkeypatch.setattr(simhash, "SET_CHUNK_ROWS", 8)
+    rng, rows = random.Random(23), []
+    for n in [8, 9, 9, 10, 12, 16, 20, 24, 30] * 12:
+        words = edited(rng, n, 0)[0].split()
+        rows += [" ".join(words), " ".join(words[:-1]), " ".join([*words, "y"])]
+    passage = edited(rng, 60, 0)[0]
+    rows += [f"{edited(rng, rng.choice([20, 80]), 0)[0]} {passage}" for _ in range(30)]
+    base = edited(rng, 300, 0)[0].split()
+    for _ in range(40):
+        other = base.copy()
+        for k in rng.sample(range(300), rng.choice([1, 3, 8])):
+            other[k] = f"z{rng.randrange(10**6)}"
+        rows.append(" ".join(other[: rng.choice([300, 290, 250])]))
+    sets, root = [shingles(r) for r in rows], list(range(len(rows)))
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) and root[a] != root[b]:
+            low, high = sorted((root[a], root[b]))
+            root = [low if r == high else r for r in root]
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(texts(list(enumerate(rows))).repartition(3)).collect()}
+    assert [got[k] for k in range(len(rows))] == root
+
+
 def branches(parsed):
     """Texts that an expression matches, each of its alternatives in one of them at least."""
     parts = []
