@@ -39,10 +39,10 @@ SIMILAR_WORDS = 5
 SIMILARITY = 0.8
 SIMILAR_RADIUS = 24
 SMALL = 16
-# Pairs of neighbouring ranges by which sets meet at all: every one, or, for sets of so many
-# shingles that nearly all ranges are filled, the first ``FEW``.  At 0.8 a pair agrees in such
-# sets with a chance of 0.64, so 24 all differ in 2 of 10**11 pairs of sets.
-FEW, FILLED = 24, 256
+# Sets meet by groups of ranges that agree: of fewer than ``MANY`` shingles by pairs, which
+# can't all differ, of more by 48 groups of four.  At 0.8 a range agrees with a chance of 0.8 and
+# such a group with 0.41, so all 48 differ in about one of 10**11 pairs of sets.
+MANY = 32
 # How far below the similarity a sketch still makes a candidate: five standard errors.
 MARGIN = 0.18
 # Bands within that factor of size, and classes in a chunk, for sketches and for whole sets.
@@ -108,19 +108,27 @@ def resemblance(sketch: np.ndarray, others: np.ndarray) -> np.ndarray:
 
 
 def meeting_keys(sketch: np.ndarray, shingles: int) -> np.ndarray:
-    """Names of the pairs of ranges in a sketch (32 bits a range) that hold anything.
+    """Names of groups of ranges in a sketch (32 bits a range) that hold anything.
 
-    If more than half of the ranges that either of two sets fills agree, so does a pair of
-    ranges with something in it: a differing range spoils one pair, an agreeing one stands in
-    a pair with at most one other.
+    Pairs: if more than half of the ranges that either of two sets fills agree, so does a pair
+    with something in it, for a differing range spoils one pair and an agreeing one stands in
+    a pair with at most one other.  Four together are rarely alike in texts that only share a
+    passage.  Sets of a size that can be similar to both kinds have both.
     """
-    pairs = sketch.astype(np.uint64).reshape(-1, 2)[: FEW if shingles >= FILLED else None]
-    code = pairs[:, 0] << np.uint64(32) | pairs[:, 1]
-    at = np.flatnonzero(code)
-    mixed = code[at] + (at.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    mixed = (mixed ^ mixed >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
-    mixed = (mixed ^ mixed >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
-    return (mixed ^ mixed >> np.uint64(31)).view(np.int64)
+    wide = sketch.astype(np.uint64)
+    forms = [wide.reshape(-1, 2)] if shingles * SIMILARITY < MANY else []
+    if shingles >= MANY:
+        forms += [wide.reshape(-1, 4), wide.reshape(4, -1).T[: SKETCH // 8]]
+    names = []
+    for form in forms:
+        at = np.flatnonzero(form.any(axis=1))
+        code = at.astype(np.uint64) + np.uint64(SKETCH * form.shape[1] + (form.shape[0] == SKETCH // 8))
+        for j in range(form.shape[1]):
+            code = (code ^ form[at, j]) * np.uint64(0xBF58476D1CE4E5B9)
+            code = (code ^ code >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+            code ^= code >> np.uint64(31)
+        names.append(code.view(np.int64))
+    return np.concatenate(names)
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

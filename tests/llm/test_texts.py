@@ -361,6 +361,33 @@ def test_similar_documents_with_repeats(spark, texts):
     assert {r.doc_id: r.component_id for r in got} == {k: k - k % 2 for k, _ in rows}
 
 
+def test_meeting_keys():
+    """Sets at a similarity of 0.8 share keys with room to spare; sets that share a tenth rarely do."""
+
+    def sketch(hashes):
+        ranges, first = np.unique(hashes // np.uint64((1 << 64) // simhash.SKETCH), return_index=True)
+        out = np.zeros(simhash.SKETCH, np.uint32)
+        out[ranges.astype(int)] = (hashes[first] & np.uint64(0xFFFFFFFF)) | np.uint64(1)
+        return simhash.meeting_keys(out, len(hashes))
+
+    rng, strangers = np.random.default_rng(8), 0
+    for n in (4, 5, 8, 12, 20, 31, 32, 36, 40, 64, 128, 250, 1000):
+        shared = -(-4 * n // 5)
+        fewest = 10**6
+        for trial in range(1000):
+            pool = rng.integers(0, 1 << 64, 3 * n, np.uint64)
+            # Either one set holds the other, or both have shingles of their own.
+            one = pool[:n] if trial % 2 else pool[: n - (n - shared) // 2]
+            other = pool[:shared] if trial % 2 else np.concatenate([pool[:shared], pool[2 * n : 2 * n + (n - shared) // 2]])
+            keys = [set(sketch(np.sort(x)).tolist()) for x in (one, other)]
+            fewest = min(fewest, len(keys[0] & keys[1]))
+            if n >= 250:
+                far = np.concatenate([pool[: n // 5], pool[2 * n : 2 * n + n - n // 5]])
+                strangers += bool(keys[0] & set(sketch(np.sort(far)).tolist()))
+        assert fewest >= (1 if n < simhash.MANY else 3), (n, fewest)
+    assert strangers < 100
+
+
 def test_similar_sets_of_every_size(spark, texts, monkeypatch):
     """Sets of a few shingles, whose fingerprints may lie far apart, groups of copies that fill
     cells of their own, and texts around one passage, against all pairs."""
