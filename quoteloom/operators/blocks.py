@@ -70,13 +70,14 @@ def join_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "le
     return left.join(named, same, how).drop(*[f"_key_{k}" for k in (*keys, *plain)])
 
 
-def carried(summary: DataFrame, keys: list[str], values: dict[str, tuple[str, str]], supers: int = SUPER_BLOCKS) -> DataFrame:
+def carried(summary: DataFrame, keys: list[str], values: dict[str, tuple[str, str]], supers: int | None = SUPER_BLOCKS) -> DataFrame:
     """Per (keys, _block): what the other blocks of the key hand over.
 
     ``values`` maps a new column to (kind, column of the summary): ``sum`` adds up the earlier
     blocks, ``last`` is the last non-null value before, ``next`` the first non-null after.
+    Where blocks are cut from dense row numbers, a superblock would hold 2**40 rows of a key;
+    without ``supers`` the summary is read once, in one window per key.
     """
-    cut = summary.withColumn("_super", block_of(F.col("_block"), supers))
 
     def over(kind: str, c: str, by: list[str], order: str) -> Column:
         if kind == "sum":
@@ -85,6 +86,11 @@ def carried(summary: DataFrame, keys: list[str], values: dict[str, tuple[str, st
         spec = inside(by[:-1], order, by[-1], reverse) if by else across(keys, order, reverse)
         return F.last(c, ignorenulls=True).over(before(spec))
 
+    if supers is None:
+        handed = {n: over(kind, c, [], "_block") for n, (kind, c) in values.items()}
+        return summary.select(*keys, "_block", *[(F.coalesce(x, F.lit(0)) if values[n][0] == "sum" else x).alias(n) for n, x in handed.items()])
+
+    cut = summary.withColumn("_super", block_of(F.col("_block"), supers))
     whole = {"sum": lambda c: F.sum(c), "last": lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_block"))), "next": lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_block")))}
     tops = cut.groupBy(*keys, "_super").agg(*[whole[kind](c).alias(f"_t_{n}") for n, (kind, c) in values.items()])
     tops = tops.select(*keys, "_super", *[over(kind, f"_t_{n}", [], "_super").alias(f"_o_{n}") for n, (kind, _) in values.items()])

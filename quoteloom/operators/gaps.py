@@ -139,6 +139,7 @@ def interpolate_linear(
         edges,
         keys,
         {f"_cb_{c}": ("last", f"_tail_{c}") for c in columns} | {f"_ca_{c}": ("next", f"_head_{c}") for c in columns},
+        supers=None,
     )
     forth, back = upto(inside(keys, "_rn")), upto(inside(keys, "_rn", reverse=True))
     around = numbered.withColumns(
