@@ -15,6 +15,7 @@ from .base import NOW_MS, greeks_ctes, oracle_with, query, r, rounded, table, vi
 from .market import _ATM, _C25, _NEAR, _P25
 
 ALL = {"availableNow": True}
+ROW_GROUP = 4 << 20
 
 
 def _stream(spark, d, name):
@@ -232,14 +233,24 @@ def stream_silence(spark, d):
     return spark.read.parquet(f"{folder}/out").drop("batch")
 
 
+BATCH_ROWS = 2_000_000
+
+
 def _in_files(rows, by, folder, files=3):
     """The rows as a stream of several batches that follow ``by``: the files are written one
-    after the other, and each batch reads one."""
-    low, high = rows.agg(F.min(by), F.max(by)).first()
-    cut = [low + (high - low) * k // files for k in range(files)] + [high + 1]
-    for a, b in zip(cut, cut[1:]):
-        rows.where((F.col(by) >= a) & (F.col(by) < b)).coalesce(1).write.mode("append").parquet(folder)
-    return live.file_stream(rows.sparkSession, rows.schema, folder, max_bytes=1)
+    after the other, and each batch reads one.  A table of more than ``BATCH_ROWS`` for each of
+    ``files`` makes more of them, not larger ones; it is cut once, so none reads it whole."""
+    spark = rows.sparkSession
+    low, high, count = rows.agg(F.min(by), F.max(by), F.count(F.lit(1))).first()
+    files = max(files, -(-count // BATCH_ROWS))
+    # Cuts at low + (high - low) * k / files; the last file has the highest one too.
+    width = max(1, high - low)
+    part = F.least(F.floor((F.col(by) - low).cast("decimal(20,0)") * files / width), F.lit(files - 1)).cast("int")
+    rows.withColumn("_part", part).repartition(files, "_part").write.partitionBy("_part").parquet(f"{folder}-cut")
+    cut = spark.read.schema(f"{','.join(f'`{f.name}` {f.dataType.simpleString()}' for f in rows.schema)}, _part int").parquet(f"{folder}-cut")
+    for k in range(files):
+        cut.where(F.col("_part") == k).drop("_part").coalesce(1).write.mode("append").option("parquet.block.size", ROW_GROUP).parquet(folder)
+    return live.file_stream(spark, rows.schema, folder, max_bytes=1)
 
 
 @query(

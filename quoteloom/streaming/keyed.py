@@ -131,8 +131,12 @@ class _Buffer(StatefulProcessor):
     def _sizes(self) -> tuple[int, int]:
         return tuple(self.count.get()) if self.count.exists() else (0, 0)
 
-    def _out(self, key, flush: int, rows: list[str], reason: str) -> pd.DataFrame:
-        return pd.DataFrame({"key": key[0], "flush": flush, "reason": reason, "row": rows})
+    def _out(self, key, flush: int, rows: list[str], reason: str) -> Iterator[pd.DataFrame]:
+        """Rows of one flush or of several whole ones that follow each other."""
+        for at in range(0, len(rows), _EMIT_ROWS):
+            own = rows[at : at + _EMIT_ROWS]
+            numbers = flush + np.arange(at, at + len(own)) // self.max_rows
+            yield pd.DataFrame({"key": key[0], "flush": numbers, "reason": reason, "row": own})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         held, flushes = self._sizes()
@@ -140,13 +144,15 @@ class _Buffer(StatefulProcessor):
         first = held == 0
         for batch in rows:
             fresh += batch["row"].tolist()
-            while held + len(fresh) >= self.max_rows:
-                take = self.max_rows - held
+            full = (held + len(fresh)) // self.max_rows
+            if full:
+                take = full * self.max_rows - held
                 old = [r[0] for r in self.rows.get()] if held else []
-                yield self._out(key, flushes, old + fresh[:take], "rows")
-                self.rows.clear()
-                self._untime()
-                fresh, held, flushes, first = fresh[take:], 0, flushes + 1, True
+                yield from self._out(key, flushes, old + fresh[:take], "rows")
+                if held:  # calls of the state store cost more than rows: none for a flush that it never saw
+                    self.rows.clear()
+                    self._untime()
+                fresh, held, flushes, first = fresh[take:], 0, flushes + full, True
         if fresh:
             self.rows.appendList([(r,) for r in fresh])
             if first:
@@ -160,7 +166,7 @@ class _Buffer(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         held, flushes = self._sizes()
         if held:
-            yield self._out(key, flushes, [r[0] for r in self.rows.get()], "age")
+            yield from self._out(key, flushes, [r[0] for r in self.rows.get()], "age")
             self.rows.clear()
             self.count.update((0, flushes + 1))
 
