@@ -95,11 +95,15 @@ def l1_latest(spark, d):
 
 @query("stream_l1_latest", _L1)
 def stream_l1_latest(spark, d):
-    """Over thirteen batches: the state must be that of the last one, not of batch 9."""
+    """Over thirteen batches: the state must be that of the last one, not of batch 9.
+
+    A batch is one file, which one task or a few read; its rows are dealt to all cores before
+    they become messages and are parsed."""
     folder = _folder(spark)
     files = f"{folder}/in"
-    view(spark, d, "ticks").repartition(13, "seq").write.option("maxRecordsPerFile", 0).parquet(files)
+    view(spark, d, "ticks").repartition(13, "seq").write.options(**{"maxRecordsPerFile": 0, "parquet.block.size": ROW_GROUP}).parquet(files)
     ticks = live.file_stream(spark, spark.read.parquet(files).schema, files, max_bytes=1)
+    ticks = ticks.repartition(spark.sparkContext.defaultParallelism)
     quotes = option_feed.l1_quotes(_messages(ticks), extra=["arrival"])
     live.write_changes(live.latest_quotes(quotes), f"{folder}/out", f"{folder}/ckpt", **ALL).awaitTermination()
     return live.read_latest(spark, f"{folder}/out", ["instrument_name"])

@@ -262,12 +262,16 @@ _L1_FIELDS = (
 
 
 def l1_quotes(df: DataFrame, raw: str = "value", ingested: str = "ingest_ms", extra: list[str] | None = None) -> DataFrame:
-    """Best-quote rows from pushed messages of both venues; everything else is dropped."""
+    """Best-quote rows from pushed messages of both venues; everything else is dropped.
+
+    Each text is parsed once: the parsed parts pass through generators, as in ``_parse``.
+    """
     # Top level as a map: one venue tells its fields apart by case only.
     top = F.from_json(raw, "map<string,string>")
     fields = ",".join(f"{c}:{'string' if c == 'instrument_name' else 'bigint' if c == 'timestamp' else 'double'}" for c in _L1_FIELDS)
     body = F.from_json(F.try_element_at("m", F.lit("params")), f"channel string, data struct<{fields}>")
-    parsed = df.select(*(extra or []), ingested, top.alias("m")).withColumn("p", body)
+    parsed = df.select(*(extra or []), ingested, F.explode(F.array(top)).alias("m"))
+    parsed = parsed.select("*", F.explode(F.array(body)).alias("p"))
 
     def field(name: str) -> Column:
         return F.try_element_at("m", F.lit(name))

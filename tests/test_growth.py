@@ -3,6 +3,7 @@
 import pandas as pd
 
 from checks import streams
+from quoteloom.sources import option_feed
 from quoteloom.streaming import keyed
 
 
@@ -68,3 +69,9 @@ def test_large_tables_make_more_batches(spark, tmp_path, monkeypatch):
     query = stream.writeStream.foreachBatch(lambda batch, _: seen.append(sorted(tuple(r) for r in batch.collect())))
     query.option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination()
     assert [r for part in seen for r in part] == [(k, 2 * k) for k in range(7, 107)] and max(map(len, seen)) <= 26
+
+
+def test_quotes_are_parsed_once(spark):
+    messages = spark.createDataFrame([("{}", 1, 2)], "value string, ingest_ms long, arrival long")
+    quotes = option_feed.l1_quotes(messages, extra=["arrival"])
+    assert quotes._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 2
