@@ -39,14 +39,12 @@ SIMILAR_WORDS = 5
 SIMILARITY = 0.8
 SIMILAR_RADIUS = 24
 SMALL = 16
-# Sets meet by groups of ranges that agree: of fewer than ``MANY`` shingles by pairs, which
-# can't all differ, of more by 48 groups of four.  At 0.8 a range agrees with a chance of 0.8 and
-# such a group with 0.41, so all 48 differ in about one of 10**11 pairs of sets.
+# ``meeting_keys``: of fewer than ``MANY`` shingles pairs of ranges, of more 48 groups of four.
 MANY = 32
 # How far below the similarity a sketch still makes a candidate: five standard errors.
 MARGIN = 0.18
 # Bands within that factor of size, and classes in a chunk, for sketches and for whole sets.
-SKETCH_BANDS, SKETCH_CHUNK_ROWS = 4, 1 << 12
+SKETCH_BANDS, SKETCH_CHUNK_ROWS = 4, 1 << 14
 SET_BANDS, SET_CHUNK_ROWS = 2, 1 << 10
 
 
@@ -108,7 +106,8 @@ def resemblance(sketch: np.ndarray, others: np.ndarray) -> np.ndarray:
 
 
 def meeting_keys(sketch: np.ndarray, shingles: int) -> np.ndarray:
-    """Names of groups of ranges in a sketch (32 bits a range) that hold anything.
+    """Names of groups of ranges in a sketch (32 bits a range) that hold anything, for callers
+    who look for texts alike by sketches alone; ``similar_documents`` searches fingerprints.
 
     Pairs: if more than half of the ranges that either of two sets fills agree, so does a pair
     with something in it, for a differing range spoils one pair and an agreeing one stands in
@@ -366,28 +365,13 @@ def _similar_links(table: pa.Table, probes: Iterator[pa.RecordBatch], radius: in
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
 
 
-def _gatherings(classes: DataFrame) -> DataFrame:
-    """id and root of every class that shares a key with another: what keys join, directly or
-    over other classes, has one root.  A key hands on links to its smallest class only."""
-    keyed = classes.select("id", F.explode("keys").alias("key"))
-    least = keyed.groupBy("key").agg(F.min("id").alias("v"), F.max("id").alias("most")).where("v <> most").drop("most")
-    roots = staged(connected(keyed.join(least, "key").select(F.col("id").alias("u"), "v")), "gatherings")
-    return roots.select(F.col("u").alias("id"), "root").unionByName(roots.select(F.col("root").alias("id"), "root").distinct())
-
-
-def _dealt(rows: DataFrame, similarity: float, split: int, chunk_rows: int) -> DataFrame:
-    """Rows (root, n and more) dealt to cells: whole gatherings of at most ``chunk_rows`` rows,
-    several to a cell, and larger ones by bands of size.  There a row is at home in its own
-    band, and visits it and the ``split`` next ones, which hold all larger sets that can have
-    the similarity."""
-    cells = max(1, -(-rows.count() // chunk_rows))
-    sizes = rows.groupBy("root").agg((F.count("*") <= chunk_rows).alias("whole"))
+def _banded(rows: DataFrame, similarity: float, split: int) -> DataFrame:
+    """Rows with ``n`` dealt to bands of size: at home in their own, and visiting it and the
+    ``split`` next ones, which hold all larger sets that can have the similarity."""
     band = F.floor(F.log(F.greatest(F.lit(1), F.col("n"))) / (-math.log(similarity) / split) + 1e-9)
-    to = F.concat(F.array(F.lit(-1)), F.sequence(F.lit(0), F.when(F.col("whole"), 0).otherwise(split)))
-    visits = rows.join(sizes, "root").withColumn("up", F.explode(to))
-    banded = F.xxhash64("root", band + F.greatest("up", F.lit(0)))
-    cell = F.when(F.col("whole"), F.pmod(F.xxhash64("root"), F.lit(cells))).otherwise(banded)
-    return visits.withColumns({"cell": cell, "home": F.col("up") < 0}).drop("root", "whole", "up")
+    to = F.concat(F.array(F.lit(-1)), F.sequence(F.lit(0), F.lit(split)))
+    dealt = rows.withColumn("band", band).withColumn("up", F.explode(to))
+    return dealt.withColumns({"cell": F.col("band") + F.greatest("up", F.lit(0)), "home": F.col("up") < 0}).drop("band", "up")
 
 
 def similar_documents(
@@ -396,47 +380,44 @@ def similar_documents(
 ) -> DataFrame:
     """doc_id and component_id of every row, linked where shingle sets resemble each other.
 
-    Two texts link if their fingerprints differ in at most ``radius`` bits (or one set is
-    small) and the Jaccard similarity of their shingle sets is ``similarity`` or more.  At
-    this radius the bounds of a vantage-point tree rule out nothing, so classes are first
-    gathered by what their sketches share (``meeting_keys``): most share nothing and are done,
-    and only members of one gathering meet.  Candidates are pairs whose sketches give
-    ``MARGIN`` less than the similarity; only classes in one of them have their sets made and
-    sent, and a link needs the sets themselves.  A gathering that is too large for one cell is
-    cut into bands of size (``_dealt``).  Empty texts are one class; null ids and repeated
-    rows as in ``near_duplicates``.
+    Two texts link if their fingerprints differ in at most ``radius`` bits (or both sets are
+    small) and the Jaccard similarity of their shingle sets is ``similarity`` or more.  Sets
+    of such similarity differ in size by that factor at most, so classes meet in bands of
+    size (``_banded``), and there every fingerprint is held against every other: at this
+    radius the bounds of a vantage-point tree rule out nothing.  Of the pairs of near
+    fingerprints those are candidates whose sketches give ``MARGIN`` less than the similarity;
+    only classes in one of them have their sets made and sent, and a link needs the sets
+    themselves.  Empty texts are one class; null ids and repeated rows as in
+    ``near_duplicates``.
     """
-    look = "row long, doc_id long, id long, fp long, n long, sketch binary, keys array<long>"
-    kinds = "root long, id long, fp long, n long, sketch binary, hashes binary"
+    look = "row long, doc_id long, id long, fp long, n long, sketch binary"
+    kinds = "id long, fp long, n long, sketch binary, hashes binary"
     floor = similarity - MARGIN
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 256):
             found = [portrait(t, words) for t in batch.column("text").to_pylist()]
-            sketches = [np.frombuffer(p[3], "<u4") for p in found]
-            # Sketches go on with the lowest bytes.
-            short = [(*p[:3], s.astype("u1").tobytes(), meeting_keys(s, p[2])) for p, s in zip(found, sketches)]
+            short = [(*p[:3], np.frombuffer(p[3], "<u4").astype("u1").tobytes()) for p in found]  # the lowest bytes
             columns = [batch.column("row"), batch.column("doc_id"), *zip(*short)]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow_schema(look))], schema=arrow_schema(look))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 256):
             hashes = [shingle_set(list(shingle_digests(t, words))).astype("<u8").tobytes() for t in batch.column("text").to_pylist()]
-            columns = [*(batch.column(c) for c in ("root", "id", "fp", "n", "sketch")), pa.array(hashes, pa.binary())]
+            columns = [*(batch.column(c) for c in ("id", "fp", "n", "sketch")), pa.array(hashes, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, schema=arrow_schema(kinds))
 
     texts = keyed_texts(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     texts = staged(texts.withColumn("row", F.monotonically_increasing_id()), "texts")
     marked = staged(texts.mapInArrow(describe, look), "portraits")
     # All rows of a class have the same set, so any of them will do.
-    classes = marked.groupBy("id").agg(F.min("doc_id").alias("least"), *(F.min(c).alias(c) for c in ("row", "fp", "n", "sketch", "keys")))
+    classes = marked.groupBy("id").agg(F.min("doc_id").alias("least"), *(F.min(c).alias(c) for c in ("row", "fp", "n", "sketch")))
     classes = staged(classes, "classes")
-    gathered = staged(classes.drop("least", "keys").join(_gatherings(classes), "id"), "gathered")
-    dealt = _dealt(gathered.drop("row"), similarity, SKETCH_BANDS, SKETCH_CHUNK_ROWS)
+    dealt = _banded(classes.drop("least", "row"), similarity, SKETCH_BANDS)
     meet = partial(_paired, radius=radius, floor=floor, similarity=similarity)
     paired = staged(scan(dealt.where("home").drop("home"), dealt.drop("home"), SKETCH_CHUNK_ROWS, "id", meet, "id long").distinct(), "paired")
-    sets = staged(gathered.join(paired, "id").join(texts.select("row", "text"), "row").mapInArrow(gather, kinds), "sets")
-    dealt = _dealt(sets, similarity, SET_BANDS, SET_CHUNK_ROWS)
+    sets = staged(classes.drop("least").join(paired, "id").join(texts.select("row", "text"), "row").mapInArrow(gather, kinds), "sets")
+    dealt = _banded(sets, similarity, SET_BANDS)
     meet = partial(_similar_links, radius=radius, floor=floor, similarity=similarity)
     found = scan(dealt.where("home").drop("home"), dealt.drop("home"), SET_CHUNK_ROWS, "id", meet, "u long, v long")
     roots = connected(found).withColumnRenamed("u", "id")
