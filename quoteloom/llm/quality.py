@@ -166,7 +166,10 @@ def train(
     share = (totals.get(1, 0) + 1) / (sum(totals.values()) + 2)
     if len(np.unique(y)) < 2:
         return Machine(float(np.log(share / (1 - share))), np.zeros(SPACE), np.zeros((SPACE, 1)))
-    rows = [(np.array(i), np.array(v)) for i, v in zip(sampled.column("index").to_pylist(), sampled.column("value").to_pylist())]
+    # Views of the received buffers: boxed numbers would take the driver several times their size.
+    index, value = (sampled.column(c).combine_chunks() for c in ("index", "value"))
+    ends, index, value = index.offsets.to_numpy(), index.values.to_numpy(), value.values.to_numpy()
+    rows = [(index[a:b], value[a:b]) for a, b in zip(ends, ends[1:])]
     sizes = np.array([(y == 0).sum(), (y == 1).sum()])
     weights = np.array([totals[0], totals[1]]) / sizes
     weights *= len(y) / (totals[0] + totals[1])
