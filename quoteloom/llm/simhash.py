@@ -10,7 +10,7 @@ exactly, and hand on no more links than keep their groups connected.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import partial
 
@@ -31,10 +31,10 @@ LEAF_ROWS = 4096
 MAX_SAMPLE = 1 << 17
 BLOCK = 1 << 15
 SKETCH = 128
-# Near copies by similarity: shingles of five words, and how far apart the fingerprints of
-# sets with that similarity may lie: of 624,000 simulated pairs at 0.8 none lay further than
-# 24 (10 further than 22), but of sets of four and five shingles 4 of 48,000 did.  So sets of
-# at most ``SMALL`` shingles meet whatever their fingerprints are.
+# Near copies by similarity: shingles of five words, and how far apart fingerprints are searched:
+# of 624,000 simulated pairs at 0.8 none lay further than 24 (10 further than 22), but of sets of
+# four and five shingles 4 of 48,000 did.  So sets of at most ``SMALL`` shingles meet whatever
+# their fingerprints are.  What lies further all the same is found by ``_unmet``.
 SIMILAR_WORDS = 5
 SIMILARITY = 0.8
 SIMILAR_RADIUS = 24
@@ -46,6 +46,12 @@ MARGIN = 0.18
 # Bands within that factor of size, and classes in a chunk, for sketches and for whole sets.
 SKETCH_BANDS, SKETCH_CHUNK_ROWS = 4, 1 << 14
 SET_BANDS, SET_CHUNK_ROWS = 2, 1 << 10
+# Buckets in which shingles are counted to tell rare ones, how many of them stand in a row, and
+# how many classes around one shingle are paired one by one.
+TALLY_BITS, TALLY_ROWS = 20, 1 << 12
+LONG = 64
+# Up to so many rows (8 bytes each) are broadcast to pick their texts; more are joined.
+PICKED_ROWS = 1 << 20
 
 
 def shingle_digests(text: str | None, words: int) -> Iterator[bytes]:
@@ -89,13 +95,47 @@ def portrait(text: str | None, words: int) -> tuple[int, int, int, bytes]:
     """(class, fingerprint, distinct shingles, sketch): texts with the same set of shingles
     are one class, and have one fingerprint, also where they repeat some; the sketch holds the
     smallest hash in each of ``SKETCH`` equal ranges (32 bits of it; 0 where a range has none)."""
-    blocks = list(shingle_digests(text, words))
-    hashes = shingle_set(blocks)
-    name = int.from_bytes(xxhash.xxh64_digest(hashes.tobytes(), SEED), "big", signed=True)
+    return _portrait(shingle_set(list(shingle_digests(text, words))))
+
+
+def _class(hashes: np.ndarray) -> int:
+    return int.from_bytes(xxhash.xxh64_digest(hashes.tobytes(), SEED), "big", signed=True)
+
+
+def _portrait(hashes: np.ndarray) -> tuple[int, int, int, bytes]:
     ranges, first = np.unique(hashes // np.uint64((1 << 64) // SKETCH), return_index=True)
     sketch = np.zeros(SKETCH, "<u4")
     sketch[ranges.astype(np.int64)] = (hashes[first] & np.uint64(0xFFFFFFFF)) | np.uint64(1)
-    return name, _majority([hashes.astype(">u8").tobytes()]), len(hashes), sketch.tobytes()
+    return _class(hashes), _majority([hashes.astype(">u8").tobytes()]), len(hashes), sketch.tobytes()
+
+
+def spread(hashes: np.ndarray) -> np.ndarray:
+    """How many of a set's hashes lie in each of ``SKETCH`` equal ranges (255 at most).  Two sets
+    differ in at least as many hashes as these numbers do, added up."""
+    ranges = (hashes // np.uint64((1 << 64) // SKETCH)).astype(np.int64)
+    return np.minimum(255, np.bincount(ranges, minlength=SKETCH)).astype("u1")
+
+
+def _least(share: float, n):
+    """The smallest whole number that is at least that share of n."""
+    return np.ceil(share * n - 1e-6).astype(np.int64)
+
+
+def rare_prefix(hashes: np.ndarray, levels: np.ndarray, similarity: float) -> np.ndarray:
+    """The rarest hashes of a sorted set, of which similar sets have some in common.
+
+    All sets are ordered alike, by the level of a hash's bucket and then by the hash.  Whatever
+    the levels are, similar sets have ``common_prefix`` of them in common: levels only decide
+    how many others do.
+    """
+    order = np.argsort(levels[hashes >> np.uint64(64 - TALLY_BITS)], kind="stable")
+    return hashes[order[: len(hashes) - _least(similarity, len(hashes)) + 1]]
+
+
+def common_prefix(n: np.ndarray, m: np.ndarray, similarity: float) -> np.ndarray:
+    """How many hashes the rare prefixes of similar sets of n and m have in common at least: what
+    the sets must share, less all that follows the prefix of the larger one.  At least one."""
+    return _least(similarity / (1 + similarity), n + m) - _least(similarity, np.maximum(n, m)) + 1
 
 
 def resemblance(sketch: np.ndarray, others: np.ndarray) -> np.ndarray:
@@ -342,15 +382,36 @@ def jaccard(one: np.ndarray, other: np.ndarray) -> float:
     return both / (len(one) + len(other) - both)
 
 
-def _similar_links(table: pa.Table, probes: Iterator[pa.RecordBatch], radius: int, floor: float, similarity: float) -> Iterator[pa.RecordBatch]:
+def _possible(table: pa.Table, batch: pa.RecordBatch, similarity: float) -> Iterator[tuple[np.ndarray, ...]]:
+    """As ``_candidates``, but all pairs with different roots that sizes and spreads allow."""
+    roots, spreads, sizes = table.column("root").to_numpy(), np.stack(_packed(table, "spread", "u1")), table.column("n").to_numpy()
+    own, mine, counts = batch.column("root").to_numpy(), np.stack(_packed(batch, "spread", "u1")), batch.column("n").to_numpy()
+    for at in range(0, len(own), 128):
+        here = counts[at : at + 128, None]
+        fits = np.minimum(here, sizes[None, :]) >= similarity * np.maximum(here, sizes[None, :]) - 1e-6
+        p, h = np.nonzero(fits & (own[at : at + 128, None] != roots[None, :]))
+        for k in range(0, len(p), BLOCK):
+            a, b = at + p[k : k + BLOCK], h[k : k + BLOCK]
+            good, likely = _within(mine[a], spreads[b], counts[a], sizes[b], similarity)
+            if good.any():
+                yield a[good], b[good], likely[good]
+
+
+def _within(one: np.ndarray, other: np.ndarray, n: np.ndarray, m: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs of spreads leave room for the similarity, and how alike they look at best."""
+    apart = np.abs(one.astype(np.int16) - other).sum(axis=1, dtype=np.int64)
+    return apart <= (1 - similarity) / (1 + similarity) * (n + m) + 1e-6, 1 - apart / (n + m)
+
+
+def _similar_links(table: pa.Table, probes: Iterator[pa.RecordBatch], candidates: Callable, similarity: float) -> Iterator[pa.RecordBatch]:
     """Links of one chunk: of the candidate pairs those whose sets have the similarity, each
     probe with one member of every group that it joins.  Likely members come first, and the
     others of a group that a probe has joined need no look."""
     names, sets = table.column("id").to_numpy(), _packed(table, "hashes", "<u8")
-    group = np.arange(len(names))
+    group = table.column("root").to_numpy().copy() if "root" in table.column_names else np.arange(len(names))
     for batch in probes:
         own, mine, out = batch.column("id").to_numpy(), _packed(batch, "hashes", "<u8"), []
-        for ps, hs, likely in _candidates(table, batch, radius, floor, similarity):
+        for ps, hs, likely in candidates(table, batch):
             for p in np.unique(ps):
                 a, b = np.searchsorted(ps, p), np.searchsorted(ps, p, "right")
                 joined = []
@@ -374,53 +435,193 @@ def _banded(rows: DataFrame, similarity: float, split: int) -> DataFrame:
     return dealt.withColumns({"cell": F.col("band") + F.greatest("up", F.lit(0)), "home": F.col("up") < 0}).drop("band", "up")
 
 
+def _whole_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Sorted batches as tables that hold all rows of their keys."""
+    held, at = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(key).to_numpy()
+        cut = int(np.searchsorted(keys, keys[-1]))
+        if cut or (held and at != keys[0]):
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held = []
+        held.append(batch.slice(cut))
+        at = keys[-1]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _meetings(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """(u, v, need) of classes that a rare shingle brings together: sizes allow the similarity,
+    roots differ, and ``need`` such shingles have to do so.  Where one does it to many, each
+    of them comes by itself, paired with itself."""
+
+    def row(u: np.ndarray, v: np.ndarray, need: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(need)], names=["u", "v", "need"])
+
+    def pairs(i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+        fits = np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - 1e-6
+        i, j = (x[fits & (root[i] != root[j])] for x in (i, j))
+        return row(np.minimum(name[i], name[j]), np.maximum(name[i], name[j]), common_prefix(n[i], n[j], similarity))
+
+    for table in _whole_runs(batches, "token"):
+        token, name, root, n = (table.column(c).to_numpy() for c in ("token", "id", "root", "n"))
+        edges = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1], [True]]))
+        lengths = np.diff(edges)
+        end = np.repeat(edges[1:], lengths)
+        short = np.flatnonzero(np.repeat(lengths <= LONG, lengths))
+        for step in range(1, LONG):
+            short = short[short + step < end[short]]
+            if not len(short):
+                break
+            yield pairs(short, short + step)
+        for k in np.flatnonzero(lengths > LONG):
+            run = np.arange(edges[k], edges[k + 1])
+            _, group, sizes = np.unique(root[run], return_inverse=True, return_counts=True)
+            others = run[group != sizes.argmax()]
+            if len(others) > LONG:
+                yield row(name[run], name[run], np.ones(len(run), np.int64))
+                continue
+            for i in others:  # a pair of two others once
+                yield pairs(*(x[(group[run - run[0]] == sizes.argmax()) | (run > i)] for x in (np.full(len(run), i), run)))
+
+
+def _unmet(marks: DataFrame, classes: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """id and root of the classes that may be similar to one with another root.
+
+    ``marks`` has the rare prefixes (token, id, n).  Few tokens stand in two prefixes; only the
+    rows of those are told their roots.  Pairs that have enough of them in common are held
+    against each other by their spreads; neither rules out a similar pair.
+    """
+
+    def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_runs(batches, "token"):
+            token, name, n = (table.column(c).to_numpy() for c in ("token", "id", "n"))
+            new = np.concatenate([[True], (token[1:] != token[:-1]) | (name[1:] != name[:-1])])  # copies come together
+            at = np.flatnonzero(new)
+            near = (token[at[1:]] == token[at[:-1]]) & (n[at[:-1]] >= similarity * n[at[1:]] - 1e-6)
+            partner = np.concatenate([[False], near]) | np.concatenate([near, [False]])
+            yield from table.take(pa.array(at[partner])).to_batches()
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _meetings(batches, similarity)
+
+    def allowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 4096):
+            one, other = (np.stack(_packed(batch, c, "u1")) for c in ("spread", "spread_v"))
+            good = _within(one, other, batch.column("n").to_numpy(), batch.column("n_v").to_numpy(), similarity)[0]
+            found = np.concatenate([batch.column(c).to_numpy()[good] for c in "uv"])
+            yield pa.RecordBatch.from_arrays([pa.array(found)], names=["id"])
+
+    named = roots.withColumnRenamed("u", "id")
+    rooted = F.coalesce("root", "id").alias("root")
+    shared = marks.repartition("token").sortWithinPartitions("token", "n", "id").mapInArrow(common, "token long, id long, n long")
+    told = staged(shared, "shared").join(named, "id", "left").select("token", "id", "n", rooted)
+    met = told.repartition("token").sortWithinPartitions("token").mapInArrow(meet, "u long, v long, need long")
+    met = staged(met.groupBy("u", "v").agg(F.count("*").alias("common"), F.min("need").alias("need")).where("common >= need"), "met")
+    own = classes.select(F.col("id").alias("u"), "n", "spread")
+    other = classes.select(F.col("id").alias("v"), F.col("n").alias("n_v"), F.col("spread").alias("spread_v"))
+    single = met.where("u <> v").join(own, "u").join(other, "v").mapInArrow(allowed, "id long")
+    found = single.unionByName(met.where("u = v").select(F.col("u").alias("id"))).distinct()
+    return found.join(named, "id", "left").select("id", rooted)
+
+
 def similar_documents(
     docs: DataFrame, similarity: float = SIMILARITY, words: int = SIMILAR_WORDS, radius: int = SIMILAR_RADIUS,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """doc_id and component_id of every row, linked where shingle sets resemble each other.
 
-    Two texts link if their fingerprints differ in at most ``radius`` bits (or both sets are
-    small) and the Jaccard similarity of their shingle sets is ``similarity`` or more.  Sets
-    of such similarity differ in size by that factor at most, so classes meet in bands of
+    Two texts link if the Jaccard similarity of their shingle sets is ``similarity`` or more.
+    Sets of such similarity differ in size by that factor at most, so classes meet in bands of
     size (``_banded``), and there every fingerprint is held against every other: at this
-    radius the bounds of a vantage-point tree rule out nothing.  Of the pairs of near
-    fingerprints those are candidates whose sketches give ``MARGIN`` less than the similarity;
-    only classes in one of them have their sets made and sent, and a link needs the sets
-    themselves.  Empty texts are one class; null ids and repeated rows as in
-    ``near_duplicates``.
+    radius the bounds of a vantage-point tree rule out nothing.  Of the pairs whose
+    fingerprints differ in at most ``radius`` bits (or whose sets are small) those are
+    candidates whose sketches give ``MARGIN`` less than the similarity; only classes in one of
+    them have their sets made and sent, and a link needs the sets themselves.
+
+    Fingerprints and sketches can miss a pair.  So classes that this leaves apart meet again
+    by their rarest shingles, of which similar sets have some in common (``_unmet``), and those
+    that sizes and spreads allow have their sets compared too: no pair is lost.  Empty texts
+    are one class; null ids and repeated rows as in ``near_duplicates``.
     """
-    look = "row long, doc_id long, id long, fp long, n long, sketch binary"
-    kinds = "id long, fp long, n long, sketch binary, hashes binary"
+    look = "row long, doc_id long, id long, fp long, n long, sketch binary, spread binary, block long, tally binary"
     floor = similarity - MARGIN
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Portraits, and at the end how often shingles fell into each bucket."""
+        schema, tally = arrow_schema(look), np.zeros(1 << TALLY_BITS, np.uint32)
         for batch in slices(batches, 256):
-            found = [portrait(t, words) for t in batch.column("text").to_pylist()]
-            short = [(*p[:3], np.frombuffer(p[3], "<u4").astype("u1").tobytes()) for p in found]  # the lowest bytes
-            columns = [batch.column("row"), batch.column("doc_id"), *zip(*short)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow_schema(look))], schema=arrow_schema(look))
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sets = [shingle_set(list(shingle_digests(t, words))) for t in batch.column("text").to_pylist()]
+            tally += np.bincount(np.concatenate(sets) >> np.uint64(64 - TALLY_BITS), minlength=len(tally)).astype(np.uint32)
+            found = [_portrait(x) for x in sets]
+            short = [(*p[:3], np.frombuffer(p[3], "<u4").astype("u1").tobytes(), spread(x).tobytes()) for p, x in zip(found, sets)]  # the lowest bytes
+            columns = [batch.column("row"), batch.column("doc_id"), *zip(*short), *2 * [[None] * len(found)]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+        for k, block in enumerate(tally.reshape(-1, TALLY_ROWS)):
+            columns = [*7 * [[None]], [k], [block.tobytes()]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Levels of the buckets, eight to a doubling of their counts."""
+        sums = {}
+        for batch in batches:
+            for k, counts in zip(batch.column("block").to_pylist(), _packed(batch, "tally", "u4")):
+                sums[k] = sums.get(k, 0) + counts.astype(np.int64)
+        found = [np.minimum(255, 8 * np.log2(1 + x)).astype("u1").tobytes() for x in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array([*sums], pa.int64()), pa.array(found, pa.binary())], names=["block", "tally"])
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 256):
-            hashes = [shingle_set(list(shingle_digests(t, words))).astype("<u8").tobytes() for t in batch.column("text").to_pylist()]
-            columns = [*(batch.column(c) for c in ("id", "fp", "n", "sketch")), pa.array(hashes, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, schema=arrow_schema(kinds))
+            sets = [shingle_set(list(shingle_digests(t, words))) for t in batch.column("text").to_pylist()]
+            found = [rare_prefix(x, levels, similarity) for x in sets]
+            lengths = [len(x) for x in found]
+            columns = [np.concatenate(found).view(np.int64), np.repeat([_class(x) for x in sets], lengths), np.repeat([len(x) for x in sets], lengths)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["token", "id", "n"])
+
+    def linked(wanted: DataFrame, candidates: Callable) -> DataFrame:
+        """(u, v) of similar classes among those wanted, whose sets are made for it."""
+        wanted = staged(wanted, "wanted")
+        picked = texts.select("row", "text")
+        if wanted.count() <= PICKED_ROWS:
+            picked = picked.join(F.broadcast(wanted.select("row")), "row", "left_semi")
+        kept = [f for f in wanted.schema if f.name != "row"]
+        kinds = ", ".join(f"{f.name} {'binary' if f.dataType.typeName() == 'binary' else 'long'}" for f in kept) + ", hashes binary"
+        names = [f.name for f in kept]
+
+        def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches, 256):
+                hashes = [shingle_set(list(shingle_digests(t, words))).astype("<u8").tobytes() for t in batch.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(hashes, pa.binary())], schema=arrow_schema(kinds))
+
+        sets = staged(wanted.join(picked, "row").mapInArrow(gather, kinds), "sets")
+        dealt = _banded(sets, similarity, SET_BANDS)
+        meet = partial(_similar_links, candidates=candidates, similarity=similarity)
+        return scan(dealt.where("home").drop("home"), dealt.drop("home"), SET_CHUNK_ROWS, "id", meet, "u long, v long")
 
     texts = keyed_texts(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     texts = staged(texts.withColumn("row", F.monotonically_increasing_id()), "texts")
-    marked = staged(texts.mapInArrow(describe, look), "portraits")
+    drawn = staged(texts.mapInArrow(describe, look), "portraits")
+    marked = drawn.where("block IS NULL").drop("block", "tally")
     # All rows of a class have the same set, so any of them will do.
-    classes = marked.groupBy("id").agg(F.min("doc_id").alias("least"), *(F.min(c).alias(c) for c in ("row", "fp", "n", "sketch")))
+    classes = marked.groupBy("id").agg(F.min("doc_id").alias("least"), *(F.min(c).alias(c) for c in ("row", "fp", "n", "sketch", "spread")))
     classes = staged(classes, "classes")
-    dealt = _banded(classes.drop("least", "row"), similarity, SKETCH_BANDS)
+    dealt = _banded(classes.drop("least", "row", "spread"), similarity, SKETCH_BANDS)
     meet = partial(_paired, radius=radius, floor=floor, similarity=similarity)
     paired = staged(scan(dealt.where("home").drop("home"), dealt.drop("home"), SKETCH_CHUNK_ROWS, "id", meet, "id long").distinct(), "paired")
-    sets = staged(classes.drop("least").join(paired, "id").join(texts.select("row", "text"), "row").mapInArrow(gather, kinds), "sets")
-    dealt = _banded(sets, similarity, SET_BANDS)
-    meet = partial(_similar_links, radius=radius, floor=floor, similarity=similarity)
-    found = scan(dealt.where("home").drop("home"), dealt.drop("home"), SET_CHUNK_ROWS, "id", meet, "u long, v long")
-    roots = connected(found).withColumnRenamed("u", "id")
+    near = linked(classes.drop("least", "spread").join(paired, "id"), partial(_candidates, radius=radius, floor=floor, similarity=similarity))
+    roots = connected(near)
+    tallies = drawn.where("block IS NOT NULL").select("block", "tally").repartition("block")
+    levels = np.zeros(1 << TALLY_BITS, np.uint8)
+    for k, block in tallies.mapInArrow(added, "block long, tally binary").collect():
+        levels[k * TALLY_ROWS : (k + 1) * TALLY_ROWS] = np.frombuffer(block, np.uint8)
+    marks = texts.mapInArrow(prefixes, "token long, id long, n long")
+    unmet = staged(_unmet(marks, classes, roots, similarity), "unmet")
+    if not unmet.isEmpty():
+        more = linked(classes.select("id", "row", "n", "spread").join(unmet, "id"), partial(_possible, similarity=similarity))
+        roots = connected(more.unionByName(roots.select("u", F.col("root").alias("v"))))
+    roots = roots.withColumnRenamed("u", "id")
     rooted = classes.select("id", "least").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return marked.select("doc_id", "id").join(rooted.select("id", "root").join(named, "root").drop("root"), "id").select("doc_id", "component_id")
